@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .jaccard_join import jaccard_join
 from .quality_rules import quality_rules
+from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 
 
@@ -19,6 +20,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,6 +38,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES: dict[str, str] = {}
 
 QUERIES = {
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
