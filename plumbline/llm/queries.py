@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard_join import jaccard_join
+from .mixing import mix_sources
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
@@ -20,6 +21,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -38,6 +43,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES: dict[str, str] = {}
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
