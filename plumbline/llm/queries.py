@@ -10,6 +10,7 @@ from .mixing import mix_sources
 from .quality_rules import quality_rules
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
+from .warc import warc_round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -44,6 +49,7 @@ ORACLES: dict[str, str] = {}
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op4_warc": op4_warc,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
