@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .embedding_dedup import embedding_dedup
 from .jaccard_join import jaccard_join
 from .mixing import mix_sources
 from .quality_rules import quality_rules
+from .sentencepieces import sp_decode, sp_encode
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 from .warc import warc_round_trip
@@ -26,10 +28,26 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op6_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every text, decodes the ids again and says whether the text came back."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ids = sp_encode(_table(spark, sf_dir, "documents"), path, carry=("doc_id", "text")).withColumnRenamed("text", "was")
+    ids = ids.withColumn("n_tokens", F.coalesce(F.size("ids"), F.lit(0)).cast("long")).withColumn("ids_hash", F.xxhash64("ids"))
+    back = sp_decode(ids, path, carry=("doc_id", "was", "n_tokens", "ids_hash"))
+    same = F.col("text").eqNullSafe(F.translate("was", "\u2581", " "))
+    return back.select("doc_id", "n_tokens", "n_byte_pieces", "ids_hash", same.alias("round_trip"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -49,7 +67,9 @@ ORACLES: dict[str, str] = {}
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_warc": op4_warc,
+    "op6_sentencepieces": op6_sentencepieces,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
