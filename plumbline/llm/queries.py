@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .embedding_dedup import embedding_dedup
+from .importance import importance_resample
 from .jaccard_join import jaccard_join
 from .mixing import mix_sources
 from .quality_rules import quality_rules
 from .sentencepieces import sp_decode, sp_encode
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
+from .toxicity import toxicity
 from .warc import warc_round_trip
 
 
@@ -24,6 +26,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+def op1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draws 85% of the documents to look like those labelled as good."""
+    target = _table(spark, sf_dir, "labels").where("quality = 1")
+    return importance_resample(_table(spark, sf_dir, "documents"), target, fraction=0.85)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -36,6 +44,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids again and says whether the text came back."""
     import public_tokenizers
@@ -66,9 +78,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES: dict[str, str] = {}
 
 QUERIES = {
+    "op1_importance": op1_importance,
     "op2_mixing": op2_mixing,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op6_sentencepieces": op6_sentencepieces,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
