@@ -24,7 +24,7 @@ GRAMS, BUCKETS, DIM = (3, 4, 5), 1 << 16, 16
 #: Labelled rows to train on at most: this many of each class, by a hash of the doc_id.
 SAMPLE = 1500
 #: A text longer than this many words is read in pieces of this many; the highest counts.
-PIECE = 10
+PIECE = 6
 _EDGE = np.frombuffer(b"\x01", np.uint8)
 
 
