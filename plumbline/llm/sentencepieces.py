@@ -97,32 +97,22 @@ class PieceModel:
         self.in_pieces = frozenset("".join(self.pieces[i] for i in normal))
 
 
-class _Words(dict):
-    """Ids of words after a space, found at C speed if they are there."""
-
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.encoder.unit(MARK + word)
-        if len(self) >= self.encoder.CACHE:
-            self.clear()
-        if len(word) <= 64 and "\n" not in word:
-            self[word] = found
-        return found
-
-
 class Encoder:
     """Encodes texts; lives in a worker, with a bounded cache of words."""
 
-    CACHE = 500_000
+    CACHE = 250_000
+    #: Units up to this many bytes go through the array form of the search.
+    SHORT = 48
 
     def __init__(self, model: PieceModel):
         self.model = model
-        self.base, self.check, self.value = (x.tolist() for x in (model.trie.base, model.trie.check, model.trie.value))
-        self.units: dict[str, bytes] = {}
-        self.words = _Words(self)
-        # a character that no piece holds splits every path, so it can split words too
+        trie = model.trie
+        self.base, self.check, self.value = (x.tolist() for x in (trie.base, trie.check, trie.value))
+        # places past the end belong to no node, so a step never has to look at the length
+        self.arrays = trie.base, np.concatenate([trie.check, np.full(300, -2, np.int32)]), trie.value
+        self.scores = np.array(model.score)
+        self.words: dict[str, bytes] = {}
+        # a character that no piece holds splits every path, so a line break can split words
         self.splits_lines = "\n" not in model.in_pieces
         self.line = np.array([model.bytes[10]], np.int32).tobytes()
 
@@ -163,28 +153,94 @@ class Encoder:
             at = start[at]
         return out[::-1]
 
-    def unit(self, unit: str) -> bytes:
-        """The ids of a unit as packed 32-bit numbers."""
-        found = self.units.get(unit)
-        if found is None:
-            if self.splits_lines and "\n" in unit and unit != "\n":
-                first, *rest = unit.split("\n")
-                head = self.words[first[1:]] if first[:1] == MARK and MARK not in first[1:] else self.unit(first) if first else b""
-                return self.line.join([head, *(self.unit(x) if x else b"" for x in rest)])
-            if len(self.units) >= self.CACHE:
-                self.units.clear()
-            found = np.array(self.viterbi(unit), np.int32).tobytes()
-            if len(unit) <= 64 and (unit[0] != MARK or MARK in unit[1:]):  # words have their own cache
-                self.units[unit] = found
-        return found
+    def search(self, units: list[bytes]) -> list[bytes | None]:
+        """Best paths of many short units at once, the same as viterbi's; None if a byte is unknown.
+
+        Position by position, every unit takes one step in the trie per array operation.
+        """
+        base, check, value = self.arrays
+        n, size = len(units), np.array([len(u) for u in units])
+        top = int(size.max())
+        raw = np.frombuffer(b"".join(u.ljust(top, b"\0") for u in units), np.uint8).reshape(n, top)
+        width = np.where(raw < 0x80, 1, np.where(raw < 0xE0, 2, np.where(raw < 0xF0, 3, 4)))
+        best = np.full((n, top + 1), -np.inf)
+        best[:, 0] = 0.0
+        start, piece = np.zeros((n, top + 1), np.int16), np.zeros((n, top + 1), np.int32)
+        for i in range(top):
+            act = np.flatnonzero((best[:, i] > -np.inf) & (size > i))
+            known = np.zeros(n, bool)
+            rows, node = act, np.zeros(len(act), np.int32)
+            for j in range(i, top):
+                to = base[node] + raw[rows, j] + 1
+                go = (check[to] == node) & (size[rows] > j)
+                rows, node = rows[go], to[go]
+                if not len(rows):
+                    break
+                v = value[node]
+                at, ids = rows[v >= 0], v[v >= 0]
+                known[at[width[at, i] == j + 1 - i]] = True
+                s = best[at, i] + self.scores[ids]
+                up = s > best[at, j + 1]
+                at, ids = at[up], ids[up]
+                best[at, j + 1], start[at, j + 1], piece[at, j + 1] = s[up], i, ids
+            odd = act[~known[act]]
+            to = i + width[odd, i]
+            s = best[odd, i] + self.model.unknown
+            up = s > best[odd, to]
+            odd, to = odd[up], to[up]
+            best[odd, to], start[odd, to], piece[odd, to] = s[up], i, -1
+        rows, at, parts = np.arange(n), size.copy(), []
+        while len(rows):
+            parts.append((rows, piece[rows, at]))
+            at = start[rows, at].astype(np.int64)
+            rows, at = rows[at > 0], at[at > 0]
+        who, ids = (np.concatenate([p[k] for p in parts[::-1]]) for k in (0, 1))
+        order = np.argsort(who, kind="stable")
+        who, ids = who[order], ids[order].astype(np.int32)
+        bad = set(who[ids < 0].tolist())
+        cut, flat = (4 * np.searchsorted(who, np.arange(n + 1))).tolist(), ids.tobytes()
+        return [None if i in bad else flat[cut[i] : cut[i + 1]] for i in range(n)]
+
+    def lookup(self, words: set[str]) -> dict[str, bytes]:
+        """A table that holds the words: the cache, or while it is full a copy for them alone.
+
+        Frequent words come early, so a full cache stays as it is.
+        """
+        new = sorted(w for w in words if w not in self.words)
+        # the mark stands for the space before a word; after a line break there is none
+        units = [w[1:] if w[:1] == "\n" and self.splits_lines else MARK + w for w in new]
+        raw = [u.encode("utf-8", "replace") for u in units]
+        got: list[bytes | None] = [None] * len(new)
+        short = sorted((i for i, r in enumerate(raw) if 0 < len(r) <= self.SHORT), key=lambda i: len(raw[i]))
+        for lo in range(0, len(short), 2048):
+            part = short[lo : lo + 2048]
+            for i, ids in zip(part, self.search([raw[i] for i in part]), strict=True):
+                got[i] = ids
+        for i, (w, u) in enumerate(zip(new, units, strict=True)):
+            ids = got[i] if got[i] is not None else np.array(self.viterbi(u), np.int32).tobytes()
+            got[i] = self.line + ids if w[:1] == "\n" and self.splits_lines else ids
+        if len(self.words) + len(new) <= self.CACHE:
+            self.words.update(zip(new, got, strict=True))
+            return self.words
+        return {w: self.words[w] for w in words if w in self.words} | dict(zip(new, got, strict=True))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
+        """The ids of texts as packed 32-bit numbers."""
+        split: list[list[str] | None] = []
+        for t in texts:
+            if t and self.splits_lines:
+                t = t.replace("\n", " \n")
+            plain = t and MARK not in t and "  " not in t and t[0] != " " and t[-1] != " "
+            split.append(t.split(" ") if plain else None)
+        found = self.lookup({w for s in split if s for w in s}).__getitem__
+        return [b"".join(map(found, s)) if s else None if t is None else self.encode(t) for t, s in zip(texts, split, strict=True)]
 
     def encode(self, text: str) -> bytes:
+        """The same for one text of any form."""
         if not text:
             return b""
-        if MARK not in text and "  " not in text and text[0] != " " and text[-1] != " ":
-            return b"".join(map(self.words.__getitem__, text.split(" ")))
         marked = MARK + text.replace(" ", MARK)
-        return b"".join(map(self.unit, re.findall(f"{MARK}+[^{MARK}]*", marked)))
+        return b"".join(np.array(self.viterbi(u), np.int32).tobytes() for u in re.findall(f"{MARK}+[^{MARK}]*", marked))
 
 
 def decode_ids(model: PieceModel, ids: list[int]) -> str:
@@ -207,7 +263,7 @@ def sp_encode(docs: DataFrame, path: str, text: str = "text", carry: tuple[str,
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
-                rows = [None if t is None else encoder.encode(t) for t in part.column(len(carry)).to_pylist()]
+                rows = encoder.encode_all(part.column(len(carry)).to_pylist())
                 sizes = [0 if r is None else len(r) // 4 for r in rows]
                 flat = pa.array(np.frombuffer(b"".join(r for r in rows if r), np.int32))
                 offsets = np.cumsum([0, *sizes]).astype(np.int32)
@@ -228,12 +284,13 @@ def sp_decode(encoded: DataFrame, path: str, carry: tuple[str, ...] = ("doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        for batch in batches:
-            texts, n_bytes = [], []
-            for x in batch.column(len(carry)):
-                ids = x.values.to_numpy(zero_copy_only=False) if x.is_valid else None
-                texts.append(None if ids is None else decode_ids(m, ids.tolist()))
-                n_bytes.append(0 if ids is None else int(m.is_byte[ids].sum()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(texts, pa.string()), pa.array(n_bytes, pa.int64())], names=[*carry, "text", "n_byte_pieces"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                batch, texts, n_bytes = whole.slice(lo, 256), [], []
+                for x in batch.column(len(carry)):
+                    ids = x.values.to_numpy(zero_copy_only=False) if x.is_valid else None
+                    texts.append(None if ids is None else decode_ids(m, ids.tolist()))
+                    n_bytes.append(0 if ids is None else int(m.is_byte[ids].sum()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(texts, pa.string()), pa.array(n_bytes, pa.int64())], names=[*carry, "text", "n_byte_pieces"])
 
     return out.mapInArrow(run, schema)

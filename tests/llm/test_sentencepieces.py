@@ -58,6 +58,16 @@ def test_best_score_matches_the_library_in_unigram_mode(model):
     assert same > 0.95 * len(texts())
 
 
+def test_array_search_is_the_plain_one(model):
+    rng = random.Random(9)
+    lines = texts() + ["a\nb c\n\nd", "\nx", "x\n", "a \nb", "a\n b", "\x00nul 🙂smile", "w" * 60 + " z"] + [" ".join("".join(rng.choice("abcdeéñ the") for _ in range(rng.randint(1, 30))).split()) for _ in range(300)]
+    enc = Encoder(model)
+    assert enc.encode_all(lines + [None]) == [enc.encode(t) for t in lines] + [None]
+    small = Encoder(model)
+    small.CACHE = 40
+    assert small.encode_all(lines) == enc.encode_all(lines)
+
+
 def test_frames(spark, model):
     rows = [(i, t, "x") for i, t in enumerate(texts())] + [(None, None, "x"), (3, "again", "x"), (3, "again", "x"), (9, "long " * 50_000, "x")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string").repartition(3)
