@@ -108,13 +108,14 @@ def ledger(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_i
     repeated rows; other columns of docs are ignored, whatever their names.
     Texts are read once, in a map without a shuffle, in chunks of bounded size.
     """
-    kept = [docs[c] for c in carry]
-    out = docs.select(*kept, docs[text].alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields[:-1]] + ["failed bigint"] + [f"{m} bigint" for m in MEASURES])
+    place = carry.index(text) if text in carry else len(carry)
+    out = docs.select(*[docs[c] for c in carry], *([] if text in carry else [docs[text].alias("__text")]))
+    carried = out.schema.fields[: len(carry)]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in carried] + ["failed bigint"] + [f"{m} bigint" for m in MEASURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, data, offs in ta.chunks(batch.column(batch.num_columns - 1)):
+            for lo, hi, data, offs in ta.chunks(batch.column(place)):
                 m = measure(data, offs)
                 cols = [batch.column(i).slice(lo, hi - lo) for i in range(len(carry))]
                 cols += [pa.array(failures(m))] + [pa.array(m[k].astype(np.int64)) for k in MEASURES]
@@ -144,6 +145,6 @@ def ablations(led: DataFrame, version: str = CURRENT) -> DataFrame:
     return led.agg(*sums).select(F.inline(pairs))
 
 
-def quality_rules(docs: DataFrame, version: str = CURRENT) -> DataFrame:
+def quality_rules(docs: DataFrame, version: str = CURRENT, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ledger of `docs` under a policy."""
-    return apply_policy(ledger(docs), version)
+    return apply_policy(ledger(docs, carry=carry), version)

@@ -233,6 +233,9 @@ def removed_words(docs: DataFrame, flags: DataFrame, keep_text: bool = False) ->
                 n_removed = np.bincount(doc[drop], minlength=hi - lo)
                 raw, ends_at, out = data.tobytes(), np.cumsum(n_words), []
                 for i in range(hi - lo):
+                    if keep_text and not n_removed[i]:
+                        out.append(raw[offs[i] : offs[i + 1]].decode("utf-8", "replace"))
+                        continue
                     w = raw[offs[i] : offs[i + 1]].split()
                     if n_removed[i]:
                         w = compress(w, ~drop[ends_at[i] - n_words[i] : ends_at[i]])
@@ -248,8 +251,9 @@ def removed_words(docs: DataFrame, flags: DataFrame, keep_text: bool = False) ->
 def substring_dedup(docs: DataFrame, batches: int = 2, keep_text: bool = False) -> DataFrame:
     """Removes each word covered by a 13-word window that also starts in a smaller doc_id.
 
-    Returns docs without its text and with n_words, n_removed and kept_sha256 (or text, the
-    kept words joined by one space, if keep_text).  docs is added to an empty index in
+    Returns docs without its text and with n_words, n_removed and kept_sha256, of the kept words
+    joined by one space (or, if keep_text, with these words as text; a text that loses none stays
+    as it is).  docs is added to an empty index in
     `batches` batches of ascending doc_id.  Null and empty texts have no words; texts of fewer
     than 13 words keep all; a row with a null doc_id is compared with nothing; rows with the
     same doc_id do not remove each other's words.
