@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from .plans import series, space
+
+_PLANS = (series, space)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: q for p in _PLANS for n, q in p.QUERIES.items()}
+ORACLES: dict[str, str] = {n: q for p in _PLANS for n, q in p.ORACLES.items()}
