@@ -26,10 +26,11 @@ def clip(x: Column, low: float, high: float) -> Column:
 def quaternion_matrix(x: Column, y: Column, z: Column, w: Column) -> Column:
     """Row-major rotation of a quaternion that need not be of unit length; identity for zero."""
     n = norm([x, y, z, w])
+    n = F.when(n > 0, n)
     x, y, z, w = x / n, y / n, z / n, w / n
     m = [1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w), 2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w), 2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)]
     eye = F.array(*[F.lit(float(i % 4 == 0)) for i in range(9)])
-    return F.when(n > 0, F.array(*m)).otherwise(eye)
+    return F.when(n.isNotNull(), F.array(*m)).otherwise(eye)
 
 
 def rotation_degrees(a: Column, b: Column) -> Column:

@@ -23,7 +23,7 @@ def set_scores(truth: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame
     """One row: precision and recall of distinct keys."""
     t, f = truth.select(*keys).distinct().withColumn("t", F.lit(1)), found.select(*keys).distinct().withColumn("f", F.lit(1))
     x = t.join(f, keys, "full").agg(F.count("t").alias("n_truth"), F.count("f").alias("n_found"), F.count_if(F.col("t") + F.col("f") == 2).alias("n_both"))
-    return x.select("n_truth", "n_found", "n_both", (F.col("n_both") / F.col("n_found")).alias("precision"), (F.col("n_both") / F.col("n_truth")).alias("recall"))
+    return x.select("n_truth", "n_found", "n_both", F.try_divide("n_both", "n_found").alias("precision"), F.try_divide("n_both", "n_truth").alias("recall"))
 
 
 def largest(df: DataFrame, key: str, size: str, tie: str) -> DataFrame:
@@ -36,7 +36,7 @@ def box_iou(a: list[Column], b: list[Column]) -> Column:
     side = lambda i: F.greatest(F.lit(0.0), F.least(a[i + 1], b[i + 1]) - F.greatest(a[i], b[i]))
     both = side(0) * side(2)
     area = lambda x: (x[1] - x[0]) * (x[3] - x[2])
-    return F.coalesce(both / (area(a) + area(b) - both), F.lit(0.0))
+    return F.coalesce(F.try_divide(both, area(a) + area(b) - both), F.lit(0.0))
 
 
 def head_to_head(df: DataFrame, ours: Column, theirs: Column, tie: float) -> DataFrame:

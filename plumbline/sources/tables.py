@@ -52,7 +52,7 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rooms(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = F.col("c_acctbal")
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("room_id"), (F.abs(b) / 100).alias("room_area"), F.when(b >= 0, 2.2 + F.pmod("c_custkey", F.lit(5)) * 0.2).cast("double").alias("room_height"), (4 * F.sqrt(F.abs(b) / 100)).alias("perimeter"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("room_id"), (F.abs(b) / 97).alias("room_area"), F.when(b >= 0, 2.2 + F.pmod("c_custkey", F.lit(5)) * 0.2).cast("double").alias("room_height"), (4 * F.sqrt(F.abs(b) / 97)).alias("perimeter"))
 
 
 #: The same inputs as DuckDB SQL, to put after WITH.
@@ -66,5 +66,5 @@ SQL = {
         CASE WHEN o_orderkey % 5 > 0 THEN least(o_orderkey % 5, 3) END AS water_category, CASE WHEN o_orderkey % 6 > 1 THEN o_orderkey % 6 - 1 END AS water_class,
         CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 4 END AS mold_condition, CASE WHEN o_orderkey % 8 = 1 THEN 'char' WHEN o_orderkey % 8 = 2 THEN 'consumed' WHEN o_orderkey % 8 < 6 THEN 'soot' END AS subtype,
         CASE WHEN o_orderkey % 9 > 0 THEN (o_orderkey % 9) * 0.6::DOUBLE END AS run_length FROM orders)""",
-    "rooms": "rooms AS (SELECT c_custkey AS room_id, abs(c_acctbal) / 100 AS room_area, CASE WHEN c_acctbal >= 0 THEN 2.2::DOUBLE + (c_custkey % 5) * 0.2::DOUBLE END AS room_height, 4 * sqrt(abs(c_acctbal) / 100) AS perimeter FROM customer)",
+    "rooms": "rooms AS (SELECT c_custkey AS room_id, abs(c_acctbal) / 97 AS room_area, CASE WHEN c_acctbal >= 0 THEN 2.2::DOUBLE + (c_custkey % 5) * 0.2::DOUBLE END AS room_height, 4 * sqrt(abs(c_acctbal) / 97) AS perimeter FROM customer)",
 }
