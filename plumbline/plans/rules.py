@@ -85,7 +85,7 @@ def scope_export(s, d):
     """Line items left-joined with rooms, blank where unmeasured, as the CSV sink writes them."""
     from ..sources.sinks import line_item_rows
 
-    return line_item_rows(scope.water_items(regions(s, d)).where("room_id % 10 = 0"), rooms(s, d))
+    return line_item_rows(scope.water_items(regions(s, d)).withColumn("quantity", F.col("quantity") * 1.0123), rooms(s, d))
 
 
 def _truth(s, d):
@@ -177,13 +177,13 @@ ORACLES = {
     "measurement_interval": f"""{_R}, x AS (SELECT *, id % 900 + 1 AS n, area / 1000 AS rms FROM regions), y AS (SELECT *, greatest(rms / sqrt(n), 0.002) AS p1, greatest(rms * 2 / sqrt(n + 5), 0.002) AS p2 FROM x)
         SELECT id, round(1.645::DOUBLE * 2 * sqrt(p1 * p1 + (v0 / 100) * (v0 / 100)) * (1 + 1.5::DOUBLE * ((id % 5) / 5.0::DOUBLE)) * CASE WHEN id % 2 = 0 THEN 1 ELSE 3 END, 6) AS length, round(1.645::DOUBLE * sqrt(p1 * p1 + p2 * p2), 6) AS height, round(width * 4 * p1 / 2 * 1.645::DOUBLE, 6) AS area, round(area * (0.12::DOUBLE / sqrt(greatest(id % 6, 1)) + CASE WHEN id % 3 = 0 THEN 0 ELSE 0.25 END) * 1.645::DOUBLE, 6) AS damage, round(0.5::DOUBLE * (1 - exp(-0.55::DOUBLE * (id % 6))) + 0.25 * least(greatest(area / 3, 0), 1) + 0.25 * v0, 6) AS confidence FROM y""",
     "evidence_flags": f"{_R} SELECT id, array_to_string(list_sort(list_filter([CASE WHEN area < 1 THEN 'small' END, CASE WHEN area > 3 THEN 'large' END, CASE WHEN v0 <= 0.2 THEN 'low' END, CASE WHEN coalesce(run_length < 1, true) THEN 'inferred' END, CASE WHEN width = 0 THEN 'thin' END], lambda x: x IS NOT NULL)), '+') AS flags FROM regions",
-    "scope_export": f"{_RR}, {_WATER} SELECT i.room_id, code, action, printf('%.3f', quantity) AS quantity, coalesce(printf('%.3f', room_area), '') AS room_area, coalesce(printf('%.3f', room_height), '') AS room_height, rule_id FROM i LEFT JOIN rooms ON i.room_id = rooms.room_id WHERE i.room_id % 10 = 0",
+    "scope_export": f"{_RR}, {_WATER} SELECT i.room_id, code, action, printf('%.3f', quantity * 1.0123::DOUBLE) AS quantity, coalesce(printf('%.3f', room_area), '') AS room_area, coalesce(printf('%.3f', room_height), '') AS room_height, rule_id FROM i LEFT JOIN rooms ON i.room_id = rooms.room_id",
     "gate_report": f"{_T}, e AS (SELECT lang, abs((n_chars % 97) / 10.0::DOUBLE - quality * 3) AS e FROM t) SELECT lang, count(*) AS n, round(avg((e <= 4)::INT), 6) AS passed, round(median(e), 6) AS median_error, round(quantile_cont(e, 0.9), 6) AS p90_error, round(max(e), 6) AS max_error, round(avg((e <= 5)::INT), 6) AS covered FROM e GROUP BY lang",
     "macro_f1": f"{_T}, c AS (SELECT DISTINCT quality AS c FROM t UNION SELECT DISTINCT found FROM t), p AS (SELECT c, count(*) FILTER (quality = c AND found = c) AS tp, count(*) FILTER (quality <> c AND found = c) AS fp, count(*) FILTER (quality = c AND found <> c) AS fn FROM t, c GROUP BY c) SELECT round(avg(2 * tp / (2 * tp + fp + fn)::DOUBLE), 6) AS macro_f1, count(*) AS n_classes FROM p WHERE tp + fp + fn > 0",
     "set_precision_recall": f"{_T} SELECT count(DISTINCT doc_id) FILTER (quality = 1) AS n_truth, count(DISTINCT doc_id) FILTER (found = 1) AS n_found, count(DISTINCT doc_id) FILTER (quality = 1 AND found = 1) AS n_both, round(count(DISTINCT doc_id) FILTER (quality = 1 AND found = 1) / count(DISTINCT doc_id) FILTER (found = 1)::DOUBLE, 6) AS precision, round(count(DISTINCT doc_id) FILTER (quality = 1 AND found = 1) / count(DISTINCT doc_id) FILTER (quality = 1)::DOUBLE, 6) AS recall FROM t",
     "line_item_recall": f"{_R}, {_WATER}, q AS (SELECT room_id, code, action, sum(quantity) AS quantity FROM i GROUP BY ALL), r AS (SELECT * REPLACE (quantity * (1 + (room_id % 20) * 0.01::DOUBLE) AS quantity) FROM q) SELECT code, count(*) AS n_hit FROM r WHERE EXISTS (SELECT 1 FROM q WHERE q.room_id = r.room_id AND q.code = r.code AND q.action = r.action AND abs(r.quantity - q.quantity) <= 0.1::DOUBLE * greatest(r.quantity, 1e-6)) GROUP BY code",
     "truth_missing": f"{_R} SELECT DISTINCT room_id, room_id NOT IN (SELECT room_id FROM regions WHERE damage_class = 'fire') AS missing FROM regions WHERE damage_class = 'water'",
-    "box_iou": f"{_R}, b AS (SELECT *, row_number() OVER (PARTITION BY room_id, damage_class ORDER BY area DESC, id) AS k FROM regions), x AS (SELECT w.room_id, greatest(0, least(w.width, f.width)) * greatest(0, least(w.v1, f.v1) - greatest(w.v0, f.v0)) AS both, w.width * (w.v1 - w.v0) AS a1, f.width * (f.v1 - f.v0) AS a2, f.id AS fid FROM (SELECT * FROM b WHERE k = 1 AND damage_class = 'water') w LEFT JOIN (SELECT * FROM b WHERE k = 1 AND damage_class = 'fire') f ON w.room_id = f.room_id) SELECT room_id, round(CASE WHEN fid IS NULL OR a1 + a2 - both = 0 THEN 0 ELSE both / (a1 + a2 - both) END, 6) AS iou FROM x",
+    "box_iou": f"{_R}, b AS (SELECT *, row_number() OVER (PARTITION BY room_id, damage_class ORDER BY area DESC, id) AS k FROM regions), x AS (SELECT w.room_id, greatest(0, least(w.width, f.width)) * greatest(0, least(w.v1, f.v1) - greatest(w.v0, f.v0)) AS shared, w.width * (w.v1 - w.v0) AS a1, f.width * (f.v1 - f.v0) AS a2, f.id AS fid FROM (SELECT * FROM b WHERE k = 1 AND damage_class = 'water') w LEFT JOIN (SELECT * FROM b WHERE k = 1 AND damage_class = 'fire') f ON w.room_id = f.room_id) SELECT room_id, round(CASE WHEN fid IS NULL OR a1 + a2 - shared = 0 THEN 0 ELSE shared / (a1 + a2 - shared) END, 6) AS iou FROM x",
     "head_to_head": f"{_T}, e AS (SELECT abs((n_chars % 97) / 10.0::DOUBLE - quality) - abs((n_chars % 89) / 10.0::DOUBLE - quality) AS d FROM t) SELECT count(*) FILTER (d < -0.5) AS wins, count(*) FILTER (abs(d) <= 0.5) AS ties, count(*) FILTER (d > 0.5) AS losses FROM e",
     "area_by_class": f"{_R} SELECT damage_class, count(*) AS n, round(sum(area), 4) AS area, round(stddev_pop(v1), 6) AS std FROM regions GROUP BY 1",
 }
