@@ -9,8 +9,8 @@
    Both meetings are certain, so no link is lost.
 3. A key that few classes share gives pairs.  A key that many share gives a star, whose
    components are sorted by size and cut into blocks; blocks of compatible sizes form tiles.
-4. Inside a tile, the bits that two hashed bitmaps lack bound the overlap from above; what
-   passes is intersected exactly.  Rows already connected in a tile are not compared again.
+4. The bits that two hashed bitmaps lack bound the overlap from above, of a pair before its
+   sets are sent anywhere and again inside a tile; what passes is intersected exactly.  Rows already connected in a tile are not compared again.
 """
 
 from __future__ import annotations
@@ -281,6 +281,55 @@ def _verify(tiles: DataFrame, num: int, den: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a bigint, b bigint")
 
 
+def _bitmaps(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, bitmap): hashed bitmaps of four bits or more to a shingle, a power of two wide."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offs in ta.chunks(batch.column(1)):
+                values, bounds = shingle_sets(data, offs, k)
+                maps = []
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    bits = max(64, 1 << (4 * (b - a) - 1).bit_length()) if b > a else 64
+                    spot = np.zeros(bits, bool)
+                    spot[(values[a:b] >> U64(7)).astype(np.int64) & (bits - 1)] = True
+                    maps.append(np.packbits(spot, bitorder="little").tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(maps, pa.binary())], names=["doc_id", "bitmap"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, bitmap binary")
+
+
+def _bounded(pairs: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs(a, b, na, nb) whose bitmaps do not rule the link out.
+
+    A bit of one map that the other lacks is a shingle the other lacks, so the overlap is at
+    most a set's size less such bits.  The wider map is folded onto the narrower one.
+    """
+    side = lambda x: maps.select(F.col("doc_id").alias(x), F.col("bitmap").alias(f"m{x}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            need = -(-num * (na + nb) // (num + den))
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5), strict=True)):
+                x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
+                w = min(len(x), len(y))
+                x, y = (np.bitwise_or.reduce(m.reshape(-1, w), axis=0) for m in (x, y))
+                most = min(na[i] - int(np.bitwise_count(x & ~y).sum()), nb[i] - int(np.bitwise_count(y & ~x).sum()))
+                keep[i] = most >= need[i]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ma", "mb")
+    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _read_again(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs of the ids, which are broadcast only if they are few."""
+    ids = stored(ids.distinct(), "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,18 +362,16 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     met = met.join(side("a"), "a").join(side("b"), "b").where("ra <> rb")
     met = stored(met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), "many", "na", "nb").distinct(), "candidates")
 
-    pairs = met.where((F.col("many") == 0) & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)).select("a", "b").distinct()
+    pairs = met.where((F.col("many") == 0) & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)).select("a", "b", "na", "nb").distinct()
+    maps = _bitmaps(_read_again(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), k)
+    pairs = stored(_bounded(pairs, stored(maps, "bitmaps"), num, den), "pairs")
     tiles = pairs.select(F.concat_ws("-", "a", "b").alias("tile"), F.explode(F.array("a", "b")).alias("doc_id"))
     stars = met.where("many = 1").select("a", "b")
     if not stars.isEmpty():
         groups = connected_components(stars)
         tiles = tiles.unionByName(_star_tiles(groups, of, num, den))
     tiles = stored(tiles, "tiles")
-
-    need = stored(tiles.select("doc_id").distinct(), "need")
-    if need.count() <= BROADCAST_IDS:
-        need = F.broadcast(need)
-    sets = stored(_sets(docs.join(need, "doc_id", "left_semi"), k), "shingles")
+    sets = stored(_sets(_read_again(docs, tiles.select("doc_id")), k), "shingles")
     links = _verify(tiles.join(sets, "doc_id"), num, den)
     equal = of.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     found = connected_components(links)
