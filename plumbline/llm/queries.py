@@ -9,6 +9,7 @@ from .embedding_dedup import embedding_dedup
 from .importance import importance_resample
 from .jaccard_join import jaccard_join
 from .mixing import mix_sources
+from .oracles import ORACLES as ORACLES
 from .quality_rules import quality_rules
 from .sentencepieces import sp_decode, sp_encode
 from .substring_dedup import substring_dedup
@@ -76,8 +77,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
-ORACLES: dict[str, str] = {}
-
 QUERIES = {
     "op1_importance": op1_importance,
     "op2_mixing": op2_mixing,
