@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 def measured(x: Column) -> Column:
     """A measurement as CSV text: three decimals, or nothing."""
-    return F.coalesce(F.format_string("%.3f", x), F.lit(""))
+    return F.when(x.isNull(), F.lit("")).otherwise(F.format_string("%.3f", x))
 
 
 def line_item_rows(items: DataFrame, rooms: DataFrame) -> DataFrame:
     """Line items with their rooms, ready for CSV; an item of an unknown room stays, with blanks."""
     x = items.join(rooms, "room_id", "left")
-    blank = lambda c: F.when(F.col(c).isNull(), F.lit("")).otherwise(F.format_string("%.3f", F.col(c))).alias(c)
-    return x.select("room_id", "code", "action", F.format_string("%.3f", F.col("quantity")).alias("quantity"), blank("room_area"), blank("room_height"), "rule_id")
+    shown = [measured(F.col(c)).alias(c) for c in ("quantity", "room_area", "room_height")]
+    return x.select("room_id", "code", "action", *shown, "rule_id")
 
 
 def openings_rows(openings: DataFrame) -> DataFrame:
