@@ -6,7 +6,8 @@
    shingles, fewer than P less the parts that are nearly empty, so they agree in a whole
    part and meet under that part's hash.  Small sets, and sets with many nearly empty
    parts, meet under the shingles of their prefix (the classic prefix filter) instead.
-   Both meetings are certain, so no link is lost.
+   Both meetings are certain, so no link is lost.  Of near sizes they agree in many parts, not
+   in one, so pairs are counted and those with fewer common parts than a link has are gone.
 3. A key that few classes share gives pairs.  A key that many share gives a star, whose
    components are sorted by size and cut into blocks; blocks of compatible sizes form tiles.
 4. The bits that two hashed bitmaps lack bound the overlap from above, of a pair before its
@@ -75,14 +76,22 @@ class Bands:
         self.reach = hi * den // num  # the largest partner of a set in the band
         differ = ((hi + self.reach) * (den - num)) // (den + num)
         self.parts = ((differ + 1) / 0.8).astype(np.int64) + 2
-        self.slack = self.parts - differ - 1
+
+    def differ(self, sizes: np.ndarray) -> np.ndarray:
+        """How many shingles a set and its largest partner can differ in."""
+        return (sizes + sizes * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
 
     def prefix(self, sizes: np.ndarray) -> np.ndarray:
         return sizes - -(-sizes * self.num // self.den) + 1
 
 
 def keys_of(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, document of each): two sets with similarity num/den or more share a key."""
+    """(keys, document of each): two sets with similarity num/den or more share a key.
+
+    Keys of parts are odd, those of prefixes even.  A link shares an even key, or as many odd
+    ones as `needed` says: what is left of P parts after those that differ and those that are
+    nearly empty, of which a set without prefix keys has P - differ(its size) - 1 at most.
+    """
     sizes = np.diff(bounds)
     bands = Bands(num, den, int(sizes.max(initial=0)))
     edges = np.array(bands.edges)
@@ -106,18 +115,25 @@ def keys_of(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple
             total = ta.mix(total + width.astype(U64) * U64(0x9FB21C651E98DF25) + (tile[rows][local[cut]].astype(U64) << U64(32)) + part[cut].astype(U64))
         good = width >= 2
         full = np.bincount(local[cut][good], minlength=len(rows))
-        overflow[rows[parts - full > bands.slack[tile[rows]]]] = True
-        keys.append(total[good])
+        overflow[rows[full <= bands.differ(length)]] = True
+        keys.append(total[good] | U64(1))
         owner.append(rows[local[cut][good]])
     for salt, rows in ((1, np.flatnonzero((sizes > 0) & (sizes <= SMALL * den // num))), (2, np.flatnonzero(overflow))):
         length = bands.prefix(sizes[rows])
         base = np.cumsum(length) - length
         at = np.arange(int(length.sum())) - np.repeat(base - bounds[rows], length)
-        keys.append(ta.mix(values[at] ^ U64(0xA24BAED4963EE407 * salt & (2**64 - 1))))
+        keys.append(ta.mix(values[at] ^ U64(0xA24BAED4963EE407 * salt & (2**64 - 1))) & ~U64(1))
         owner.append(np.repeat(rows, length))
     return np.concatenate(keys), np.concatenate(owner)
 
 
+def needed(num: int, den: int):
+    """Common parts that a link of sizes na and nb has at least, if it shares no prefix key."""
+    small = F.least("na", "nb")
+    most = F.floor((small + F.floor(small * den / num)) * (den - num) / (den + num))
+    return most - F.floor((F.col("na") + F.col("nb")) * (den - num) / (den + num)) + 1
+
+
 def _pack(ids: np.ndarray) -> tuple[int, bytes]:
     """Ids as offsets from the smallest, in as few bytes as they need."""
     low = int(ids.min())
@@ -183,7 +199,8 @@ def _blocks(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFr
 
 
 def _meet(blocks: DataFrame) -> DataFrame:
-    """(a, b, many): ids that share a key, as pairs, or as a star if more than FEW share it."""
+    """(a, b, many, parts, prefixes): ids that share a key, as pairs with how many keys they
+    share, or as a star if more than FEW share it."""
 
     def run(t: pa.Table) -> pa.Table:
         key = np.concatenate([np.frombuffer(x, U64) for x in t["keys"].to_pylist()])
@@ -195,18 +212,24 @@ def _meet(blocks: DataFrame) -> DataFrame:
         key, ids = key[fresh], ids[fresh]
         cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(cut, len(key)))
-        pairs = []
+        pairs, odd = [], (key & U64(1)).astype(np.int64)
         for m in range(2, FEW + 1):
             g = cut[size == m]
-            pairs += [np.stack([ids[g + i], ids[g + j], np.zeros(len(g), np.int64)]) for i in range(m) for j in range(i + 1, m)]
+            pairs += [np.stack([ids[g + i], ids[g + j], np.zeros(len(g), np.int64), odd[g]]) for i in range(m) for j in range(i + 1, m)]
         big = size > FEW
         head, width = cut[big], size[big] - 1
         at = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width) + 1 + np.repeat(head, width)
-        pairs.append(np.stack([ids[np.repeat(head, width)], ids[at], np.ones(len(at), np.int64)]))
-        a, b, many = np.unique(np.concatenate(pairs, axis=1), axis=1)
-        return pa.table({"a": a, "b": b, "many": many})
+        pairs.append(np.stack([ids[np.repeat(head, width)], ids[at], np.ones(len(at), np.int64), np.zeros(len(at), np.int64)]))
+        a, b, many, odd = np.concatenate(pairs, axis=1)
+        order = np.lexsort((b, a, many))
+        a, b, many, odd = a[order], b[order], many[order], odd[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (many[1:] != many[:-1])
+        cut = np.flatnonzero(new)
+        parts = np.add.reduceat(odd, cut) if len(cut) else odd
+        return pa.table({"a": a[cut], "b": b[cut], "many": many[cut], "parts": parts, "prefixes": np.diff(np.append(cut, len(a))) - parts})
 
-    return blocks.groupBy("bucket").applyInArrow(run, "a bigint, b bigint, many bigint")
+    return blocks.groupBy("bucket").applyInArrow(run, "a bigint, b bigint, many bigint, parts bigint, prefixes bigint")
 
 
 class _Tile:
@@ -357,12 +380,17 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     of = stored(real.join(classes, ["n_shingles", "h1", "h2"]).select("doc_id", "rep", F.col("n_shingles").alias("n")), "classes")
 
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = stored(_meet(_blocks(docs, k, num, den, buckets)).distinct(), "met")
+    counts = [F.sum(c).alias(c) for c in ("parts", "prefixes")]
+    met = stored(_meet(_blocks(docs, k, num, den, buckets)).groupBy("a", "b", "many").agg(*counts), "met")
     side = lambda x: of.select(F.col("doc_id").alias(x), F.col("rep").alias(f"r{x}"), F.col("n").alias(f"n{x}"))
     met = met.join(side("a"), "a").join(side("b"), "b").where("ra <> rb")
-    met = stored(met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), "many", "na", "nb").distinct(), "candidates")
+    # a pair that also shares keys of stars is in a star's tiles, so a pair's own keys decide here
+    met = met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), F.when(F.col("ra") < F.col("rb"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("ra") < F.col("rb"), F.col("nb")).otherwise(F.col("na")).alias("nb"), "many", "parts", "prefixes")
+    met = met.groupBy("a", "b", "many", "na", "nb").agg(*counts)
+    near = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & ((F.col("prefixes") > 0) | (F.col("parts") >= needed(num, den)))
+    met = stored(met.where((F.col("many") == 1) | near), "candidates")
 
-    pairs = met.where((F.col("many") == 0) & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)).select("a", "b", "na", "nb").distinct()
+    pairs = met.where("many = 0").select("a", "b", "na", "nb").distinct()
     maps = _bitmaps(_read_again(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), k)
     pairs = stored(_bounded(pairs, stored(maps, "bitmaps"), num, den), "pairs")
     tiles = pairs.select(F.concat_ws("-", "a", "b").alias("tile"), F.explode(F.array("a", "b")).alias("doc_id"))
