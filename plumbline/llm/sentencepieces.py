@@ -274,7 +274,7 @@ def sp_encode(docs: DataFrame, path: str, text: str = "text", carry: tuple[str,
 
 
 def sp_decode(encoded: DataFrame, path: str, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The carried columns, `text` of the ids and `n_bytes_pieces`, how many ids are byte pieces.
+    """The carried columns, `text` of the ids and `n_byte_pieces`, how many ids are byte pieces.
 
     Null ids give a null text.  Ids outside the model are an error.
     """
