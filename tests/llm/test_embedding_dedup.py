@@ -43,3 +43,18 @@ def test_empty_and_null_ids(spark):
     assert embedding_dedup(spark.createDataFrame([], schema)).count() == 0
     got = embedding_dedup(spark.createDataFrame([(None, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [2.0, 0.0]), (4, [1.0])], schema))
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(None, 0, None, True), (2, 2, 2, True), (2, 2, 2, True), (3, 2, 2, False), (4, 0, 4, True)], key=str)
+
+
+def test_hot_cluster(spark):
+    rng = np.random.default_rng(5)
+    n, dim = 12_000, 64
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = unit(rng.standard_normal((n, dim)))
+    hot = 9_000  # cosines around 0.9 to each other, nearly all below the threshold
+    x[:hot] = unit(0.9**0.5 * x[-1] + 0.1**0.5 * x[:hot])
+    for i in range(0, 600, 2):
+        side = rng.standard_normal(dim)
+        x[i + 1] = 0.951 * x[i] + (1 - 0.951**2) ** 0.5 * unit(side - (side @ x[i]) * x[i])
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.astype(np.float32).tolist())], "vec_id bigint, embedding array<float>").repartition(4)
+    of = {r.vec_id: r.component_id for r in embedding_dedup(df).collect()}
+    assert np.mean([of[i] == of[i + 1] for i in range(0, 600, 2)]) >= 0.995
