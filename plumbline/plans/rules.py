@@ -43,8 +43,16 @@ def concealed_flags(s, d):
 
 
 def scope_delta(s, d):
-    """Mold items with a margin of 0.5 against those of 0.3."""
-    r = regions(s, d).where("room_id % 3 = 0")
+    """Mold items with a margin of 0.5 against those of 0.3, in a third of the rooms."""
+    return _delta(regions(s, d).where("room_id % 3 = 0"))
+
+
+def scope_delta_all(s, d):
+    """The same in all rooms."""
+    return _delta(regions(s, d))
+
+
+def _delta(r):
     x = scope.scope_delta(scope.mold_items(r), scope.mold_items(r, scope.override("mold.margin", 0.5)), ["room_id", "code"])
     return x.select("room_id", "code", *r6("old", "new"), "change")
 
@@ -159,7 +167,7 @@ i AS (SELECT id, room_id, 'carpet_remove' AS code, 'remove' AS action, area AS q
 _MOLD = "m AS (SELECT *, (width + 2 * {m}) * (height_extent + 2 * {m}) AS g, coalesce(mold_condition, 3) AS cond FROM regions WHERE damage_class = 'mold'), i{n} AS (SELECT id, room_id, 'mold_remove' AS code, 'remove' AS action, g AS quantity, 'mold.removal_margin' AS rule_id FROM m WHERE cond >= 3 UNION ALL SELECT id, room_id, 'mold_treat', 'treat', g, 'mold.condition_actions' FROM m WHERE cond >= 3 UNION ALL SELECT id, room_id, 'hepa_vacuum', 'clean', g * 2, 'mold.hepa_vacuum_passes' FROM m WHERE cond > 1)"
 _T = "WITH t AS (SELECT l.doc_id, l.quality, d.n_chars, d.lang, (d.n_chars % 3 > 0)::INT AS found FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
 
-QUERIES = {f.__name__: f for f in (scope_water, scope_drying, scope_mold, scope_containment, scope_fire, scope_odour, concealed_flags, scope_delta, margin_sweep, measurement_interval, evidence_flags, scope_export, gate_report, macro_f1, set_precision_recall, line_item_recall, truth_missing, box_iou, head_to_head, area_by_class)}
+QUERIES = {f.__name__: f for f in (scope_water, scope_drying, scope_mold, scope_containment, scope_fire, scope_odour, concealed_flags, scope_delta, scope_delta_all, margin_sweep, measurement_interval, evidence_flags, scope_export, gate_report, macro_f1, set_precision_recall, line_item_recall, truth_missing, box_iou, head_to_head, area_by_class)}
 
 ORACLES = {
     "scope_water": f"{_R}, {_WATER} " + _END.format(k="id, room_id"),
@@ -187,3 +195,4 @@ ORACLES = {
     "head_to_head": f"{_T}, e AS (SELECT abs((n_chars % 97) / 10.0::DOUBLE - quality) - abs((n_chars % 89) / 10.0::DOUBLE - quality) AS d FROM t) SELECT count(*) FILTER (d < -0.5) AS wins, count(*) FILTER (abs(d) <= 0.5) AS ties, count(*) FILTER (d > 0.5) AS losses FROM e",
     "area_by_class": f"{_R} SELECT damage_class, count(*) AS n, round(sum(area), 4) AS area, round(stddev_pop(v1), 6) AS std FROM regions GROUP BY 1",
 }
+ORACLES["scope_delta_all"] = ORACLES["scope_delta"].replace(" WHERE room_id % 3 = 0", "")

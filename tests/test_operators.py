@@ -169,3 +169,12 @@ def test_measures_and_sinks(spark, tmp_path):
     assert [tuple(r) for r in bad] == [("id: required", 1)]
     sinks.write_csv(sinks.openings_rows(df), str(tmp_path / "c"))
     assert spark.read.csv(str(tmp_path / "c"), header=True).count() == 2
+
+
+def test_scope_delta_reaches_every_room(spark):
+    from plumbline.plans import rules
+    from plumbline.sources.tables import regions
+
+    data = "/root/testdata/sf0.001"
+    mold = {r.room_id for r in regions(spark, data).where("damage_class = 'mold' and (mold_condition is null or mold_condition > 1)").collect()}
+    assert {r.room_id for r in rules.QUERIES["scope_delta_all"](spark, data).collect()} == mold
