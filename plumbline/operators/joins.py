@@ -66,7 +66,29 @@ def opposing(df: DataFrame, id_: str, group: str, offset: str, span: tuple[str,
 
 def blocked(rays: DataFrame, wall: str, blockers: DataFrame, on: Column, ray: str, share: float, least: int) -> DataFrame:
     """(wall, n, blocked): walls of which `share` of at least `least` rays meet a blocker."""
-    hit = rays.join(small(blockers), on, "left_semi").select(ray, F.lit(1).alias("hit")).distinct()
+    return _hit_shares(rays, wall, rays.join(small(blockers), on, "left_semi").select(ray), ray, share, least)
+
+
+def blocked_near(points: DataFrame, wall: str, xy: tuple[str, str], radius: float, ray: str, share: float, least: int) -> DataFrame:
+    """(wall, n, blocked): as `blocked`, where every point of another wall within radius in x and in y is a blocker.
+
+    The plane is cut into squares a little wider than radius; each ray looks into the 9 around it,
+    so the join is an equi-join on squares and either side can grow.
+    """
+    side = radius * (1 + 1e-9)
+    square = [F.floor(F.col(c) / side) for c in xy]
+    b = points.select(F.col(wall).alias("__w"), F.col(xy[0]).alias("__x"), F.col(xy[1]).alias("__y"), *[c.alias(f"c{k}") for k, c in enumerate(square)])
+    a = points.select(ray, wall, *xy, *[c.alias(f"c{k}") for k, c in enumerate(square)])
+    step = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    for k in range(2):
+        a = a.withColumn(f"s{k}", F.explode(step)).withColumn(f"c{k}", F.col(f"c{k}") + F.col(f"s{k}")).drop(f"s{k}")
+    near = (F.abs(F.col(xy[0]) - F.col("__x")) < radius) & (F.abs(F.col(xy[1]) - F.col("__y")) < radius)
+    on = (a["c0"] == b["c0"]) & (a["c1"] == b["c1"]) & (F.col(wall) != F.col("__w")) & near
+    return _hit_shares(points, wall, a.join(b, on, "left_semi").select(ray), ray, share, least)
+
+
+def _hit_shares(rays: DataFrame, wall: str, hit: DataFrame, ray: str, share: float, least: int) -> DataFrame:
+    hit = hit.select(ray, F.lit(1).alias("hit")).distinct()
     x = rays.select(wall, ray).join(hit, ray, "left").groupBy(wall).agg(F.count("*").alias("n"), F.avg(F.coalesce("hit", F.lit(0)).cast("double")).alias("blocked"))
     return x.where((F.col("n") >= least) & (F.col("blocked") >= share))
 

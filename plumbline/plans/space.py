@@ -161,13 +161,18 @@ def opposing_pairs(s, d):
 
 
 def ray_block_filter(s, d):
-    """Labels of whose points at least a third have a blocker within 0.05 in x and y."""
+    """Labels of whose points at least a third have a blocker within 0.05 in x and y; every seventh id blocks."""
     p = points(s, d)
     b = p.where("id % 7 = 0").select(F.col("label").alias("bl"), F.col("x").alias("bx"), F.col("y").alias("by"))
     on = (F.col("label") != F.col("bl")) & (F.abs(F.col("x") - F.col("bx")) < 0.05) & (F.abs(F.col("y") - F.col("by")) < 0.05)
     return joins.blocked(p, "label", b, on, "id", 0.33, 20).select("label", "n", *r6("blocked"))
 
 
+def ray_block_all(s, d):
+    """The same where every point of another label blocks."""
+    return joins.blocked_near(points(s, d), "label", ("x", "y"), 0.05, "id", 0.33, 20).select("label", "n", *r6("blocked"))
+
+
 def interval_overlap_pairs(s, d):
     """Orders of one customer whose price intervals overlap by 15% or more."""
     o = table(s, d, "orders").select("o_custkey", "o_orderkey", F.col("o_totalprice").alias("a"), (F.col("o_totalprice") * 1.3).alias("b"))
@@ -226,7 +231,7 @@ _NP = "pr AS (SELECT a.id AS i, b.id AS j, sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a
 
 QUERIES = {
     f.__name__: f
-    for f in (grid_histogram_clip, grid_histogram_floor, grid_hits_near, density_image, grid_dilate, grid_close, grid_open, grid_components, grid_grow, vote_grid, region_support, region_support_frames, dominant_class, weighted_mode, histogram_peaks, quantile_trend, linear_trend, circular_mean, tls_line, ransac_score, loop_candidates, endpoint_gaps, endpoint_components, nearest_surface, best_wall_match, opposing_pairs, ray_block_filter, interval_overlap_pairs, hint_antijoin, greedy_fusion, voxel_downsample, rotation_angle, normal_classes, polygon_area)
+    for f in (grid_histogram_clip, grid_histogram_floor, grid_hits_near, density_image, grid_dilate, grid_close, grid_open, grid_components, grid_grow, vote_grid, region_support, region_support_frames, dominant_class, weighted_mode, histogram_peaks, quantile_trend, linear_trend, circular_mean, tls_line, ransac_score, loop_candidates, endpoint_gaps, endpoint_components, nearest_surface, best_wall_match, opposing_pairs, ray_block_filter, ray_block_all, interval_overlap_pairs, hint_antijoin, greedy_fusion, voxel_downsample, rotation_angle, normal_classes, polygon_area)
 }
 
 ORACLES = {
@@ -264,3 +269,4 @@ ORACLES = {
     "normal_classes": f"{_P} SELECT id, ['E','NE','N','NW','W','SW','S','SE'][((floor((degrees(atan2(ny, nx)) + 22.5) / 45)::BIGINT + 8) % 8 + 1)::INT] AS compass, CASE WHEN nx < -1e-9 OR (abs(nx) <= 1e-9 AND ny < 0) THEN -1.0 ELSE 1.0 END::DOUBLE AS sign, round(abs(degrees(atan2(ny, nx)) - round_even(degrees(atan2(ny, nx)) / 90, 0) * 90), 6) AS deviation FROM pts",
     "polygon_area": f"{_P} SELECT label, round((max(x) - min(x)) * (max(y) - min(y)), 6) AS area, avg(x) BETWEEN min(x) AND max(x) AND avg(y) BETWEEN min(y) AND max(y) AS inside FROM pts GROUP BY label",
 }
+ORACLES["ray_block_all"] = ORACLES["ray_block_filter"].replace("b.id % 7 = 0 AND ", "")

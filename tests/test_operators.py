@@ -178,3 +178,14 @@ def test_scope_delta_reaches_every_room(spark):
     data = "/root/testdata/sf0.001"
     mold = {r.room_id for r in regions(spark, data).where("damage_class = 'mold' and (mold_condition is null or mold_condition > 1)").collect()}
     assert {r.room_id for r in rules.QUERIES["scope_delta_all"](spark, data).collect()} == mold
+
+
+def test_every_point_of_another_label_blocks(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i + 1 + i // 6, i % 3, *map(float, p)) for i, p in enumerate(rng.uniform(-0.5, 0.5, (240, 2)))]  # no id is divisible by 7
+    assert all(r[0] % 7 for r in rows)
+    df = spark.createDataFrame(rows, "id long, label int, x double, y double")
+    got = {r.label: (r.n, round(r.blocked, 9)) for r in joins.blocked_near(df, "label", ("x", "y"), 0.05, "id", 0.33, 20).collect()}
+    hit = {i: any(w != l and abs(x - a) < 0.05 and abs(y - b) < 0.05 for _, w, a, b in rows) for i, l, x, y in rows}
+    want = {l: (80, round(sum(hit[r[0]] for r in rows if r[1] == l) / 80, 9)) for l in range(3)}
+    assert got == {l: w for l, w in want.items() if w[1] >= 0.33} and got
