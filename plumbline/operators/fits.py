@@ -30,6 +30,30 @@ def best_line(df: DataFrame, key: str, x: str, y: str, lines: DataFrame, thresho
     return score.groupBy(key).agg(F.max(F.struct("inliers", (-F.col("line")).alias("l"))).alias("m")).select(key, (-F.col("m.l")).alias("line"), F.col("m.inliers").alias("inliers"))
 
 
+def best_pair_line(df: DataFrame, key: str, id_: str, x: str, y: str, threshold: float, tries: int = 300, apart: float = 0.3, seed: int = 7) -> DataFrame:
+    """(key, line, angle, offset, inliers): of `tries` lines through two of each key's own points, the one with most points near it.
+
+    The first point of a try is drawn from the key's points and the second from those at least
+    `apart` from it, both by seeded hashes of ids, so that the draw is an aggregation; a try
+    without such a point is left out. Of equals the first line counts.
+    """
+    from .joins import small
+
+    p = df.select(key, F.col(id_).alias("i"), F.col(x).alias("x"), F.col(y).alias("y")).where("x = x and y = y and not isnan(x) and not isnan(y)")
+    each = p.withColumn("line", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
+    drawn = lambda k: F.xxhash64("i", "line", F.lit(seed), F.lit(k))
+    first = each.groupBy(key, "line").agg(F.min_by("x", drawn(1)).alias("x1"), F.min_by("y", drawn(1)).alias("y1"))
+    dx, dy = F.col("x") - F.col("x1"), F.col("y") - F.col("y1")
+    far = p.join(small(first), key).where(dx * dx + dy * dy >= apart * apart)
+    pair = far.groupBy(key, "line").agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.min_by("x", drawn(2)).alias("x2"), F.min_by("y", drawn(2)).alias("y2"))
+    angle = F.atan2(F.col("y2") - F.col("y1"), F.col("x2") - F.col("x1"))
+    lines = pair.select(key, "line", angle.alias("angle"), "x1", "y1").withColumn("offset", F.cos("angle") * F.col("y1") - F.sin("angle") * F.col("x1")).drop("x1", "y1")
+    near = F.abs(F.cos("angle") * F.col("y") - F.sin("angle") * F.col("x") - F.col("offset")) <= threshold
+    score = p.join(small(lines), key).groupBy(key, "line").agg(F.min("angle").alias("angle"), F.min("offset").alias("offset"), F.count_if(near).alias("inliers"))
+    best = score.groupBy(key).agg(F.max(F.struct("inliers", (-F.col("line")).alias("l"), "angle", "offset")).alias("m"))
+    return best.select(key, (-F.col("m.l")).alias("line"), F.col("m.angle").alias("angle"), F.col("m.offset").alias("offset"), F.col("m.inliers").alias("inliers"))
+
+
 def tls_planes(df: DataFrame, key: str) -> DataFrame:
     """(key, n, nx, ny, nz, offset, rms) of points (x, y, z): moments by Spark, one 3x3 problem per key in numpy."""
     pairs = ["xx", "yy", "zz", "xy", "xz", "yz"]

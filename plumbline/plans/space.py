@@ -119,6 +119,11 @@ def ransac_score(s, d):
     return fits.best_line(points(s, d), "label", "x", "y", h, 0.05).select("label", "line", "inliers")
 
 
+def ransac_pairs(s, d):
+    """The best of 300 lines through two points of each label, with its angle, offset and inliers."""
+    return fits.best_pair_line(points(s, d), "label", "id", "x", "y", 0.05).select("label", "line", *r6("angle", "offset"), "inliers")
+
+
 def loop_candidates(s, d):
     x = joins.loop_candidates(points(s, d), "id", ["x", "y", "z"], ["nx", "ny", "nz"], 0.3, 4, geometry.DEGREES_70, 220)
     return x.select("i", "j", *r6("distance"))
@@ -231,7 +236,7 @@ _NP = "pr AS (SELECT a.id AS i, b.id AS j, sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a
 
 QUERIES = {
     f.__name__: f
-    for f in (grid_histogram_clip, grid_histogram_floor, grid_hits_near, density_image, grid_dilate, grid_close, grid_open, grid_components, grid_grow, vote_grid, region_support, region_support_frames, dominant_class, weighted_mode, histogram_peaks, quantile_trend, linear_trend, circular_mean, tls_line, ransac_score, loop_candidates, endpoint_gaps, endpoint_components, nearest_surface, best_wall_match, opposing_pairs, ray_block_filter, ray_block_all, interval_overlap_pairs, hint_antijoin, greedy_fusion, voxel_downsample, rotation_angle, normal_classes, polygon_area)
+    for f in (grid_histogram_clip, grid_histogram_floor, grid_hits_near, density_image, grid_dilate, grid_close, grid_open, grid_components, grid_grow, vote_grid, region_support, region_support_frames, dominant_class, weighted_mode, histogram_peaks, quantile_trend, linear_trend, circular_mean, tls_line, ransac_score, ransac_pairs, loop_candidates, endpoint_gaps, endpoint_components, nearest_surface, best_wall_match, opposing_pairs, ray_block_filter, ray_block_all, interval_overlap_pairs, hint_antijoin, greedy_fusion, voxel_downsample, rotation_angle, normal_classes, polygon_area)
 }
 
 ORACLES = {

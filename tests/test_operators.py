@@ -189,3 +189,14 @@ def test_every_point_of_another_label_blocks(spark):
     hit = {i: any(w != l and abs(x - a) < 0.05 and abs(y - b) < 0.05 for _, w, a, b in rows) for i, l, x, y in rows}
     want = {l: (80, round(sum(hit[r[0]] for r in rows if r[1] == l) / 80, 9)) for l in range(3)}
     assert got == {l: w for l, w in want.items() if w[1] >= 0.33} and got
+
+
+def test_best_pair_line_finds_a_line_off_the_mean(spark):
+    t = np.linspace(0, 4, 120)
+    pts = [(float(a), 0.5 * a) for a in t] + [(float(a), 0.5 * a + 3) for a in t[::2]]
+    df = spark.createDataFrame([(i, 1, x, float(y)) for i, (x, y) in enumerate(pts)] + [(999, 2, 0.0, 0.0), (1000, 2, 0.1, 0.0)], "id long, k int, x double, y double")
+    got = fits.best_pair_line(df, "k", "id", "x", "y", 0.05).collect()
+    assert [(r.k, r.inliers) for r in got] == [(1, 120)]  # key 2 has no two points far enough apart
+    assert abs(np.tan(got[0].angle) - 0.5) < 1e-6 and abs(got[0].offset) < 1e-6
+    fixed = spark.range(36).select(F.col("id").alias("line"), (F.col("id") * np.pi / 36).alias("angle"))
+    assert fits.best_line(df, "k", "x", "y", fixed, 0.05).where("k = 1").first().inliers < 120
