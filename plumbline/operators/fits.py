@@ -78,7 +78,7 @@ def scale_shift(df: DataFrame, key: str, x: str, y: str, least: int = 100, low:
     """(key, n, scale, shift, rms): repeated-median fits of y = scale * x + shift per frame.
 
     The slope is the median over points of each one's median slope to the others, the shift
-    the same of intercepts. A key with fewer than `least` points or an implausible scale has none.
+    the median of y - scale * x. A key with fewer than `least` points or an implausible scale has none.
     """
 
     def fit(g: pd.DataFrame) -> pd.DataFrame:
@@ -91,8 +91,7 @@ def scale_shift(df: DataFrame, key: str, x: str, y: str, least: int = 100, low:
         with np.errstate(divide="ignore", invalid="ignore"):
             slopes = [np.nanmedian(np.where(a != p, (b - q) / (a - p), np.nan)) for p, q in zip(a, b, strict=True)]
             scale = float(np.nanmedian(slopes))
-        crossing = [np.nanmedian(np.where(a != p, (q * a - p * b) / (a - p), np.nan)) for p, q in zip(a, b, strict=True)] if len(a) <= 2000 else [b - scale * a]
-        shift = float(np.nanmedian(np.concatenate([np.atleast_1d(c) for c in crossing])))
+        shift = float(np.median(b - scale * a))
         if not low <= scale <= high:
             return none
         return pd.DataFrame([(g[key].iloc[0], len(a), scale, shift, float(np.sqrt(np.mean((scale * a + shift - b) ** 2))))], columns=[key, "n", "scale", "shift", "rms"])

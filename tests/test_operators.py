@@ -200,3 +200,14 @@ def test_best_pair_line_finds_a_line_off_the_mean(spark):
     assert abs(np.tan(got[0].angle) - 0.5) < 1e-6 and abs(got[0].offset) < 1e-6
     fixed = spark.range(36).select(F.col("id").alias("line"), (F.col("id") * np.pi / 36).alias("angle"))
     assert fits.best_line(df, "k", "x", "y", fixed, 0.05).where("k = 1").first().inliers < 120
+
+
+def test_shift_is_the_median_rest_at_every_size(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for k, n in ((1, 300), (2, 2100)):
+        x = rng.uniform(1, 5, n)
+        y = 2 * x + 0.5 + rng.standard_normal(n) * rng.choice([0.1, 2.0], n) + (x > 4) * 1.5
+        rows += [(k, float(a), float(b)) for a, b in zip(x, y)]
+    for r in fits.scale_shift(spark.createDataFrame(rows, "k int, x double, y double"), "k", "x", "y").collect():
+        assert r["shift"] == pytest.approx(np.median([b - r.scale * a for k, a, b in rows if k == r.k]), abs=1e-9)
