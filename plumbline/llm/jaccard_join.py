@@ -8,10 +8,12 @@
    parts, meet under the shingles of their prefix (the classic prefix filter) instead.
    Both meetings are certain, so no link is lost.  Of near sizes they agree in many parts, not
    in one, so pairs are counted and those with fewer common parts than a link has are gone.
-3. A key that few classes share gives pairs.  A key that many share gives a star, whose
-   components are sorted by size and cut into blocks; blocks of compatible sizes form tiles.
-4. The bits that two hashed bitmaps lack bound the overlap from above, of a pair before its
-   sets are sent anywhere and again inside a tile; what passes is intersected exactly.  Rows already connected in a tile are not compared again.
+3. A key that few classes share gives pairs.  A key that many share is a star: its members are
+   compared with its hub, then those that no link has joined so far with each other, in tiles of
+   compatible size bands.  A class whose links share c part keys or more leaves its c - 1 most
+   frequent ones out (a link keeps its rarest common key), so common passages make no tiles.
+4. The bits that two hashed bitmaps lack bound the overlap from above, before any set is sent
+   anywhere; what passes is intersected exactly, each set being sent once to a hub or tile.
 """
 
 from __future__ import annotations
@@ -20,18 +22,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
 from .components import connected_components
-from .storage import stored
+from .storage import dropped, stored
 
 U64 = np.uint64
 SMALL = 64
 RATIO = 1.5
 FEW = 8
 BLOCK = 256
+#: Shingles of a block at most, but for a single larger set.
+WEIGHT = 1 << 20
+#: Documents that share a key in a flush before the key is hot there, and the mark of such a key.
+CAP, MARK = 64, 255
 #: Ids of rows whose texts are read again may be broadcast up to this many (16 bytes each in a hashed relation).
 BROADCAST_IDS = 1_000_000
 
@@ -85,19 +91,21 @@ class Bands:
         return sizes - -(-sizes * self.num // self.den) + 1
 
 
-def keys_of(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, document of each): two sets with similarity num/den or more share a key.
+def keys_of(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, document of each, odd keys that each document may leave out): two sets with
+    similarity num/den or more share a key.
 
     Keys of parts are odd, those of prefixes even.  A link shares an even key, or as many odd
     ones as `needed` says: what is left of P parts after those that differ and those that are
     nearly empty, of which a set without prefix keys has P - differ(its size) - 1 at most.
+    A set with f full parts shares f - differ(its size) of them or more with any partner.
     """
     sizes = np.diff(bounds)
     bands = Bands(num, den, int(sizes.max(initial=0)))
     edges = np.array(bands.edges)
     band = np.searchsorted(edges, sizes, "right") - 1  # -1: small
     keys, owner = [], []
-    overflow = np.zeros(len(sizes), bool)
+    overflow, spare = np.zeros(len(sizes), bool), np.full(len(sizes), 255, np.int64)
     below = (band >= 1) & (sizes <= bands.reach[np.maximum(band - 1, 0)])
     for tile, rows in ((band, np.flatnonzero(band >= 0)), (band - 1, np.flatnonzero(below))):
         if not len(rows):
@@ -116,6 +124,7 @@ def keys_of(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple
         good = width >= 2
         full = np.bincount(local[cut][good], minlength=len(rows))
         overflow[rows[full <= bands.differ(length)]] = True
+        spare[rows] = np.minimum(spare[rows], full - bands.differ(length) - 1)
         keys.append(total[good] | U64(1))
         owner.append(rows[local[cut][good]])
     for salt, rows in ((1, np.flatnonzero((sizes > 0) & (sizes <= SMALL * den // num))), (2, np.flatnonzero(overflow))):
@@ -124,7 +133,7 @@ def keys_of(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple
         at = np.arange(int(length.sum())) - np.repeat(base - bounds[rows], length)
         keys.append(ta.mix(values[at] ^ U64(0xA24BAED4963EE407 * salt & (2**64 - 1))) & ~U64(1))
         owner.append(np.repeat(rows, length))
-    return np.concatenate(keys), np.concatenate(owner)
+    return np.concatenate(keys), np.concatenate(owner), np.clip(spare, 0, MARK - 1).astype(np.uint8)
 
 
 def needed(num: int, den: int):
@@ -149,6 +158,16 @@ def _unpack(low: int, raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, kind).astype(np.int64) + low
 
 
+def _set_hashes(values: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of each set; equal sets have equal hashes."""
+    out = []
+    for salt in (U64(0x2545F4914F6CDD1D), U64(0x6A09E667F3BCC909)):
+        with np.errstate(over="ignore"):
+            total = np.concatenate([[U64(0)], np.cumsum(ta.mix(values ^ salt), dtype=U64)])
+            out.append(ta.mix(total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
+    return out
+
+
 def _measure(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n_shingles, h1, h2) of every row; equal sets have equal hashes."""
 
@@ -156,78 +175,107 @@ def _measure(docs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for lo, hi, data, offs in ta.chunks(batch.column(1)):
                 values, bounds = shingle_sets(data, offs, k)
-                sums = []
-                for salt in (U64(0x2545F4914F6CDD1D), U64(0x6A09E667F3BCC909)):
-                    with np.errstate(over="ignore"):
-                        total = np.concatenate([[U64(0)], np.cumsum(ta.mix(values ^ salt), dtype=U64)])
-                        sums.append(ta.mix(total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds)), *map(pa.array, sums)], names=["doc_id", "n_shingles", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds)), *map(pa.array, _set_hashes(values, bounds))], names=["doc_id", "n_shingles", "h1", "h2"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint")
 
 
 def _blocks(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFrame:
-    """Packed keys: a task's keys of one bucket are one row, so a shuffle row holds thousands."""
+    """Packed keys: a task's keys of one bucket are one row, so a shuffle row holds thousands.
+
+    A set that the task has met before sends nothing.  Of a key that more than CAP documents of a
+    flush share one goes to the key's bucket, with spare MARK; all of them go to one of as many
+    further buckets, any one, where no keys meet.  So no bucket holds a hot key's documents.
+    """
 
-    def flush(keys: list, ids: list) -> Iterator[pa.RecordBatch]:
-        if not keys:
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
+        if not held:
             return
-        key, own = np.concatenate(keys), np.concatenate(ids)
+        key, own, spare = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(key, kind="stable")
+        key, own, spare = key[order], own[order], spare[order]
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(cut, len(key)))
         bucket = ((key >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
+        if (size > CAP).any():
+            hot = np.repeat(size > CAP, size)
+            head = cut[size > CAP]
+            apart = buckets + (ta.mix(key ^ U64(int(own[0]) & (2**64 - 1))) % U64(buckets)).astype(np.int32)
+            bucket = np.concatenate([np.where(hot, apart, bucket), bucket[head]]).astype(np.int32)
+            key, own = np.concatenate([key, key[head]]), np.concatenate([own, own[head]])
+            spare = np.concatenate([spare, np.full(len(head), MARK, np.uint8)])
         order = np.argsort(bucket, kind="stable")
-        key, own, bucket = key[order], own[order], bucket[order]
+        key, own, spare, bucket = key[order], own[order], spare[order], bucket[order]
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        rows = [(int(bucket[a]), b - a, key[a:b].tobytes(), *_pack(own[a:b])) for a, b in zip(cut, np.append(cut[1:], len(key)), strict=True)]
+        rows = [(int(bucket[a]), b - a, key[a:b].tobytes(), spare[a:b].tobytes(), *_pack(own[a:b])) for a, b in zip(cut, np.append(cut[1:], len(key)), strict=True)]
         for i in range(0, len(rows), 1000):
-            b, n, kk, low, off = zip(*rows[i : i + 1000], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(n, pa.int64()), pa.array(kk, pa.binary()), pa.array(low, pa.int64()), pa.array(off, pa.binary())], names=["bucket", "n", "keys", "low", "ids"])
+            b, n, kk, ss, low, off = zip(*rows[i : i + 1000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(n, pa.int64()), pa.array(kk, pa.binary()), pa.array(ss, pa.binary()), pa.array(low, pa.int64()), pa.array(off, pa.binary())], names=["bucket", "n", "keys", "spare", "low", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ids, held = [], [], 0
+        held, count, seen = [], 0, set()
         for batch in batches:
             for lo, hi, data, offs in ta.chunks(batch.column(1)):
-                key, own = keys_of(*shingle_sets(data, offs, k), num, den)
-                keys.append(key)
-                ids.append(batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[own])
-                held += len(key)
-                if held > 4_000_000:
-                    yield from flush(keys, ids)
-                    keys, ids, held = [], [], 0
-        yield from flush(keys, ids)
-
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "bucket int, n bigint, keys binary, low bigint, ids binary")
-
-
-def _meet(blocks: DataFrame) -> DataFrame:
-    """(a, b, many, parts, prefixes): ids that share a key, as pairs with how many keys they
-    share, or as a star if more than FEW share it."""
+                values, bounds = shingle_sets(data, offs, k)
+                new = np.zeros(hi - lo, bool)
+                for i, h in enumerate(zip(*(x.tolist() for x in _set_hashes(values, bounds)), strict=True)):
+                    new[i] = h not in seen
+                    seen.add(h)
+                if len(seen) > 500_000:
+                    seen.clear()
+                key, own, spare = keys_of(values, bounds, num, den)
+                keep = new[own]
+                key, own = key[keep], own[keep]
+                held.append((key, batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[own], spare[own]))
+                count += len(key)
+                if count > 4_000_000:
+                    yield from flush(held)
+                    held, count = [], 0
+        yield from flush(held)
+
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, "bucket int, n bigint, keys binary, spare binary, low bigint, ids binary")
+
+
+def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(a, b, many, parts, prefixes): ids a and b share so many odd and even keys (many 0), or id b is
+    in the star of key a, may leave out `parts` odd keys, and more than FEW share the key (many 1)."""
 
     def run(t: pa.Table) -> pa.Table:
         key = np.concatenate([np.frombuffer(x, U64) for x in t["keys"].to_pylist()])
+        spare = np.concatenate([np.frombuffer(x, np.uint8) for x in t["spare"].to_pylist()])
         ids = np.concatenate([_unpack(low, raw, n) for low, raw, n in zip(t["low"].to_pylist(), t["ids"].to_pylist(), t["n"].to_pylist(), strict=True)])
-        order = np.lexsort((ids, key))
-        key, ids = key[order], ids[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
-        key, ids = key[fresh], ids[fresh]
-        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(cut, len(key)))
-        pairs, odd = [], (key & U64(1)).astype(np.int64)
-        for m in range(2, FEW + 1):
-            g = cut[size == m]
-            pairs += [np.stack([ids[g + i], ids[g + j], np.zeros(len(g), np.int64), odd[g]]) for i in range(m) for j in range(i + 1, m)]
-        big = size > FEW
-        head, width = cut[big], size[big] - 1
-        at = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width) + 1 + np.repeat(head, width)
-        pairs.append(np.stack([ids[np.repeat(head, width)], ids[at], np.ones(len(at), np.int64), np.zeros(len(at), np.int64)]))
-        a, b, many, odd = np.concatenate(pairs, axis=1)
-        order = np.lexsort((b, a, many))
-        a, b, many, odd = a[order], b[order], many[order], odd[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (many[1:] != many[:-1])
-        cut = np.flatnonzero(new)
-        parts = np.add.reduceat(odd, cut) if len(cut) else odd
-        return pa.table({"a": a[cut], "b": b[cut], "many": many[cut], "parts": parts, "prefixes": np.diff(np.append(cut, len(a))) - parts})
+        none = np.zeros(0, np.int64)
+        if t["bucket"][0].as_py() >= buckets:
+            star, a, b, parts, prefixes = np.arange(len(key)), none, none, none, none
+        else:
+            order = np.lexsort((spare, ids, key))
+            key, ids, spare = key[order], ids[order], spare[order]
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
+            # a document that is marked in one flush may be unmarked in another, which sorts first
+            marked = spare == MARK
+            fresh |= marked
+            key, ids, spare, marked = key[fresh], ids[fresh], spare[fresh], marked[fresh]
+            cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(np.append(cut, len(key)))
+            big = (size > FEW) | np.logical_or.reduceat(marked, cut)
+            pairs, odd = [np.zeros((3, 0), np.int64)], (key & U64(1)).astype(np.int64)
+            for m in range(2, FEW + 1):
+                g = cut[(size == m) & ~big]
+                pairs += [np.stack([ids[g + i], ids[g + j], odd[g]]) for i in range(m) for j in range(i + 1, m)]
+            star = np.flatnonzero(np.repeat(big, size) & ~marked)
+            a, b, odd = np.concatenate(pairs, axis=1)
+            order = np.lexsort((b, a))
+            a, b, odd = a[order], b[order], odd[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            at = np.flatnonzero(new)
+            parts = np.add.reduceat(odd, at) if len(at) else odd
+            prefixes = np.diff(np.append(at, len(a))) - parts
+            a, b = a[at], b[at]
+        ones = np.ones(len(star), np.int64)
+        cols = (a, key[star].view(np.int64)), (b, ids[star]), (0 * a, ones), (parts, spare[star].astype(np.int64)), (prefixes, 0 * ones)
+        return pa.table({c: np.concatenate(x) for c, x in zip(("a", "b", "many", "parts", "prefixes"), cols, strict=True)})
 
     return blocks.groupBy("bucket").applyInArrow(run, "a bigint, b bigint, many bigint, parts bigint, prefixes bigint")
 
@@ -235,7 +283,7 @@ def _meet(blocks: DataFrame) -> DataFrame:
 class _Tile:
     """Sets of a tile, their bitmaps, and union-find over its rows."""
 
-    def __init__(self, ids: list[int], sets: list[np.ndarray]):
+    def __init__(self, ids: list[int], sets: list[np.ndarray], group: list[int]):
         order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
         self.ids, self.sets = [ids[i] for i in order], [sets[i] for i in order]
         self.sizes = np.array([len(s) for s in self.sets])
@@ -248,7 +296,7 @@ class _Tile:
         spot = (flat >> U64(7)).astype(np.int64) & (bits - 1)
         np.bitwise_or.at(maps, (np.repeat(np.arange(len(ids)), self.sizes), spot >> 3), (1 << (spot & 7)).astype(np.uint8))
         self.maps = maps.view(U64)
-        self.label = np.arange(len(ids))
+        self.label = np.unique([group[i] for i in order], return_inverse=True)[1]
 
     def links(self, num: int, den: int) -> Iterator[tuple[int, int]]:
         """A spanning set of the tile's links; pairs that are connected already are skipped."""
@@ -277,35 +325,62 @@ class _Tile:
                     yield self.ids[i], self.ids[j]
 
 
-def _verify(tiles: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) links inside the tiles; rows (tile, doc_id, shingles) arrive sorted by tile."""
+def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], pa.int64()) for j in (0, 1)], names=["a", "b"])
+
+
+def _by_tile(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """(tile, rows) of sorted batches: the first `width` columns name the tile, binary columns stay buffers."""
+    tile, rows = None, []
+    for batch in batches:
+        cols = [[np.frombuffer(x.as_buffer(), U64) for x in c] if pa.types.is_binary(c.type) else c.to_pylist() for c in batch.columns]
+        for r in zip(*cols, strict=True):
+            if r[:width] != tile:
+                if rows:
+                    yield tile, rows
+                tile, rows = r[:width], []
+            rows.append(r[width:])
+    if rows:
+        yield tile, rows
+
+
+def _verify_tiles(tiles: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) links between groups inside tiles(tile, doc_id, grp, shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, ids, sets, found = None, [], [], []
+        for _, rows in _by_tile(batches, 1):
+            ids, group, sets = zip(*rows, strict=True)
+            yield _links(list(_Tile(list(ids), list(sets), list(group)).links(num, den)))
 
-        def close() -> None:
-            if len(ids) > 1:
-                found.extend(_Tile(ids, sets).links(num, den))
+    sorted_rows = tiles.select("tile", "doc_id", "grp", "shingles").repartition("tile").sortWithinPartitions("tile")
+    return sorted_rows.mapInArrow(run, "a bigint, b bigint")
 
-        for batch in batches:
-            for t, i, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if t != tile:
-                    close()
-                    tile, ids, sets = t, [], []
-                ids.append(i)
-                sets.append(np.frombuffer(s.as_buffer(), U64))
-            if len(found) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], pa.int64()) for j in (0, 1)], names=["a", "b"])
-                found.clear()
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in found], pa.int64()) for j in (0, 1)], names=["a", "b"])
-
-    sorted_rows = tiles.select("tile", "doc_id", "shingles").repartition("tile").sortWithinPartitions("tile")
+
+def _verify_hubs(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) links of hubs a with the members of rows(a, chunk, member, doc_id, shingles).
+
+    A chunk is its hub's row, with member 0, and its members.  An exact intersection is a search
+    in the hub's sorted array.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (hub, _), block in _by_tile(batches, 2):
+            found = []
+            hubs, rest = [x[2] for x in block if not x[0]], [x for x in block if x[0]]
+            if hubs and rest:
+                flat, size = np.concatenate([x[2] for x in rest]), np.array([len(x[2]) for x in rest])
+                for h in hubs:
+                    hit = h[np.minimum(np.searchsorted(h, flat), len(h) - 1)] == flat
+                    both = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+                    found += [(hub, rest[i][1]) for i in np.flatnonzero(den * both >= num * (len(h) + size - both)).tolist()]
+            yield _links(found)
+
+    sorted_rows = rows.select("a", "chunk", "member", "doc_id", "shingles").repartition("a", "chunk").sortWithinPartitions("a", "chunk", "member")
     return sorted_rows.mapInArrow(run, "a bigint, b bigint")
 
 
 def _bitmaps(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, bitmap): hashed bitmaps of four bits or more to a shingle, a power of two wide."""
+    """(doc_id, n, bitmap): hashed bitmaps of four bits or more to a shingle, a power of two wide."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,9 +392,9 @@ def _bitmaps(docs: DataFrame, k: int) -> DataFrame:
                     spot = np.zeros(bits, bool)
                     spot[(values[a:b] >> U64(7)).astype(np.int64) & (bits - 1)] = True
                     maps.append(np.packbits(spot, bitorder="little").tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(maps, pa.binary())], names=["doc_id", "bitmap"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds)), pa.array(maps, pa.binary())], names=["doc_id", "n", "bitmap"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, bitmap binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, bitmap binary")
 
 
 def _bounded(pairs: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
@@ -341,10 +416,10 @@ def _bounded(pairs: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame
                 x, y = (np.bitwise_or.reduce(m.reshape(-1, w), axis=0) for m in (x, y))
                 most = min(na[i] - int(np.bitwise_count(x & ~y).sum()), nb[i] - int(np.bitwise_count(y & ~x).sum()))
                 keep[i] = most >= need[i]
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(keep))
 
     rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ma", "mb")
-    return rows.mapInArrow(run, "a bigint, b bigint").distinct()
+    return rows.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint").distinct()
 
 
 def _read_again(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -364,6 +439,34 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, shingles binary")
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """df, stored, and broadcast if its rows are few."""
+    df = stored(df, "few")
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
+def _stars(met: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members (key, rep, n) of stars, less the keys that a class may leave out, and (rep, q): how
+    many odd star keys a class has."""
+    rows = met.where("many = 1").select(F.col("a").alias("key"), F.col("b").alias("doc_id"), F.col("parts").alias("spare"))
+    rows = stored(rows.join(of, "doc_id").groupBy("key", "rep", "n").agg(F.min("spare").alias("spare")), "members")
+    odd = F.col("key").bitwiseAND(F.lit(1)) == 1
+    # frequent keys last; any order that all classes share would do
+    sizes = _few(rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
+    place = F.row_number().over(Window.partitionBy("rep", odd).orderBy(F.desc("m"), "key"))
+    kept = rows.join(sizes, "key").withColumn("place", place).where(~odd | (F.col("place") > F.col("spare")))
+    return stored(kept.select("key", "rep", "n"), "stars"), rows.where(odd).groupBy("rep").agg(F.count("*").alias("q"))
+
+
+def _hub_rows(pairs: DataFrame) -> DataFrame:
+    """(a, chunk, member, doc_id): the pairs(a, b, na, nb) as hubs with chunks of BLOCK members or WEIGHT shingles."""
+    chunks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("nb") / WEIGHT)).cast("int")
+    large = _few(pairs.groupBy("a").agg(chunks.alias("chunks")).where("chunks > 1"))
+    rows = pairs.join(large, "a", "left").select("a", F.pmod(F.xxhash64("b"), F.coalesce("chunks", F.lit(1))).cast("int").alias("chunk"), "b")
+    hubs = rows.select("a", "chunk", F.lit(0).alias("member"), F.col("a").alias("doc_id")).distinct()
+    return hubs.unionByName(rows.select("a", "chunk", F.lit(1).alias("member"), F.col("b").alias("doc_id")))
+
+
 def jaccard_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs(doc_id, text).
 
@@ -379,32 +482,49 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     classes = real.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"))
     of = stored(real.join(classes, ["n_shingles", "h1", "h2"]).select("doc_id", "rep", F.col("n_shingles").alias("n")), "classes")
 
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = [F.sum(c).alias(c) for c in ("parts", "prefixes")]
-    met = stored(_meet(_blocks(docs, k, num, den, buckets)).groupBy("a", "b", "many").agg(*counts), "met")
-    side = lambda x: of.select(F.col("doc_id").alias(x), F.col("rep").alias(f"r{x}"), F.col("n").alias(f"n{x}"))
-    met = met.join(side("a"), "a").join(side("b"), "b").where("ra <> rb")
-    # a pair that also shares keys of stars is in a star's tiles, so a pair's own keys decide here
-    met = met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), F.when(F.col("ra") < F.col("rb"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("ra") < F.col("rb"), F.col("nb")).otherwise(F.col("na")).alias("nb"), "many", "parts", "prefixes")
-    met = met.groupBy("a", "b", "many", "na", "nb").agg(*counts)
-    near = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & ((F.col("prefixes") > 0) | (F.col("parts") >= needed(num, den)))
-    met = stored(met.where((F.col("many") == 1) | near), "candidates")
-
-    pairs = met.where("many = 0").select("a", "b", "na", "nb").distinct()
-    maps = _bitmaps(_read_again(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), k)
-    pairs = stored(_bounded(pairs, stored(maps, "bitmaps"), num, den), "pairs")
-    tiles = pairs.select(F.concat_ws("-", "a", "b").alias("tile"), F.explode(F.array("a", "b")).alias("doc_id"))
-    stars = met.where("many = 1").select("a", "b")
-    if not stars.isEmpty():
-        groups = connected_components(stars)
-        tiles = tiles.unionByName(_star_tiles(groups, of, num, den))
-    tiles = stored(tiles, "tiles")
-    sets = stored(_sets(_read_again(docs, tiles.select("doc_id")), k), "shingles")
-    links = _verify(tiles.join(sets, "doc_id"), num, den)
-    equal = of.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    # a bucket is about a million keys, a set has about half as many as shingles
+    total = measured.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // 2_000_000)
+    met = stored(_meet(_blocks(docs, k, num, den, buckets), buckets), "met")
+    stars, odd_keys = _stars(met, of)
+
+    pairs = met.where("many = 0").groupBy("a", "b").agg(F.sum("parts").alias("parts"), F.sum("prefixes").alias("prefixes"))
+    known = of.join(odd_keys, "rep", "left").select("doc_id", "rep", "n", F.coalesce("q", F.lit(0)).alias("q"))
+    side = lambda x: known.select(F.col("doc_id").alias(x), F.struct("rep", "n", "q").alias(f"s{x}"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where("sa.rep <> sb.rep")
+    pairs = pairs.select(F.least("sa", "sb").alias("x"), F.greatest("sa", "sb").alias("y"), "parts", "prefixes")
+    pairs = pairs.groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.least("x.q", "y.q").alias("q")).agg(F.sum("parts").alias("parts"), F.sum("prefixes").alias("prefixes"))
+    near = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
+    # of the parts that a pair shares up to q are keys of stars, which are not counted here
+    pairs = pairs.where(near & ((F.col("prefixes") > 0) | (F.col("parts") + F.col("q") >= needed(num, den)))).select("a", "b", "na", "nb")
+    hubs = _few(stars.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("m")).where("m > 1").select("key", "hub"))
+    spokes = stars.join(hubs, "key").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"))
+    pairs = stored(pairs.unionByName(spokes.where(near & (F.col("a") != F.col("b")))).distinct(), "candidates")
+    dropped(met)
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(stars.select(F.col("rep").alias("doc_id")))
+    maps = stored(_bitmaps(_read_again(docs, wanted), k), "bitmaps")
+    close = stored(_bounded(pairs, maps, num, den), "pairs")
+    dropped(pairs)
+    rows = stored(_hub_rows(close), "hubs")
+    sets = stored(_sets(_read_again(docs, rows.select("doc_id")), k), "shingles")
+    links = stored(_verify_hubs(rows.join(sets, "doc_id"), num, den), "links")
+    dropped(close, rows, sets)
     found = connected_components(links)
+
+    rest = stars.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("grp"))
+    open_ = _few(rest.groupBy("key").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select("key"))
+    tiles = stored(_tiles(rest.join(open_, "key", "left_semi"), num, den), "tiles")
+    if not tiles.isEmpty():
+        tiles = stored(_survivors(tiles, maps, num, den), "tiles")
+        sets = stored(_sets(_read_again(docs, tiles.select("doc_id")), k), "shingles")
+        links = links.unionByName(stored(_verify_tiles(tiles.join(sets, "doc_id"), num, den), "links"))
+        dropped(tiles, sets)
+        found = connected_components(links)
+    dropped(maps, stars)
     root = of.select("doc_id", "rep").distinct().join(found.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("root"))
     if not _single(of):
+        equal = of.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         root = connected_components(links.unionByName(equal)).withColumnRenamed("id", "doc_id").withColumnRenamed("component", "root")
     return measured.join(root, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
@@ -414,23 +534,51 @@ def _single(of: DataFrame) -> bool:
     return of.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").isEmpty()
 
 
-def _star_tiles(groups: DataFrame, of: DataFrame, num: int, den: int) -> DataFrame:
-    """(tile, doc_id): blocks of BLOCK classes, sorted by size within a group, paired where sizes allow.
+def _tiles(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(tile, doc_id, grp): blocks of members(key, rep, n, grp) of one key and size band, paired where sizes allow.
 
-    A group's rows are placed by a count of the rows in smaller size bins and a hash inside the
-    bin, so that no window has to hold a whole group.
+    A key's members are placed by a hash inside a narrow band, so no window holds a whole key; a
+    block has BLOCK members or WEIGHT shingles at most, about.
     """
-    size = of.where("doc_id = rep").select(F.col("rep").alias("id"), "n").distinct()
-    rows = groups.join(size, "id").select(F.col("component").alias("g"), F.col("id").alias("doc_id"), "n")
     rows = rows.withColumn("bin", F.floor(F.log("n") / F.log(F.lit(1.05))).cast("int"))
-    bins = rows.groupBy("g", "bin").agg(F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    bins = bins.withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
-    # one row for each block, then pairs of blocks: few rows, as a block stands for BLOCK classes
-    block = bins.select("g", "bin", "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("s"))
-    x, y = (block.select("g", *[F.col(c).alias(f"{c}{i}") for c in ("bin", "s", "lo", "hi")]) for i in (1, 2))
-    both = x.join(y, "g").where(f"(bin1 < bin2 or (bin1 = bin2 and s1 <= s2)) and {den} * hi1 >= {num} * lo2")
-    both = both.withColumn("tile", F.concat_ws("-", F.lit("g"), "g", "bin1", "s1", "bin2", "s2"))
-    first = both.select("g", F.col("bin1").alias("bin"), F.col("s1").alias("s"), "tile")
-    second = both.select("g", F.col("bin2").alias("bin"), F.col("s2").alias("s"), "tile")
-    places = rows.join(bins.select("g", "bin", "blocks"), ["g", "bin"]).withColumn("s", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    return places.join(first.unionByName(second).distinct(), ["g", "bin", "s"]).select("tile", "doc_id")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / WEIGHT)).cast("int")
+    total = rows.groupBy("key").agg(blocks.alias("all"))
+    bins = rows.groupBy("key", "bin").agg(blocks.alias("blocks"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    # what fits one block is one tile, whatever its sizes
+    bins = bins.join(total.where("all > 1").select("key"), "key", "left_semi")
+    block = bins.select("key", "bin", "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("s"))
+    x, y = (block.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("bin", "s", "lo", "hi")]) for i in (1, 2))
+    both = x.join(y, "key").where(f"(bin1 < bin2 or (bin1 = bin2 and s1 <= s2)) and {den} * hi1 >= {num} * lo2")
+    both = both.withColumn("tile", F.concat_ws("-", "key", "bin1", "s1", "bin2", "s2"))
+    first = both.select("key", F.col("bin1").alias("bin"), F.col("s1").alias("s"), "tile")
+    second = both.select("key", F.col("bin2").alias("bin"), F.col("s2").alias("s"), "tile")
+    large = rows.join(bins.select("key", "bin", "blocks"), ["key", "bin"]).withColumn("s", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    large = large.join(first.unionByName(second).distinct(), ["key", "bin", "s"]).select("tile", F.col("rep").alias("doc_id"), "grp")
+    small = rows.join(total.where("all = 1").select("key"), "key", "left_semi").select(F.col("key").cast("string").alias("tile"), F.col("rep").alias("doc_id"), "grp")
+    return small.unionByName(large)
+
+
+def _survivors(tiles: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of tiles(tile, doc_id, grp) that bitmaps let link with a row of another group there."""
+    sized = tiles.join(maps, "doc_id").select("tile", "doc_id", "grp", "n", "bitmap")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (tile,), rows in _by_tile(batches, 1):
+            ids, group, size, maps = (list(x) for x in zip(*rows, strict=True))
+            group, size = np.array(group), np.array(size)
+            w = min(len(m) for m in maps)
+            bits = np.stack([np.bitwise_or.reduce(m.reshape(-1, w), axis=0) for m in maps])
+            keep = np.zeros(len(ids), bool)
+            for i in range(len(ids) - 1):
+                other = np.flatnonzero(group[i + 1 :] != group[i]) + i + 1
+                low, high = np.minimum(size[i], size[other]), np.maximum(size[i], size[other])
+                other = other[low * den >= high * num]
+                if len(other):
+                    mine, their = size[i] - np.bitwise_count(bits[i] & ~bits[other]).sum(1, dtype=np.int64), size[other] - np.bitwise_count(bits[other] & ~bits[i]).sum(1, dtype=np.int64)
+                    ok = np.minimum(mine, their) >= -(-num * (size[i] + size[other]) // (num + den))
+                    keep[other[ok]] = True
+                    keep[i] |= ok.any()
+            at = np.flatnonzero(keep).tolist()
+            yield pa.RecordBatch.from_arrays([pa.array([tile] * len(at), pa.string()), pa.array([ids[i] for i in at], pa.int64()), pa.array([group[i] for i in at], pa.int64())], names=["tile", "doc_id", "grp"])
+
+    return sized.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "tile string, doc_id bigint, grp bigint")

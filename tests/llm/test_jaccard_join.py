@@ -44,7 +44,7 @@ def texts(seed, n):
                 c[rng.randrange(len(c))] = rng.choice(vocab)
             out.append(" ".join(c[: len(c) - rng.randint(0, max(0, len(c) // 12))]))
     hot = [rng.choice(vocab) for _ in range(150)]
-    for _ in range(60):
+    for _ in range(170):
         c = list(hot)
         for _ in range(rng.randint(0, 6)):
             c[rng.randrange(len(c))] = rng.choice(vocab)
