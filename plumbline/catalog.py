@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import rules, series, space
+from .plans import rules, series, shapes, space
 
-_PLANS = (series, space, rules)
+_PLANS = (series, space, rules, shapes)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: q for p in _PLANS for n, q in p.QUERIES.items()}
 ORACLES: dict[str, str] = {n: q for p in _PLANS for n, q in p.ORACLES.items()}

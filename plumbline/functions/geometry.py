@@ -40,9 +40,9 @@ def rotation_degrees(a: Column, b: Column) -> Column:
 
 
 def compass(x: Column, y: Column) -> Column:
-    """Eight-way name of a direction, x to the east and y to the north."""
-    names = F.array(*[F.lit(n) for n in ("E", "NE", "N", "NW", "W", "SW", "S", "SE")])
-    return F.element_at(names, (F.pmod(F.floor((F.degrees(F.atan2(y, x)) + 22.5) / 45), F.lit(8)) + 1).cast("int"))
+    """Eight-way name of a direction, x to the east and y to the north; a border belongs to the next name clockwise."""
+    names = F.array(*[F.lit(n) for n in ("north", "northeast", "east", "southeast", "south", "southwest", "west", "northwest")])
+    return F.element_at(names, (F.pmod(F.floor((F.pmod(F.degrees(F.atan2(x, y)), F.lit(360.0)) + 22.5) / 45), F.lit(8)) + 1).cast("int"))
 
 
 def canonical_sign(x: Column, y: Column, eps: float = 1e-9) -> Column:

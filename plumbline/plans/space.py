@@ -271,7 +271,7 @@ ORACLES = {
     "hint_antijoin": "WITH o AS (SELECT *, o_totalprice AS a, o_totalprice * 1.3::DOUBLE AS b FROM orders) SELECT o_orderkey FROM o p WHERE o_orderstatus = 'O' AND NOT EXISTS (SELECT 1 FROM o q WHERE q.o_orderstatus = 'F' AND q.o_custkey = p.o_custkey AND greatest(0, least(p.b, q.b) - greatest(p.a, q.a)) / (greatest(p.b, q.b) - least(p.a, q.a)) >= 0.15)",
     "voxel_downsample": f"{_P} SELECT floor(x / 0.2)::BIGINT AS cx, floor(y / 0.2)::BIGINT AS cy, floor(z / 0.2)::BIGINT AS cz, count(*) AS n, round(avg(x), 6) AS x, round(avg(y), 6) AS y, round(avg(z), 6) AS z FROM pts GROUP BY 1, 2, 3",
     "rotation_angle": f"{_P}, q AS (SELECT id, nx / sqrt(x*x + y*y + z*z + nx*nx) AS w FROM pts) SELECT id, round(degrees(acos(greatest(-1, least(1, (3 - 4 * (1 - w*w) - 1) / 2)))), 4) AS degrees FROM q",
-    "normal_classes": f"{_P} SELECT id, ['E','NE','N','NW','W','SW','S','SE'][((floor((degrees(atan2(ny, nx)) + 22.5) / 45)::BIGINT + 8) % 8 + 1)::INT] AS compass, CASE WHEN nx < -1e-9 OR (abs(nx) <= 1e-9 AND ny < 0) THEN -1.0 ELSE 1.0 END::DOUBLE AS sign, round(abs(degrees(atan2(ny, nx)) - round_even(degrees(atan2(ny, nx)) / 90, 0) * 90), 6) AS deviation FROM pts",
+    "normal_classes": f"{_P} SELECT id, ['north','northeast','east','southeast','south','southwest','west','northwest'][(floor(((degrees(atan2(nx, ny)) + 360) % 360 + 22.5) / 45)::BIGINT % 8 + 1)::INT] AS compass, CASE WHEN nx < -1e-9 OR (abs(nx) <= 1e-9 AND ny < 0) THEN -1.0 ELSE 1.0 END::DOUBLE AS sign, round(abs(degrees(atan2(ny, nx)) - round_even(degrees(atan2(ny, nx)) / 90, 0) * 90), 6) AS deviation FROM pts",
     "polygon_area": f"{_P} SELECT label, round((max(x) - min(x)) * (max(y) - min(y)), 6) AS area, avg(x) BETWEEN min(x) AND max(x) AND avg(y) BETWEEN min(y) AND max(y) AS inside FROM pts GROUP BY label",
 }
 ORACLES["ray_block_all"] = ORACLES["ray_block_filter"].replace("b.id % 7 = 0 AND ", "")

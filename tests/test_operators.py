@@ -28,7 +28,7 @@ def test_geometry(spark):
     half = geometry.quaternion_matrix(F.lit(0.0), F.lit(0.0), F.lit(2.0), F.lit(2.0))
     eye = F.array(*[F.lit(float(i % 4 == 0)) for i in range(9)])
     assert one(spark, geometry.rotation_degrees(half, eye))[0] == pytest.approx(90)
-    assert one(spark, geometry.compass(F.lit(0.0), F.lit(-1.0)), geometry.compass(F.lit(-1.0), F.lit(0.01))) == ("S", "W")
+    assert one(spark, geometry.compass(F.lit(0.0), F.lit(-1.0)), geometry.compass(F.lit(-1.0), F.lit(0.01))) == ("south", "west")
     assert one(spark, geometry.overlap((F.lit(0.0), F.lit(2.0)), (F.lit(1.0), F.lit(4.0))))[0] == 0.25
 
 
@@ -117,26 +117,70 @@ def test_fits(spark):
     assert scale == pytest.approx(1.25) and np.allclose(r, rot) and np.allclose(t, [1, 2, 3])
 
 
-def test_scope_rules(spark):
-    cols = "id long, room_id long, surface_kind string, damage_class string, area double, v0 double, v1 double, width double, height_extent double, water_category int, water_class int, mold_condition int, subtype string, run_length double"
+REGION = "id long, room_id long, surface_key string, surface_kind string, damage_class string, combined_classes array<string>, area double, v0 double, v1 double, width double, height_extent double, water_category int, water_class int, mold_condition int, subtype string, run_length double"
+ROOM = "room_id long, room_name string, room_area double, room_height double, perimeter double"
+
+
+def regions_and_rooms(spark):
     rows = [
-        (1, 1, "floor", "water", 2.0, 0.0, 0.0, 1.0, 1.0, 3, None, None, None, None),
-        (2, 1, "wall", "water", 2.0, 0.0, 0.4, 2.0, 0.4, 2, 3, None, None, 1.5),
-        (3, 1, "wall", "mold", 1.2, 0.0, 1.0, 1.0, 1.0, None, None, 3, None, 4.0),
-        (4, 2, "wall", "fire", 0.4, 0.0, 1.0, 1.0, 1.0, None, None, None, "char", 4.0),
-        (5, 2, "wall", "combined", 0.4, 0.0, 1.0, 1.0, 1.0, 2, 3, 3, "char", 4.0),
+        (1, 1, "room1-floor", "floor", "water", None, 2.0, 0.0, 0.0, 1.0, 1.0, 3, None, None, None, None),
+        (2, 1, "wall-2", "wall", "water", None, 2.0, 0.0, 0.4, 2.0, 0.4, 2, 3, None, None, 1.5),
+        (3, 1, "wall-3", "wall", "mold", None, 1.2, 0.0, 1.0, 1.0, 1.0, None, None, 3, None, 4.0),
+        (4, 2, "wall-4", "wall", "fire", None, 0.4, 0.0, 1.0, 1.0, 1.0, None, None, None, "char", 4.0),
+        (5, 2, "wall-5", "wall", "combined", ["water", "fire"], 0.4, 0.0, 1.0, 1.0, 1.0, 2, 3, 3, "soot", 4.0),
+        (6, 3, "wall-6", "wall", "mold", None, 0.3, 0.0, 1.0, 1.0, 0.5, None, None, 1, None, 4.0),
+        (7, 9, "ceiling-7", "ceiling", "water", None, 3.0, 0.0, 1.0, 1.0, 1.0, 2, None, None, None, None),
     ]
-    r = spark.createDataFrame(rows, cols)
-    room = spark.createDataFrame([(1, 10.0, None, 13.0), (2, 5.0, 2.5, 9.0)], "room_id long, room_area double, room_height double, perimeter double")
+    rooms = [(1, "Kitchen", 10.0, None, 13.0), (2, "Hall", 5.0, 2.5, 9.0), (3, "Bath", 4.0, 2.4, 8.0)]
+    return spark.createDataFrame(rows, REGION), spark.createDataFrame(rooms, ROOM)
+
+
+def test_scope_rules(spark):
+    r, room = regions_and_rooms(spark)
     water = {(x.id, x.code): x.quantity for x in scope.water_items(r).collect()}
     assert set(c for i, c in water if i == 1) == {"carpet_remove", "pad_remove"}  # no antimicrobial on floors
     assert water[2, "drywall_remove"] == pytest.approx(1.22 * 1.5) and water[2, "baseboard_replace"] == 1.5
-    dry = {x.code: x.quantity for x in scope.drying_items(r, room).collect()}
-    assert dry == {"air_mover": 4.0, "dehumidifier": 8.0, "monitoring_visit": 4.0}
+    assert water[5, "drywall_remove"] == pytest.approx(2.44) and water[7, "drywall_remove"] == 3.0 and (7, "baseboard_replace") not in water
+    dry = {(x.room_id, x.code): x.quantity for x in scope.drying_items(r, room).collect()}
+    assert dry == {(1, "air_mover"): 4.0, (1, "dehumidifier"): 8.0, (1, "monitoring_visit"): 4.0, (2, "air_mover"): 4.0, (2, "dehumidifier"): 4.0, (2, "monitoring_visit"): 4.0}
+    mold = {(x.id, x.code): x.quantity for x in scope.mold_items(r).collect()}
+    assert mold[6, "hepa_vacuum"] == pytest.approx(1.6 * 1.1 * 2) and (6, "mold_remove") not in mold  # condition 1 is vacuumed
     assert {x.code: x.quantity for x in scope.containment_items(r, room).collect()} == {"containment_barrier": 13 * 2.4 + 10, "negative_air": 3.0, "ppe_set": 6.0}
-    assert scope.odour_items(r).count() == 0
-    assert {(x.id, x.rule_id) for x in scope.concealed_flags(r).collect()} == {(1, "W-02"), (2, "W-01"), (2, "W-03"), (2, "W-04"), (3, "M-01"), (3, "M-02"), (4, "F-01"), (4, "F-02")}
+    assert {(x.id, x.code) for x in scope.fire_items(r).collect()} == {(4, "char_remove"), (5, "soot_clean"), (5, "seal_surface")}
+    assert [(x.room_id, x.derived_from) for x in scope.odour_items(r, room).collect()] == [(2, [4, 5])]
+    assert {(x.id, x.rule_id) for x in scope.concealed_flags(r).collect()} == {(1, "W-02"), (2, "W-01"), (2, "W-03"), (2, "W-04"), (3, "M-01"), (3, "M-02"), (4, "F-01"), (4, "F-02"), (6, "M-02")}
     assert one(spark, scope.flood_cut(F.lit(0.0)), scope.flood_cut(F.lit(0.92)), scope.flood_cut(F.lit(9.0))) == (0.61, 1.22, 2.44)
+    plain = scope.override("water.flood_cut.snap_to_standard", False)
+    assert one(spark, scope.flood_cut(F.lit(0.9), plain)) == (pytest.approx(1.2),)
+
+
+def test_scope_build(spark):
+    r, room = regions_and_rooms(spark)
+    items = scope.scope_build(r, room).collect()
+    assert len(items) == 2 + 5 + 3 + 1 + 5 + 2 + 1 + 4 + 3 + 3 + 3 + 1  # regions 1, 2, 3, 4, 5 (water, fire), 6, 7, then rooms
+    by = {(x.surface_ref, x.code): x for x in items}
+    cut = by["wall-2", "drywall_remove"]
+    assert (cut.description, cut.unit, cut.trade, cut.material, cut.derived_from) == ("Remove drywall, cut to height", "m2", "drywall", "drywall", [2])
+    assert cut.basis == "waterline 0.40 m + 0.30 m margin = 0.70 m, snapped up to the 1.22 m sheet line; cut 1.22 m x 1.50 m affected run"
+    assert by["Kitchen", "air_mover"].basis == "1 units x 4 days; 2.0 m2 wet floor + 2.0 m2 wet wall, Class 3"
+    assert by["Kitchen", "ppe_set"].material == "half_face_respirator_suit"
+    assert by["Hall", "odour_treatment"].basis == "0.80 m2 of fire damage exceeds the 0.50 m2 deodorisation trigger"
+    assert by["ceiling-7", "drywall_replace"].room_id == 9 and not any(x.surface_ref is None for x in items)
+    sweep = {(x.margin, x.snapped): x.area for x in scope.margin_sweep(r, [0.3]).collect()}
+    assert sweep[0.3, True] == pytest.approx(1.22 * 1.5 + 2.44 + 3.0) and sweep[0.3, False] == pytest.approx(0.7 * 1.5 + 1.3 + 3.0)
+
+
+def test_rules_from_a_file(spark, tmp_path):
+    import yaml
+
+    path = tmp_path / "rules.yaml"
+    path.write_text(yaml.safe_dump(scope.override("mold.hepa_vacuum_passes", 3)))
+    r, _ = regions_and_rooms(spark)
+    got = {x.id: x.quantity for x in scope.mold_items(r, scope.load_rules(path)).where("code = 'hepa_vacuum'").collect()}
+    assert got[6] == pytest.approx(1.6 * 1.1 * 3)
+    path.write_text("water: {}")
+    with pytest.raises(ValueError, match="no part"):
+        scope.load_rules(path)
 
 
 def test_scores(spark):
@@ -176,7 +220,7 @@ def test_scope_delta_reaches_every_room(spark):
     from plumbline.sources.tables import regions
 
     data = "/root/testdata/sf0.001"
-    mold = {r.room_id for r in regions(spark, data).where("damage_class = 'mold' and (mold_condition is null or mold_condition > 1)").collect()}
+    mold = {r.room_id for r in regions(spark, data).where("damage_class = 'mold' or array_contains(combined_classes, 'mold')").collect()}
     assert {r.room_id for r in rules.QUERIES["scope_delta_all"](spark, data).collect()} == mold
 
 
