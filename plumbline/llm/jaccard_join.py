@@ -5,12 +5,12 @@
    on its size band.  Two sets with similarity t differ in at most (1-t)/(1+t) * (|A|+|B|)
    shingles, fewer than P less the parts that are nearly empty, so they agree in a whole
    part and meet under that part's hash.  Small sets, and sets with many nearly empty
-   parts, meet under the shingles of their prefix (the classic prefix filter) instead.
-   Both meetings are certain, so no link is lost.  Of near sizes they agree in many parts, not
-   in one, so pairs are counted and those with fewer common parts than a link has are gone.
+   parts, meet under their shingles instead.  Both meetings are certain, so no link is lost.
+   Linked sets agree in many keys, not in one, so pairs are counted and those with fewer common
+   keys than a link has are gone.
 3. A key that few classes share gives pairs.  A key that many share is a star: its members are
-   compared with its hub, then those that no link has joined so far with each other, in tiles of
-   compatible size bands.  A class whose links share c part keys or more leaves its c - 1 most
+   compared with its hub, then those outside the largest group that links have joined so far with
+   the others, in tiles of a key and its size band.  A class whose links share c keys or more leaves its c - 1 most
    frequent ones out (a link keeps its rarest common key), so common passages make no tiles.
 4. The bits that two hashed bitmaps lack bound the overlap from above, before any set is sent
    anywhere; what passes is intersected exactly, each set being sent once to a hub or tile.
@@ -30,12 +30,17 @@ from .components import connected_components
 from .storage import dropped, stored
 
 U64 = np.uint64
+#: Sets up to this many shingles have no parts.
 SMALL = 64
 RATIO = 1.5
 FEW = 8
+#: Parts for each shingle in which partners can differ.
+PARTS = 1.8
 BLOCK = 256
 #: Shingles of a block at most, but for a single larger set.
 WEIGHT = 1 << 20
+#: Members of a tile, of either kind.
+TILE = 2048
 #: Documents that share a key in a flush before the key is hot there, and the mark of such a key.
 CAP, MARK = 64, 255
 #: Ids of rows whose texts are read again may be broadcast up to this many (16 bytes each in a hashed relation).
@@ -81,31 +86,34 @@ class Bands:
         hi = np.array(self.edges[1:] or [SMALL + 2], np.int64) - 1
         self.reach = hi * den // num  # the largest partner of a set in the band
         differ = ((hi + self.reach) * (den - num)) // (den + num)
-        self.parts = ((differ + 1) / 0.8).astype(np.int64) + 2
+        # so many that two or three shingles fall in a part: then most parts beyond those that differ are full
+        self.parts = (differ * PARTS).astype(np.int64) + 4
 
     def differ(self, sizes: np.ndarray) -> np.ndarray:
         """How many shingles a set and its largest partner can differ in."""
         return (sizes + sizes * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
 
-    def prefix(self, sizes: np.ndarray) -> np.ndarray:
-        return sizes - -(-sizes * self.num // self.den) + 1
+    def shared(self, sizes: np.ndarray) -> np.ndarray:
+        """How many shingles a set shares with any partner at least."""
+        return -(-sizes * self.num // self.den)
 
 
 def keys_of(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, document of each, odd keys that each document may leave out): two sets with
+    """(keys, document of each, how many keys of its kind the document may leave out): two sets with
     similarity num/den or more share a key.
 
-    Keys of parts are odd, those of prefixes even.  A link shares an even key, or as many odd
-    ones as `needed` says: what is left of P parts after those that differ and those that are
-    nearly empty, of which a set without prefix keys has P - differ(its size) - 1 at most.
-    A set with f full parts shares f - differ(its size) of them or more with any partner.
+    Keys of parts are odd, those of single shingles even.  A link of two sets that have even keys
+    shares all that the sets share, which is `shared` or more; another link shares as many odd ones
+    as `needed` says: what is left of P parts after those that differ and those that are nearly
+    empty, of which a set without even keys has P - differ(its size) - 1 at most.  A set with f
+    full parts shares f - differ(its size) of them or more with any partner.
     """
     sizes = np.diff(bounds)
     bands = Bands(num, den, int(sizes.max(initial=0)))
     edges = np.array(bands.edges)
     band = np.searchsorted(edges, sizes, "right") - 1  # -1: small
-    keys, owner = [], []
-    overflow, spare = np.zeros(len(sizes), bool), np.full(len(sizes), 255, np.int64)
+    keys, owner, spares = [], [], []
+    overflow, spare = np.zeros(len(sizes), bool), np.full(len(sizes), MARK, np.int64)
     below = (band >= 1) & (sizes <= bands.reach[np.maximum(band - 1, 0)])
     for tile, rows in ((band, np.flatnonzero(band >= 0)), (band - 1, np.flatnonzero(below))):
         if not len(rows):
@@ -127,17 +135,19 @@ def keys_of(values: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple
         spare[rows] = np.minimum(spare[rows], full - bands.differ(length) - 1)
         keys.append(total[good] | U64(1))
         owner.append(rows[local[cut][good]])
+    spares = [np.maximum(spare, 0)[o] for o in owner]
     for salt, rows in ((1, np.flatnonzero((sizes > 0) & (sizes <= SMALL * den // num))), (2, np.flatnonzero(overflow))):
-        length = bands.prefix(sizes[rows])
+        length = sizes[rows]
         base = np.cumsum(length) - length
         at = np.arange(int(length.sum())) - np.repeat(base - bounds[rows], length)
         keys.append(ta.mix(values[at] ^ U64(0xA24BAED4963EE407 * salt & (2**64 - 1))) & ~U64(1))
         owner.append(np.repeat(rows, length))
-    return np.concatenate(keys), np.concatenate(owner), np.clip(spare, 0, MARK - 1).astype(np.uint8)
+        spares.append(np.repeat(bands.shared(length) - 1, length))
+    return np.concatenate(keys), np.concatenate(owner), np.minimum(np.concatenate(spares), MARK - 1).astype(np.uint8)
 
 
 def needed(num: int, den: int):
-    """Common parts that a link of sizes na and nb has at least, if it shares no prefix key."""
+    """Common parts that a link of sizes na and nb has at least, unless both have even keys."""
     small = F.least("na", "nb")
     most = F.floor((small + F.floor(small * den / num)) * (den - num) / (den + num))
     return most - F.floor((F.col("na") + F.col("nb")) * (den - num) / (den + num)) + 1
@@ -226,7 +236,7 @@ def _blocks(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFr
                 key, own, spare = keys_of(values, bounds, num, den)
                 keep = new[own]
                 key, own = key[keep], own[keep]
-                held.append((key, batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[own], spare[own]))
+                held.append((key, batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[own], spare[keep]))
                 count += len(key)
                 if count > 4_000_000:
                     yield from flush(held)
@@ -237,7 +247,7 @@ def _blocks(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFr
 
 
 def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
-    """(a, b, many, parts, prefixes): ids a and b share so many odd and even keys (many 0), or id b is
+    """(a, b, many, parts, singles): ids a and b share so many odd and even keys (many 0), or id b is
     in the star of key a, may leave out `parts` odd keys, and more than FEW share the key (many 1)."""
 
     def run(t: pa.Table) -> pa.Table:
@@ -246,7 +256,7 @@ def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
         ids = np.concatenate([_unpack(low, raw, n) for low, raw, n in zip(t["low"].to_pylist(), t["ids"].to_pylist(), t["n"].to_pylist(), strict=True)])
         none = np.zeros(0, np.int64)
         if t["bucket"][0].as_py() >= buckets:
-            star, a, b, parts, prefixes = np.arange(len(key)), none, none, none, none
+            star, a, b, parts, singles = np.arange(len(key)), none, none, none, none
         else:
             order = np.lexsort((spare, ids, key))
             key, ids, spare = key[order], ids[order], spare[order]
@@ -271,58 +281,13 @@ def _meet(blocks: DataFrame, buckets: int) -> DataFrame:
             new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
             at = np.flatnonzero(new)
             parts = np.add.reduceat(odd, at) if len(at) else odd
-            prefixes = np.diff(np.append(at, len(a))) - parts
+            singles = np.diff(np.append(at, len(a))) - parts
             a, b = a[at], b[at]
         ones = np.ones(len(star), np.int64)
-        cols = (a, key[star].view(np.int64)), (b, ids[star]), (0 * a, ones), (parts, spare[star].astype(np.int64)), (prefixes, 0 * ones)
-        return pa.table({c: np.concatenate(x) for c, x in zip(("a", "b", "many", "parts", "prefixes"), cols, strict=True)})
-
-    return blocks.groupBy("bucket").applyInArrow(run, "a bigint, b bigint, many bigint, parts bigint, prefixes bigint")
-
-
-class _Tile:
-    """Sets of a tile, their bitmaps, and union-find over its rows."""
-
-    def __init__(self, ids: list[int], sets: list[np.ndarray], group: list[int]):
-        order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
-        self.ids, self.sets = [ids[i] for i in order], [sets[i] for i in order]
-        self.sizes = np.array([len(s) for s in self.sets])
-        self.bounds = np.concatenate([[0], np.cumsum(self.sizes)])
-        flat = np.concatenate(self.sets)
-        _, local = np.unique(flat, return_inverse=True)
-        self.local, self.mark = local, np.zeros(int(local.max(initial=-1)) + 1, bool)
-        bits = max(64, 1 << int(2 * self.sizes.max(initial=1)).bit_length())
-        maps = np.zeros((len(ids), bits // 8), np.uint8)
-        spot = (flat >> U64(7)).astype(np.int64) & (bits - 1)
-        np.bitwise_or.at(maps, (np.repeat(np.arange(len(ids)), self.sizes), spot >> 3), (1 << (spot & 7)).astype(np.uint8))
-        self.maps = maps.view(U64)
-        self.label = np.unique([group[i] for i in order], return_inverse=True)[1]
-
-    def links(self, num: int, den: int) -> Iterator[tuple[int, int]]:
-        """A spanning set of the tile's links; pairs that are connected already are skipped."""
-        n = len(self.ids)
-        for i in range(n - 1):
-            top = int(np.searchsorted(self.sizes, self.sizes[i] * den // num, "right"))
-            other = np.arange(i + 1, top)
-            other = other[self.label[other] != self.label[i]]
-            if not len(other):
-                continue
-            need = -(-num * (self.sizes[i] + self.sizes[other]) // (num + den))
-            lack = np.bitwise_count(self.maps[i] & ~self.maps[other]).sum(1, dtype=np.int64)
-            other = other[self.sizes[i] - lack >= need]
-            if not len(other):
-                continue
-            mine = self.local[self.bounds[i] : self.bounds[i + 1]]
-            self.mark[mine] = True
-            size = self.sizes[other]
-            base = np.cumsum(size) - size
-            at = np.arange(int(size.sum())) - np.repeat(base - self.bounds[other], size)
-            both = np.add.reduceat(self.mark[self.local[at]].astype(np.int64), base)
-            self.mark[mine] = False
-            for j in other[den * both >= num * (self.sizes[i] + size - both)].tolist():
-                if self.label[j] != self.label[i]:
-                    self.label[self.label == self.label[j]] = self.label[i]
-                    yield self.ids[i], self.ids[j]
+        cols = (a, key[star].view(np.int64)), (b, ids[star]), (0 * a, ones), (parts, spare[star].astype(np.int64)), (singles, 0 * ones)
+        return pa.table({c: np.concatenate(x) for c, x in zip(("a", "b", "many", "parts", "singles"), cols, strict=True)})
+
+    return blocks.groupBy("bucket").applyInArrow(run, "a bigint, b bigint, many bigint, parts bigint, singles bigint")
 
 
 def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -344,18 +309,6 @@ def _by_tile(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[tu
         yield tile, rows
 
 
-def _verify_tiles(tiles: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) links between groups inside tiles(tile, doc_id, grp, shingles)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_tile(batches, 1):
-            ids, group, sets = zip(*rows, strict=True)
-            yield _links(list(_Tile(list(ids), list(sets), list(group)).links(num, den)))
-
-    sorted_rows = tiles.select("tile", "doc_id", "grp", "shingles").repartition("tile").sortWithinPartitions("tile")
-    return sorted_rows.mapInArrow(run, "a bigint, b bigint")
-
-
 def _verify_hubs(rows: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) links of hubs a with the members of rows(a, chunk, member, doc_id, shingles).
 
@@ -380,7 +333,7 @@ def _verify_hubs(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _bitmaps(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, bitmap): hashed bitmaps of four bits or more to a shingle, a power of two wide."""
+    """(doc_id, n, bitmap): hashed bitmaps of eight bits or more to a shingle, a power of two wide."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -388,7 +341,7 @@ def _bitmaps(docs: DataFrame, k: int) -> DataFrame:
                 values, bounds = shingle_sets(data, offs, k)
                 maps = []
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    bits = max(64, 1 << (4 * (b - a) - 1).bit_length()) if b > a else 64
+                    bits = max(64, 1 << (8 * (b - a) - 1).bit_length()) if b > a else 64
                     spot = np.zeros(bits, bool)
                     spot[(values[a:b] >> U64(7)).astype(np.int64) & (bits - 1)] = True
                     maps.append(np.packbits(spot, bitorder="little").tobytes())
@@ -446,16 +399,16 @@ def _few(df: DataFrame) -> DataFrame:
 
 
 def _stars(met: DataFrame, of: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The members (key, rep, n) of stars, less the keys that a class may leave out, and (rep, q): how
-    many odd star keys a class has."""
+    """The members (key, rep, n) of stars, less the keys that a class may leave out, and (rep, odd, even):
+    how many star keys of either kind a class has."""
     rows = met.where("many = 1").select(F.col("a").alias("key"), F.col("b").alias("doc_id"), F.col("parts").alias("spare"))
     rows = stored(rows.join(of, "doc_id").groupBy("key", "rep", "n").agg(F.min("spare").alias("spare")), "members")
     odd = F.col("key").bitwiseAND(F.lit(1)) == 1
     # frequent keys last; any order that all classes share would do
     sizes = _few(rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
     place = F.row_number().over(Window.partitionBy("rep", odd).orderBy(F.desc("m"), "key"))
-    kept = rows.join(sizes, "key").withColumn("place", place).where(~odd | (F.col("place") > F.col("spare")))
-    return stored(kept.select("key", "rep", "n"), "stars"), rows.where(odd).groupBy("rep").agg(F.count("*").alias("q"))
+    kept = rows.join(sizes, "key").withColumn("place", place).where(F.col("place") > F.col("spare"))
+    return stored(kept.select("key", "rep", "n"), "stars"), rows.groupBy("rep").agg(F.count_if(odd).alias("odd"), F.count_if(~odd).alias("even"))
 
 
 def _hub_rows(pairs: DataFrame) -> DataFrame:
@@ -486,17 +439,19 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     total = measured.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // 2_000_000)
     met = stored(_meet(_blocks(docs, k, num, den, buckets), buckets), "met")
-    stars, odd_keys = _stars(met, of)
+    stars, left = _stars(met, of)
 
-    pairs = met.where("many = 0").groupBy("a", "b").agg(F.sum("parts").alias("parts"), F.sum("prefixes").alias("prefixes"))
-    known = of.join(odd_keys, "rep", "left").select("doc_id", "rep", "n", F.coalesce("q", F.lit(0)).alias("q"))
-    side = lambda x: known.select(F.col("doc_id").alias(x), F.struct("rep", "n", "q").alias(f"s{x}"))
+    pairs = met.where("many = 0").groupBy("a", "b").agg(F.sum("parts").alias("parts"), F.sum("singles").alias("singles"))
+    known = of.join(left, "rep", "left").select("doc_id", "rep", "n", F.coalesce("odd", F.lit(0)).alias("odd"), F.coalesce("even", F.lit(0)).alias("even"))
+    side = lambda x: known.select(F.col("doc_id").alias(x), F.struct("rep", "n", "odd", "even").alias(f"s{x}"))
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where("sa.rep <> sb.rep")
-    pairs = pairs.select(F.least("sa", "sb").alias("x"), F.greatest("sa", "sb").alias("y"), "parts", "prefixes")
-    pairs = pairs.groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.least("x.q", "y.q").alias("q")).agg(F.sum("parts").alias("parts"), F.sum("prefixes").alias("prefixes"))
+    pairs = pairs.select(F.least("sa", "sb").alias("x"), F.greatest("sa", "sb").alias("y"), "parts", "singles")
+    pairs = pairs.groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.least("x.odd", "y.odd").alias("odd"), F.least("x.even", "y.even").alias("even")).agg(F.sum("parts").alias("parts"), F.sum("singles").alias("singles"))
     near = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
-    # of the parts that a pair shares up to q are keys of stars, which are not counted here
-    pairs = pairs.where(near & ((F.col("prefixes") > 0) | (F.col("parts") + F.col("q") >= needed(num, den)))).select("a", "b", "na", "nb")
+    # of the keys that a pair shares as many as either has in stars are not counted here
+    shared = F.ceil((F.col("na") + F.col("nb")) * num / (num + den))
+    enough = (F.col("parts") + F.col("odd") >= needed(num, den)) | (F.col("singles") + F.col("even") >= shared)
+    pairs = pairs.where(near & enough).select("a", "b", "na", "nb")
     hubs = _few(stars.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("hub"), F.count("*").alias("m")).where("m > 1").select("key", "hub"))
     spokes = stars.join(hubs, "key").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"))
     pairs = stored(pairs.unionByName(spokes.where(near & (F.col("a") != F.col("b")))).distinct(), "candidates")
@@ -506,20 +461,13 @@ def jaccard_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     maps = stored(_bitmaps(_read_again(docs, wanted), k), "bitmaps")
     close = stored(_bounded(pairs, maps, num, den), "pairs")
     dropped(pairs)
-    rows = stored(_hub_rows(close), "hubs")
-    sets = stored(_sets(_read_again(docs, rows.select("doc_id")), k), "shingles")
-    links = stored(_verify_hubs(rows.join(sets, "doc_id"), num, den), "links")
-    dropped(close, rows, sets)
+    links = _linked(docs, close, k, num, den)
     found = connected_components(links)
 
     rest = stars.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("grp"))
-    open_ = _few(rest.groupBy("key").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select("key"))
-    tiles = stored(_tiles(rest.join(open_, "key", "left_semi"), num, den), "tiles")
-    if not tiles.isEmpty():
-        tiles = stored(_survivors(tiles, maps, num, den), "tiles")
-        sets = stored(_sets(_read_again(docs, tiles.select("doc_id")), k), "shingles")
-        links = links.unionByName(stored(_verify_tiles(tiles.join(sets, "doc_id"), num, den), "links"))
-        dropped(tiles, sets)
+    close = stored(_across(rest, maps, num, den), "pairs")
+    if not close.isEmpty():
+        links = links.unionByName(_linked(docs, close, k, num, den))
         found = connected_components(links)
     dropped(maps, stars)
     root = of.select("doc_id", "rep").distinct().join(found.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("root"))
@@ -534,51 +482,55 @@ def _single(of: DataFrame) -> bool:
     return of.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").isEmpty()
 
 
-def _tiles(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(tile, doc_id, grp): blocks of members(key, rep, n, grp) of one key and size band, paired where sizes allow.
+def _linked(docs: DataFrame, close: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(a, b): those of the pairs(a, b, na, nb) that link."""
+    rows = stored(_hub_rows(close), "hubs")
+    sets = stored(_sets(_read_again(docs, rows.select("doc_id")), k), "shingles")
+    links = stored(_verify_hubs(rows.join(sets, "doc_id"), num, den), "links")
+    dropped(close, rows, sets)
+    return links
+
+
+def _across(rest: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, na, nb): pairs of members(key, rep, n, grp) of a key in different groups that bitmaps do not rule out.
 
-    A key's members are placed by a hash inside a narrow band, so no window holds a whole key; a
-    block has BLOCK members or WEIGHT shingles at most, about.
+    Every member outside a key's largest group is odd.  A tile is TILE members and TILE odd ones of
+    one key, which belongs to one size band, so what is sent grows with the members and not with
+    their pairs until a key has many tiles of odd ones.
     """
-    rows = rows.withColumn("bin", F.floor(F.log("n") / F.log(F.lit(1.05))).cast("int"))
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / WEIGHT)).cast("int")
-    total = rows.groupBy("key").agg(blocks.alias("all"))
-    bins = rows.groupBy("key", "bin").agg(blocks.alias("blocks"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    # what fits one block is one tile, whatever its sizes
-    bins = bins.join(total.where("all > 1").select("key"), "key", "left_semi")
-    block = bins.select("key", "bin", "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("s"))
-    x, y = (block.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("bin", "s", "lo", "hi")]) for i in (1, 2))
-    both = x.join(y, "key").where(f"(bin1 < bin2 or (bin1 = bin2 and s1 <= s2)) and {den} * hi1 >= {num} * lo2")
-    both = both.withColumn("tile", F.concat_ws("-", "key", "bin1", "s1", "bin2", "s2"))
-    first = both.select("key", F.col("bin1").alias("bin"), F.col("s1").alias("s"), "tile")
-    second = both.select("key", F.col("bin2").alias("bin"), F.col("s2").alias("s"), "tile")
-    large = rows.join(bins.select("key", "bin", "blocks"), ["key", "bin"]).withColumn("s", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    large = large.join(first.unionByName(second).distinct(), ["key", "bin", "s"]).select("tile", F.col("rep").alias("doc_id"), "grp")
-    small = rows.join(total.where("all = 1").select("key"), "key", "left_semi").select(F.col("key").cast("string").alias("tile"), F.col("rep").alias("doc_id"), "grp")
-    return small.unionByName(large)
-
-
-def _survivors(tiles: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
-    """The rows of tiles(tile, doc_id, grp) that bitmaps let link with a row of another group there."""
-    sized = tiles.join(maps, "doc_id").select("tile", "doc_id", "grp", "n", "bitmap")
+    size = rest.groupBy("key", "grp").agg(F.count("*").alias("m"), F.sum("n").alias("w")).groupBy("key")
+    tiles = lambda m, w: F.ceil(F.greatest(m / TILE, w / (TILE << 9), F.lit(1))).cast("int")
+    odd = lambda c: F.sum(c) - F.max_by(c, F.struct("m", "grp"))
+    keys = size.agg(F.max_by("grp", F.struct("m", "grp")).alias("most"), F.count("*").alias("groups"), tiles(F.sum("m"), F.sum("w")).alias("tm"), tiles(odd("m"), odd("w")).alias("to"))
+    rows = rest.join(_few(keys.where("groups > 1").drop("groups")), "key")
+    at = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    member = rows.select("key", at("tm").alias("x"), every("to").alias("y"), F.lit(0).alias("odd"), "rep", "grp")
+    single = rows.where("grp <> most").select("key", every("tm").alias("x"), at("to").alias("y"), F.lit(1).alias("odd"), "rep", "grp")
+    sized = member.unionByName(single).join(maps.withColumnRenamed("doc_id", "rep"), "rep").select("key", "x", "y", "odd", "rep", "grp", "n", "bitmap")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (tile,), rows in _by_tile(batches, 1):
-            ids, group, size, maps = (list(x) for x in zip(*rows, strict=True))
-            group, size = np.array(group), np.array(size)
+        for _, rows in _by_tile(batches, 3):
+            odd, ids, group, size, maps = (list(x) for x in zip(*rows, strict=True))
+            ids, group, size, odd = (np.array(x, np.int64) for x in (ids, group, size, odd))
             w = min(len(m) for m in maps)
             bits = np.stack([np.bitwise_or.reduce(m.reshape(-1, w), axis=0) for m in maps])
-            keep = np.zeros(len(ids), bool)
-            for i in range(len(ids) - 1):
-                other = np.flatnonzero(group[i + 1 :] != group[i]) + i + 1
-                low, high = np.minimum(size[i], size[other]), np.maximum(size[i], size[other])
-                other = other[low * den >= high * num]
-                if len(other):
-                    mine, their = size[i] - np.bitwise_count(bits[i] & ~bits[other]).sum(1, dtype=np.int64), size[other] - np.bitwise_count(bits[other] & ~bits[i]).sum(1, dtype=np.int64)
-                    ok = np.minimum(mine, their) >= -(-num * (size[i] + size[other]) // (num + den))
-                    keep[other[ok]] = True
-                    keep[i] |= ok.any()
-            at = np.flatnonzero(keep).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array([tile] * len(at), pa.string()), pa.array([ids[i] for i in at], pa.int64()), pa.array([group[i] for i in at], pa.int64())], names=["tile", "doc_id", "grp"])
-
-    return sized.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "tile string, doc_id bigint, grp bigint")
+            order = np.flatnonzero(odd == 0)
+            order = order[np.argsort(size[order], kind="stable")]
+            sorted_size, found = size[order], [np.zeros((4, 0), np.int64)]
+            for i in np.flatnonzero(odd).tolist():
+                low, high = np.searchsorted(sorted_size, [-(-size[i] * num // den), size[i] * den // num + 1])
+                other = order[low:high]
+                other = other[group[other] != group[i]]
+                mine = size[i] - np.bitwise_count(bits[i] & ~bits[other]).sum(1, dtype=np.int64)
+                other = other[mine >= -(-num * (size[i] + size[other]) // (num + den))]
+                their = size[other] - np.bitwise_count(bits[other] & ~bits[i]).sum(1, dtype=np.int64)
+                other = other[their >= -(-num * (size[i] + size[other]) // (num + den))]
+                found.append(np.stack([np.full(len(other), ids[i]), ids[other], np.full(len(other), size[i]), size[other]]))
+            a, b, na, nb = np.concatenate(found, axis=1)
+            turn = a > b
+            cols = np.where(turn, b, a), np.where(turn, a, b), np.where(turn, nb, na), np.where(turn, na, nb)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a", "b", "na", "nb"])
+
+    sized = sized.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return sized.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint").distinct()
