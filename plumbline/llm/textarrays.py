@@ -8,7 +8,8 @@ inside a multi-byte UTF-8 character, so byte runs and character runs agree.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,15 @@ def stream(n: int, seed: int) -> np.ndarray:
         return mix((np.arange(1, n + 1, dtype=U64) + U64(seed) * U64(0x9E3779B97F4A7C15))) | U64(1)
 
 
+#: Bytes looked at at a time, and the longest span that the vectorised hash takes.
+SEGMENT, LONG = 1 << 20, 1 << 12
 _TABLES: dict[int, np.ndarray] = {}
 
 
-def _table(n: int, seed: int) -> np.ndarray:
-    have = _TABLES.get(seed)
-    if have is None or len(have) < n:
-        have = _TABLES[seed] = stream(max(1024, 1 << (n - 1).bit_length()), seed)
-    return have
+def _table(seed: int) -> np.ndarray:
+    if seed not in _TABLES:
+        _TABLES[seed] = stream(LONG, seed)
+    return _TABLES[seed]
 
 
 def chunks(texts: pa.Array, limit: int = 384 << 10) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -68,41 +70,63 @@ def chunks(texts: pa.Array, limit: int = 384 << 10) -> Iterator[tuple[int, int,
 
 def per_doc(mask: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """How many bytes of each document are set in the mask."""
+    if len(mask) > SEGMENT:
+        return np.array([np.count_nonzero(mask[a:b]) for a, b in zip(offs[:-1], offs[1:], strict=True)])
     return np.diff(np.searchsorted(np.flatnonzero(mask), offs))
 
 
+def _runs(inside: Callable[[np.ndarray], np.ndarray], data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document of every run of bytes that are inside, in order; a run ends with its document."""
+    n, starts, ends = len(data), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    some = offs[:-1] < offs[1:]
+    begin, final = offs[:-1][some], offs[1:][some] - 1
+    for lo in range(0, n, SEGMENT):
+        hi = min(n, lo + SEGMENT)
+        a, b = max(0, lo - 1), min(n, hi + 1)  # a byte more on either side
+        body = inside(data[a:b])
+        first, last = body.copy(), body.copy()
+        first[1:] &= ~body[:-1]
+        last[:-1] &= ~body[1:]
+        for marks, at in ((first, begin), (last, final)):
+            at = at[np.searchsorted(at, a) : np.searchsorted(at, b)] - a
+            marks[at] = body[at]
+        starts.append(np.flatnonzero(first[lo - a : hi - a]) + lo)
+        ends.append(np.flatnonzero(last[lo - a : hi - a]) + lo + 1)
+    starts, ends = np.concatenate(starts), np.concatenate(ends)
+    return starts, ends, np.searchsorted(offs, starts, "right") - 1
+
+
 def words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and document of every word, in order."""
-    n = len(data)
-    inside = ~SPACE[data]
-    first, last = inside.copy(), inside.copy()
-    first[1:] &= ~inside[:-1]
-    last[:-1] &= ~inside[1:]
-    at = offs[:-1][(offs[:-1] < n) & (offs[:-1] < offs[1:])]
-    first[at] = inside[at]
-    at = offs[1:][offs[1:] > offs[:-1]] - 1
-    last[at] = inside[at]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return starts, ends, np.searchsorted(offs, starts, "right") - 1
+    return _runs(lambda x: ~SPACE[x], data, offs)
 
 
 def lines(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and document of every line that is not empty, split at \\n."""
-    n = len(data)
-    body = data != 10
-    first, last = body.copy(), body.copy()
-    first[1:] &= ~body[:-1]
-    last[:-1] &= ~body[1:]
-    at = offs[:-1][(offs[:-1] < n) & (offs[:-1] < offs[1:])]
-    first[at] = body[at]
-    at = offs[1:][offs[1:] > offs[:-1]] - 1
-    last[at] = body[at]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return starts, ends, np.searchsorted(offs, starts, "right") - 1
+    return _runs(lambda x: x != 10, data, offs)
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; spans are not empty and do not overlap."""
+    """A 64-bit hash of the bytes of each span; spans are not empty.
+
+    Spans are hashed some SEGMENT bytes at a time, one longer than LONG on its own.
+    """
+    size = ends - starts
+    if len(size) and int(size.max()) > LONG:
+        out, long = np.zeros(len(size), U64), size > LONG
+        out[~long] = span_hash(data, starts[~long], ends[~long], seed)
+        key = seed.to_bytes(8, "little")
+        for i in np.flatnonzero(long).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8, key=key).digest(), "little")
+        return out
+    total = np.cumsum(size)
+    if not len(size) or total[-1] <= SEGMENT:
+        return _short_hash(data, starts, ends, seed)
+    cut = np.searchsorted(total, np.arange(0, int(total[-1]), SEGMENT)).tolist() + [len(size)]
+    return np.concatenate([_short_hash(data, starts[a:b], ends[a:b], seed) for a, b in zip(cut[:-1], cut[1:], strict=True)])
+
+
+def _short_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, U64)
     size = ends - starts
@@ -110,7 +134,7 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     place = np.arange(int(base[-1] + size[-1]), dtype=np.int64) - np.repeat(base, size)
     body = data[place + np.repeat(starts, size)]
     with np.errstate(over="ignore"):
-        total = np.add.reduceat((body.astype(U64) + U64(1)) * _table(int(size.max()), seed)[place], base)
+        total = np.add.reduceat((body.astype(U64) + U64(1)) * _table(seed)[place], base)
         return mix(total + size.astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
