@@ -1,9 +1,10 @@
 """Token counts of a byte-level BPE by a two-tier lookup on the map side.
 
 A text falls into units, a word with the one space before it, whose token counts do not
-depend on their neighbours.  The first tier is a compact hash table of the most frequent
-units' counts, broadcast to the workers; the second is a cache in each worker, which asks
-the tokenizer about a unit once.  No unit is ever shuffled.
+depend on their neighbours.  The first tier is a compact hash table of frequent units'
+counts, broadcast to the workers and bounded by the vocabulary, whose tokens it holds; the
+second is a cache in each worker, which asks the tokenizer about a unit once.  No unit is
+ever shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import textarrays as ta
 
@@ -150,51 +150,36 @@ class Counter:
         assert len(total) == n
 
 
-def frequent_units(docs: DataFrame, text: str = "text", size: int = 1 << 15, per_task: int = 1 << 12) -> list[str]:
-    """At most `size` units that are frequent in docs, from every text.
+def vocabulary_units(path: str) -> list[str]:
+    """The vocabulary's tokens as texts: what its makers found frequent, so no corpus is read for it.
 
-    Each task counts its units and hands on its `per_task` most frequent ones, so what is
-    added up and sent to the driver is bounded whatever the corpus.  The table only decides
-    which tier answers, never a result.
+    Tokens that are no whole characters are left out; the table drops those that are no unit.
     """
+    from tokenizers import Tokenizer
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, list] = {}
-        for batch in batches:
-            for _, _, data, offs in ta.chunks(batch.column(0), 4 << 20):
-                starts, ends, _, hashes, spaced = units(data, offs)
-                keys, where, counts = np.unique(hashes, return_index=True, return_counts=True)
-                top = np.argsort(-counts, kind="stable")[: 2 * per_task]
-                for k, i, c in zip(keys[top].tolist(), where[top].tolist(), counts[top].tolist(), strict=True):
-                    if k in seen:
-                        seen[k][1] += c
-                    elif ends[i] - starts[i] <= 64:
-                        seen[k] = [(b" " if spaced[i] else b"") + data[starts[i] : ends[i]].tobytes(), c]
-                if len(seen) > 8 * per_task:
-                    seen = dict(sorted(seen.items(), key=lambda x: -x[1][1])[: 4 * per_task])
-        best = sorted(seen.values(), key=lambda x: (-x[1], x[0]))[:per_task]
-        yield pa.RecordBatch.from_arrays([pa.array([u.decode("utf-8", "replace") for u, _ in best], pa.string()), pa.array([c for _, c in best], pa.int64())], names=["unit", "n"])
-
-    found = docs.select(docs[text]).mapInArrow(run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
-    return [r.unit for r in found.orderBy(F.desc("n"), "unit").limit(size).collect()]
+    tok = Tokenizer.from_file(path)
+    special = set(tok.get_added_tokens_decoder())
+    found = tok.decode_batch([[i] for i in sorted(tok.get_vocab().values()) if i not in special])
+    return [x for x in found if x and "\ufffd" not in x]
 
 
 def build_table(path: str, frequent: list[str]) -> UnitTable:
-    """The first tier: counts of the frequent units."""
+    """The first tier: counts of the frequent units, one word each, with or without a space before it."""
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
+    tok.no_padding()
     raw = [u.encode() for u in frequent if u.strip(" ")]
+    if not raw:
+        return UnitTable(np.zeros(0, U64), np.zeros(0, np.int32))
     counts = [len(x.ids) for x in tok.encode_batch([u.decode() for u in raw], add_special_tokens=False)]
     data = np.frombuffer(b"".join(raw), np.uint8)
     offs = np.cumsum([0] + [len(u) for u in raw])
-    if not len(data):
-        return UnitTable(np.zeros(0, U64), np.zeros(0, np.int32))
-    starts, _, doc, hashes, spaced = units(data, offs)
-    # a unit that begins with a space is a text that begins with one here
-    single = np.bincount(doc, minlength=len(raw)) == 1
-    keep = single[doc]
+    starts, ends, doc, hashes, spaced = units(data, offs)
+    # one word that fills the text but for the one space that is its own
+    size = np.array([len(u) for u in raw])
+    keep = (ends - starts + spaced == size[doc]) & ~np.isin(doc, odd_docs(data, offs, ()))
     return UnitTable(hashes[keep], np.array(counts, np.int32)[doc[keep]])
 
 
@@ -203,10 +188,12 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", carry: tuple[st
 
     `path` names a tokenizers file with byte-level BPE.  A null text counts as empty: no
     bytes and no tokens.  Texts of any length are counted whole; repeated rows stay; other
-    columns of docs are ignored.
+    columns of docs are ignored.  `frequent` are the texts of the first tier, the vocabulary's
+    own unless given; they decide which tier answers, never a result.  Texts are read once and
+    nothing is shuffled.
     """
     if frequent is None:
-        frequent = frequent_units(docs, text)
+        frequent = vocabulary_units(path)
     table = docs.sparkSession.sparkContext.broadcast(build_table(path, frequent))
     out = docs.select(*[docs[c] for c in carry], docs[text].alias("__text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields[:-1]] + ["n_bytes bigint", "n_tokens bigint"])

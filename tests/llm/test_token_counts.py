@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from plumbline.llm.token_counts import frequent_units, token_counts
+from plumbline.llm.token_counts import build_table, token_counts, units, vocabulary_units
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,8 +24,18 @@ def test_counts_are_the_librarys(spark):
     assert sorted(map(tuple, token_counts(df, PATH, frequent=[]).collect()), key=str) == sorted(want, key=str)
 
 
-def test_frequent_units_are_bounded(spark):
-    df = spark.createDataFrame([("the cat the dog",), ("the end the",), (None,)], "text string")
-    assert frequent_units(df, size=2) == [" the", "the"]
-    assert frequent_units(df.limit(0)) == []
-    assert token_counts(spark.createDataFrame([], "doc_id bigint, text string"), PATH).count() == 0
+def test_first_tier_is_the_vocabulary(spark):
+    found = vocabulary_units(PATH)
+    assert 30_000 < len(found) < 50_257 and " the" in found
+    table = build_table(PATH, found + [" <|endoftext|>"])
+    raw = b"the the houses"
+    got = table.get(units(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[3])
+    assert got.tolist() == [1, 1, 1]
+    assert (build_table(PATH, []).get(np.array([5], np.uint64)) == 0).all()
+
+
+def test_nothing_is_shuffled(spark):
+    df = spark.createDataFrame([(1, "the cat")], "doc_id bigint, text string")
+    plan = token_counts(df, PATH)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert token_counts(df.limit(0), PATH).count() == 0
