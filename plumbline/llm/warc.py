@@ -3,7 +3,8 @@
 An archive is a table of (segment, record_id, chunk_no, last, data, sha256): the data of a
 record's chunks, in order, are the bytes of one WARC/1.1 record, and `sha256` is the digest of
 its payload up to the end of the chunk.  A reader holds one chunk at a time and checks the
-digest as it goes; `segment` tells records apart even if pages repeat.  Oversized payloads are many short rows, never one long buffer.
+digest as it goes; `segment` tells records apart even if whole rows repeat.  Oversized
+payloads are many short rows, never one long buffer.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .storage import shared_dir
@@ -27,17 +28,18 @@ _COLUMNS = "segment bigint, record_id string, chunk_no int, last boolean, data b
 _NAMES = ["segment", "record_id", "chunk_no", "last", "data", "sha256"]
 
 
-def record_id(page_id: int | None) -> str:
-    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}"
+def record_id(page_id: int | None, digest: str) -> str:
+    """A record's identifier, from its page and payload; only rows that repeat both share one."""
+    return f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}"
 
 
 def header(kind: str, page_id: int | None, url: str | None, digest: str, size: int, refers_to: int | None, date: str) -> bytes:
     """The head of a record, its HTTP head included.  A URL is percent-encoded where a header needs it."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "about:blank")
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id(page_id)}>", f"WARC-Date: {date}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha256:{digest}"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id(page_id, digest)}>", f"WARC-Date: {date}", f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha256:{digest}"]
     if kind == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{record_id(refers_to)}>", f"X-Refers-To-Page: {refers_to}"]
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{record_id(refers_to, digest)}>", f"X-Refers-To-Page: {refers_to}"]
     lines += [f"X-Page-Id: {'' if page_id is None else page_id}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + (0 if kind == 'revisit' else size)}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode() + http
 
@@ -76,7 +78,7 @@ def chunk_records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataF
                 kind = "response" if refers is None else "revisit"
                 head = header(kind, page, url.as_py(), digest.as_py(), len(body), refers, date)
                 left = body if kind == "response" else body[:0]
-                state, rid = hashlib.sha256(), record_id(page)
+                state, rid = hashlib.sha256(), record_id(page, digest.as_py())
                 ends = [*range(max(1, CHUNK - len(head)), len(left), CHUNK), len(left)]
                 start, segment = 0, segment + 1
                 for no, end in enumerate(ends):
@@ -99,9 +101,12 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=_NAMES)
 
 
-def write_archive(pages: DataFrame, path: str) -> None:
-    """Writes the pages' records as a chunked record table."""
-    chunk_records(pages).write.option("compression", "zstd").parquet(path)
+def write_archive(pages: DataFrame, path: str) -> int:
+    """Writes the pages' records as a chunked record table; returns their number, counted as they are written."""
+    seen = Observation()
+    rows = chunk_records(pages).observe(seen, F.count(F.when(F.col("chunk_no") == 0, 1)).alias("records"))
+    rows.write.option("compression", "zstd").parquet(path)
+    return seen.get["records"]
 
 
 def _head(data: bytes) -> tuple[dict[str, str], int]:
@@ -142,23 +147,35 @@ def read_archive(archive: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of each record.
 
     Records of one chunk are read where they lie.  Only those of several chunks are brought
-    together, and then sorted, so that a task holds one chunk of one record at a time.
+    together, and then sorted, so that a task holds one chunk of one record at a time.  A record
+    whose first, last or any other chunk is missing is an error.
     """
     result = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = None
+        reader, open_ = None, None
+
+        def ended() -> None:
+            if reader is not None:
+                raise ValueError(f"chunk {reader.next} of {reader.fields['WARC-Record-ID']} is missing")
+
         for batch in batches:
             out = []
-            for no, last, data, sha in zip(*(batch.column(i) for i in range(2, 6)), strict=True):
+            for segment, rid, no, last, data, sha in zip(*(batch.column(i) for i in range(6)), strict=True):
                 data = data.as_buffer().to_pybytes()
                 if no.as_py() == 0:
-                    reader = _Reader(data)
+                    ended()
+                    reader, open_ = _Reader(data), segment.as_py()
+                elif reader is None or segment.as_py() != open_:
+                    ended()
+                    raise ValueError(f"chunk 0 of {rid.as_py()} is missing")
                 row = reader.feed(no.as_py(), last.as_py(), data, sha.as_py())
                 if row:
                     out.append(row)
+                    reader = None
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+        ended()
 
     rows = archive.select(*_NAMES)
     single = F.col("last") & (F.col("chunk_no") == 0)
@@ -173,5 +190,9 @@ def warc_round_trip(pages: DataFrame, path: str | None = None) -> DataFrame:
     all responses.  Other columns of pages are ignored.
     """
     path = path or shared_dir(pages.sparkSession) + "-warc"
-    write_archive(pages, path)
-    return read_archive(pages.sparkSession.read.parquet(path))
+    written = write_archive(pages, path)
+    archive = pages.sparkSession.read.parquet(path)
+    found = archive.where("chunk_no = 0").count()
+    if found != written:
+        raise ValueError(f"{written} records were written and {found} are in the archive")
+    return read_archive(archive)

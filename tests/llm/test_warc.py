@@ -40,4 +40,12 @@ def test_damage_is_found_and_empty_table(spark, tmp_path):
     cut = spark.createDataFrame([r for r in rows if r.chunk_no != 1], "segment bigint, record_id string, chunk_no int, last boolean, data binary, sha256 string")
     with pytest.raises(Exception, match="missing|damaged"):
         warc.read_archive(cut).collect()
+    schema = "segment bigint, record_id string, chunk_no int, last boolean, data binary, sha256 string"
+    three = spark.createDataFrame([(1, "u", "a" * 200_000), (2, "u", "b" * 150_000), (3, "u", "c" * 10)], "page_id bigint, url string, html string").repartition(1)
+    rows = warc.chunk_records(three).collect()
+    for gone in (lambda r: r.last and r.chunk_no > 0, lambda r: r.last and r.segment % 2 == 0, lambda r: r.chunk_no == 0 and not r.last):
+        lost = spark.createDataFrame([r for r in rows if not gone(r)], schema)
+        with pytest.raises(Exception, match="is missing"):
+            warc.read_archive(lost).collect()
+    assert len({r.record_id for r in rows}) == 3
     assert warc.warc_round_trip(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
