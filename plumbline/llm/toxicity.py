@@ -1,10 +1,12 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its hashed character n-grams and of itself, so an unseen misspelling
-shares most of its vectors with the word it comes from.  A text's vector is the average of
-its words' vectors; a softmax over two classes reads it.  Embeddings and softmax are trained
-jointly in numpy on a bounded sample of labelled rows, then a text of any length is scored
-in tasks: averaging and softmax being linear, a word enters as one number.
+shares most of its vectors with the word it comes from.  SPAN consecutive words are averaged
+(all of them, if a text has fewer), and a softmax over two classes reads the average; a text
+scores as its highest span does, so that an insult weighs the same in a long text as in a
+short one.  Embeddings and softmax are trained jointly in numpy on a bounded sample of
+labelled rows, then a text of any length is scored in tasks: averaging and softmax being
+linear, a word enters as one number.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ U64 = np.uint64
 GRAMS, BUCKETS, DIM = (3, 4, 5), 1 << 16, 16
 #: Labelled rows to train on at most: this many of each class, by a hash of the doc_id.
 SAMPLE = 1500
-#: A text longer than this many words is read in pieces of this many; the highest counts.
-PIECE = 6
+#: Texts longer than this many bytes are not trained on, so that the driver gets a bounded sample.
+SAMPLE_BYTES = 100_000
+#: Consecutive words that are averaged.
+SPAN = 6
 _EDGE = np.frombuffer(b"\x01", np.uint8)
 
 
@@ -48,16 +52,25 @@ def word_buckets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
 
 
 def bag(data: np.ndarray, offs: np.ndarray):
-    """Distinct words of a chunk: (hash, first start, first end, piece of each word, its distinct word, document of each piece)."""
+    """(lower-cased bytes; hash, start and end of each distinct word; the distinct word of each word;
+    first word and length of each span, document of each span)."""
     data = ta.LOWER[data]
     starts, ends, doc = ta.words(data, offs)
     keys, where, back = np.unique(ta.span_hash(data, starts, ends, 17), return_index=True, return_inverse=True)
     n = len(offs) - 1
     count = np.bincount(doc, minlength=n)
-    place = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-    pieces = np.maximum(1, -(-count // PIECE))
-    piece = (np.cumsum(pieces) - pieces)[doc] + place // PIECE
-    return data, keys, starts[where], ends[where], piece, back, np.repeat(np.arange(n), pieces)
+    spans = np.maximum(1, count - SPAN + 1)
+    of = np.repeat(np.arange(n), spans)
+    first = np.arange(len(of)) - np.repeat(np.cumsum(spans) - spans, spans) + np.repeat(np.cumsum(count) - count, spans)
+    return data, keys, starts[where], ends[where], back, first, np.minimum(SPAN, count)[of], of
+
+
+def span_means(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The mean of each span of values, 0 for an empty one, whatever stands around it."""
+    padded, total = np.concatenate([values, np.zeros(SPAN)]), np.zeros(len(first))
+    for j in range(SPAN):
+        total += np.where(j < size, padded[first + j], 0.0)
+    return total / np.maximum(1, size)
 
 
 class Model:
@@ -70,23 +83,19 @@ class Model:
 def train(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0.3, seed: int = 5) -> Model:
     """Trains embeddings and softmax jointly by AdaGrad on cross-entropy, classes weighted evenly.
 
-    A text in several pieces is as toxic as its most toxic piece: the piece that scores highest
-    just then is the one that learns, after a first epoch in which all do.
+    A text is as toxic as its most toxic span: the span that scores highest just then is the one
+    that learns, after a first epoch in which any does.
     """
     y = np.array(labels, np.int64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(BUCKETS), float(np.inf if len(y) and y[0] else -np.inf) if len(y) else 0.0)
     raw = [t.encode() for t in texts]
-    data, keys, a, b, piece, word, doc = bag(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+    data, keys, a, b, word, start, length, doc = bag(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
     grams, owner = word_buckets(data, a, b)
     order = np.argsort(owner, kind="stable")
     grams, owner = grams[order], owner[order]
     first = np.searchsorted(owner, np.arange(len(keys) + 1))
     n_grams = np.diff(first)
-    n_pieces = len(doc)
-    by_piece = np.argsort(piece, kind="stable")
-    word = word[by_piece]
-    bound = np.searchsorted(piece[by_piece], np.arange(n_pieces + 1))
     of = np.searchsorted(doc, np.arange(len(y) + 1))
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 1 / DIM, (BUCKETS, DIM))
@@ -101,19 +110,18 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0
 
     def scores() -> np.ndarray:
         w = np.bincount(owner, weights=(emb @ (soft[:, 1] - soft[:, 0]))[grams], minlength=len(keys)) / n_grams
-        size = np.maximum(1, np.diff(bound))
-        return np.bincount(np.repeat(np.arange(n_pieces), np.diff(bound)), weights=w[word], minlength=n_pieces) / size
+        return span_means(w[word], start, length)
 
-    def batch(pieces: np.ndarray, target: np.ndarray) -> None:
+    def batch(spans: np.ndarray, target: np.ndarray) -> None:
         nonlocal soft, bias, g_soft, g_bias
-        size = bound[pieces + 1] - bound[pieces]
-        w = word[spread(bound[pieces], bound[pieces + 1])]
-        row = np.repeat(np.arange(len(pieces)), size)
+        size = length[spans]
+        w = word[spread(start[spans], start[spans] + size)]
+        row = np.repeat(np.arange(len(spans)), size)
         g = grams[spread(first[w], first[w + 1])]
         weight = np.repeat(1 / (size[row] * n_grams[w]), n_grams[w])
         grow = np.repeat(row, n_grams[w])
         used, local = np.unique(g, return_inverse=True)
-        flat = np.bincount(grow * len(used) + local, weights=weight, minlength=len(pieces) * len(used)).reshape(len(pieces), len(used))
+        flat = np.bincount(grow * len(used) + local, weights=weight, minlength=len(spans) * len(used)).reshape(len(spans), len(used))
         x = flat @ emb[used]
         z = x @ soft + bias
         p = np.exp(z - z.max(1, keepdims=True))
@@ -151,7 +159,7 @@ class Scorer:
 
     def score(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         n = len(offs) - 1
-        data, keys, a, b, piece, word, doc = bag(data, offs)
+        data, keys, a, b, word, start, length, doc = bag(data, offs)
         value = np.array(list(map(self.cache.get, keys.tolist())), np.float64)  # None becomes nan
         new = np.flatnonzero(np.isnan(value))
         if len(new):
@@ -160,10 +168,8 @@ class Scorer:
             if len(self.cache) + len(new) > self.CACHE:
                 self.cache.clear()
             self.cache.update(zip(keys[new].tolist(), value[new].tolist(), strict=True))
-        size = np.maximum(1, np.bincount(piece, minlength=len(doc)))
-        z = np.bincount(piece, weights=value[word], minlength=len(doc)) / size
         top = np.full(n, -np.inf)
-        np.maximum.at(top, doc, z)
+        np.maximum.at(top, doc, span_means(value[word], start, length))
         return 1 / (1 + np.exp(-np.clip(top + self.model.bias, -500, 500)))
 
 
@@ -175,13 +181,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) ->
     """A model from at most `sample` rows of each class that are not held out.
 
     Labels that are null or held out are never read; of the others those with the smallest
-    hashes of doc_id are taken, joined with their texts.
+    hashes of doc_id are taken, joined with their texts.  A doc_id with several labels is toxic if
+    one of them says so, and one with several texts is trained on the first of them by code point.
     """
-    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    known = labels.where("toxic in (0, 1) and doc_id is not null").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     parts = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for c in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").collect()
-    rows = sorted({(r.doc_id, r.text or "", r.toxic) for r in rows})
+    some = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = sorted(some.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic").collect())
     return train([t for _, t, _ in rows], [c for *_, c in rows], **options)
 
 

@@ -1,9 +1,10 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
-from plumbline.llm.toxicity import toxicity
+from plumbline.llm.toxicity import BUCKETS, SPAN, Model, Scorer, toxicity, word_buckets
 
 
 def corpus(n):
@@ -51,3 +52,33 @@ def test_predicts_a_distant_misspelling(spark):
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(5002, "unseen idiooot " + "river " * 3000)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
     assert toxicity(docs, labels).where("doc_id = 5002").first().predicted == 1
+
+
+def test_conflicting_labels_in_any_order(spark):
+    rows = corpus(200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = [(i, y) for i, _, y in rows] + [(i, 0) for i, _, y in rows if y] + [(i, 0) for i, _, _ in rows]
+    plain = toxicity(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")).orderBy("doc_id").collect()
+    for seed in (1, 2):
+        random.Random(seed).shuffle(labels)
+        given = spark.createDataFrame(labels, "doc_id bigint, toxic int").repartition(seed + 1)
+        assert toxicity(docs.repartition(3), given).orderBy("doc_id").collect() == plain  # one toxic label decides
+
+
+def test_spans_against_plain_python():
+    rng = random.Random(8)
+    texts = ["", "one", " ".join(["w"] * SPAN), *(" ".join(rng.choice(["ab", "Cd", "efgh", "ij"]) for _ in range(rng.randint(1, 30))) for _ in range(40))]
+    model = Model(np.random.default_rng(1).normal(size=BUCKETS), 0.3)
+    raw = [t.encode() for t in texts]
+    got = Scorer(model).score(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+
+    def value(word):
+        b = word.lower().encode()
+        grams, _ = word_buckets(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))
+        return model.weight[grams].mean()
+
+    for t, s in zip(texts, got, strict=True):
+        v = [value(w) for w in t.split()]
+        spans = [v[i : i + SPAN] for i in range(max(1, len(v) - SPAN + 1))]
+        top = max(sum(x) / max(1, len(x)) for x in spans)
+        assert abs(s - 1 / (1 + np.exp(-top - model.bias))) < 1e-9
