@@ -6,12 +6,14 @@ one, so the index holds one entry (anchor, hash of its whole window group, doc_i
 four windows.  Entries lie in immutable runs, sorted by anchor and cut into buckets.  A new
 batch is sorted the same way and merge-joined with the runs bucket by bucket:
 
-- the same anchor and the same window group in a smaller document: every window repeats;
-- the same anchor with another group: its windows are verified one by one against the
-  texts of the documents that hold the anchor.
-
-The merge also writes the next run, in which an entry keeps its smallest doc_id: that is
-the compaction.
+- the same anchor and the same window group in a smaller document: every window repeats, as
+  two independent 64-bit hashes, of a gram and of all windows around it, agree;
+- the same anchor with another group: its windows are verified one by one, by two hashes of
+  their own, against those of the documents that hold the anchor, from their texts.
+
+A batch adds a run.  As soon as FAN runs have about the same size they are compacted into one
+in which an entry keeps its smallest doc_id.  A manifest names the live runs, so that a later
+session opens the index where this one left it.
 """
 
 from __future__ import annotations
@@ -27,11 +29,15 @@ from pyspark.sql import functions as F
 
 from . import textarrays as ta
 from .jaccard_join import _pack, _unpack
-from .storage import stored
+from .storage import shared_dir, stored
 
 U64 = np.uint64
 WINDOW, GRAM = 13, 6
 RUN, FULL, CHECK = 0, 1, 2
+#: Runs of about one size before they become one, and how much "about" is.
+FAN = 4
+#: Groups of an anchor in a task's flush before the anchor is hot, and the group that marks it.
+CAP, HOT = 64, 0
 _BLOCK = "bucket int, n bigint, anchors binary, groups binary, low bigint, ids binary"
 
 
@@ -68,13 +74,35 @@ def entry_id(anchors: np.ndarray, groups: np.ndarray) -> np.ndarray:
 
 
 def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
-    """A batch's entries, one packed row for each task and bucket."""
+    """A batch's entries, one packed row for each task and bucket.
+
+    Of an entry that a flush holds for several documents the smallest goes to the anchor's bucket;
+    the others are known to repeat and go to buckets from `buckets` on, spread by their ids.  An
+    anchor with more than CAP groups in a flush is hot: a mark takes its place in its bucket, and
+    its entries, which are compared window by window, go to buckets from 2 * `buckets` on.
+    """
 
     def flush(parts: list) -> Iterator[pa.RecordBatch]:
         if not parts:
             return
         anchor, group, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
-        bucket = ((anchor >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
+        order = np.lexsort((ids, group, anchor))
+        anchor, group, ids = anchor[order], group[order], ids[order]
+        a0 = np.ones(len(anchor), bool)
+        a0[1:] = anchor[1:] != anchor[:-1]
+        g0 = a0.copy()
+        g0[1:] |= group[1:] != group[:-1]
+        keep = g0.copy()
+        keep[1:] |= ids[1:] != ids[:-1]  # a document's second entry of a kind says nothing new
+        number = np.cumsum(a0) - 1
+        hot = (np.bincount(number, weights=g0) > CAP)[number]
+        first = ids[np.maximum.accumulate(np.where(g0, np.arange(len(ids)), 0))]
+        spread = (ta.mix(ids.view(U64)) % U64(buckets)).astype(np.int64)
+        home = ((anchor >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+        bucket = np.where(hot, 2 * buckets + spread, np.where(ids > first, buckets + spread, home))
+        marks = a0 & hot
+        anchor, group, ids = (np.concatenate(x) for x in ((anchor[keep], anchor[marks]), (group[keep], np.full(int(marks.sum()), HOT, U64)), (ids[keep], ids[marks])))
+        bucket = np.concatenate([bucket[keep], home[marks]]).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         anchor, group, ids, bucket = anchor[order], group[order], ids[order], bucket[order]
         cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
@@ -104,21 +132,49 @@ def _block_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "n", "anchors", "groups", "low", "ids"])
 
 
-def _merge(blocks: DataFrame, run: DataFrame | None, keep: bool) -> DataFrame:
-    """Merge-joins a batch with the last run, bucket by bucket.
+_MERGED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("entry", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("anchors", pa.binary()), ("groups", pa.binary()), ("low", pa.int64()), ("ids", pa.binary())])
+
+
+def _columns(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors, groups and ids of packed rows."""
+    read = lambda c: np.concatenate([np.frombuffer(x, U64) for x in t[c].to_pylist()])
+    ids = [_unpack(low, raw, n) for low, raw, n in zip(t["low"].to_pylist(), t["ids"].to_pylist(), t["n"].to_pylist(), strict=True)]
+    return read("anchors"), read("groups"), np.concatenate(ids)
+
+
+def _flagged(kind: int, ids: np.ndarray, entry: np.ndarray) -> pa.Table:
+    return pa.table({"kind": np.full(len(ids), kind, np.int32), "doc_id": ids, "entry": entry})
+
+
+def _run_row(bucket: int, anchor: np.ndarray, group: np.ndarray, ids: np.ndarray) -> pa.Table:
+    low, off = _pack(ids)
+    block = _block_batch([(bucket, len(ids), anchor.tobytes(), group.tobytes(), low, off)])
+    return pa.table({"kind": pa.array([RUN], pa.int32()), **{c: block.column(c) for c in block.schema.names}})
+
+
+def _shaped(tables: list[pa.Table]) -> pa.Table:
+    t = pa.concat_tables([x for x in tables if len(x)] or tables[:1], promote_options="default")
+    return pa.table([t[f.name] if f.name in t.schema.names else pa.nulls(len(t), f.type) for f in _MERGED], schema=_MERGED)
+
+
+def _merge(blocks: DataFrame, runs: list[DataFrame], buckets: int) -> DataFrame:
+    """Merge-joins a batch with the live runs, bucket by bucket.
 
     Rows (kind, doc_id, entry) say of a document's entry that it repeats (FULL) or that its
-    windows must be compared (CHECK); rows of kind RUN are the next run.
+    windows must be compared (CHECK); rows of kind RUN are the batch's own run.
     """
-    new = blocks.withColumn("old", F.lit(0))
-    rows = new if run is None else new.unionByName(run.select("bucket", "n", "anchors", "groups", "low", "ids", F.lit(1).alias("old")))
+    rows = blocks.withColumn("old", F.lit(0))
+    for r in runs:
+        rows = rows.unionByName(r.select("bucket", "n", "anchors", "groups", "low", "ids", F.lit(1).alias("old")))
 
     def join(t: pa.Table) -> pa.Table:
-        read = lambda c: np.concatenate([np.frombuffer(x, U64) for x in t[c].to_pylist()])
-        anchor, group = read("anchors"), read("groups")
-        sizes = t["n"].to_pylist()
-        ids = np.concatenate([_unpack(low, raw, n) for low, raw, n in zip(t["low"].to_pylist(), t["ids"].to_pylist(), sizes, strict=True)])
-        old = np.repeat(np.array(t["old"].to_pylist(), bool), sizes)
+        bucket = t["bucket"][0].as_py()
+        anchor, group, ids = _columns(t)
+        if bucket >= buckets:
+            return _shaped([_flagged(FULL if bucket < 2 * buckets else CHECK, ids, entry_id(anchor, group))])
+        old = np.repeat(np.array(t["old"].to_pylist(), bool), t["n"].to_pylist())
+        if old.all():
+            return _shaped([_flagged(FULL, ids[:0], ids[:0])])
         order = np.lexsort((ids, group, anchor))
         anchor, group, ids, old = anchor[order], group[order], ids[order], old[order]
         a0 = np.ones(len(anchor), bool)
@@ -129,53 +185,123 @@ def _merge(blocks: DataFrame, run: DataFrame | None, keep: bool) -> DataFrame:
         full = ids > ids[first]
         # an anchor with several groups: the first document of each group has its windows compared
         number = np.cumsum(a0) - 1
-        mixed = (np.bincount(number, weights=g0) > 1)[number]
         start = np.flatnonzero(a0)
+        hot = np.logical_or.reduceat(group == HOT, start)[number]
+        mixed = (np.bincount(number, weights=g0) > 1)[number]
         several = (np.maximum.reduceat(ids, start) > np.minimum.reduceat(ids, start))[number]
         fresh = np.maximum.reduceat((~old).astype(np.int8), start).astype(bool)[number]
-        check = g0 & mixed & several & fresh
+        check = g0 & (mixed & several & fresh | hot) & (group != HOT)
         entry = entry_id(anchor, group)
-        out = {"kind": [], "doc_id": [], "entry": []}
-        for kind, rows in ((FULL, full & ~old), (CHECK, check)):
-            out["kind"].append(np.full(int(rows.sum()), kind, np.int32))
-            out["doc_id"].append(ids[rows])
-            out["entry"].append(entry[rows])
-        out = {k: np.concatenate(v) for k, v in out.items()}
-        table = pa.table(out)
-        if keep and len(ids):
-            low, off = _pack(ids[g0])
-            block = _block_batch([(t["bucket"][0].as_py(), int(g0.sum()), anchor[g0].tobytes(), group[g0].tobytes(), low, off)])
-            table = pa.concat_tables([table, pa.table({"kind": pa.array([RUN], pa.int32()), **{c: block.column(c) for c in block.schema.names}})], promote_options="default")
-        schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("entry", pa.int64()), ("bucket", pa.int32()), ("n", pa.int64()), ("anchors", pa.binary()), ("groups", pa.binary()), ("low", pa.int64()), ("ids", pa.binary())])
-        return pa.table([table[f.name] if f.name in table.schema.names else pa.nulls(len(table), f.type) for f in schema], schema=schema)
+        out = [_flagged(kind, ids[at], entry[at]) for kind, at in ((FULL, full & ~old & (group != HOT)), (CHECK, check))]
+        mine = np.flatnonzero(~old)
+        new = np.ones(len(mine), bool)
+        new[1:] = (anchor[mine[1:]] != anchor[mine[:-1]]) | (group[mine[1:]] != group[mine[:-1]])
+        mine = mine[new]
+        return _shaped([*out, _run_row(bucket, anchor[mine], group[mine], ids[mine])])
 
     return rows.groupBy("bucket").applyInArrow(join, f"kind int, doc_id bigint, entry bigint, {_BLOCK}")
 
 
+def _compact(runs: list[DataFrame]) -> DataFrame:
+    """One run of several: an entry keeps its smallest document."""
+    rows = runs[0]
+    for r in runs[1:]:
+        rows = rows.unionByName(r)
+
+    def join(t: pa.Table) -> pa.Table:
+        anchor, group, ids = _columns(t)
+        order = np.lexsort((ids, group, anchor))
+        anchor, group, ids = anchor[order], group[order], ids[order]
+        new = np.ones(len(ids), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (group[1:] != group[:-1])
+        return _run_row(t["bucket"][0].as_py(), anchor[new], group[new], ids[new]).drop_columns(["kind"])
+
+    return rows.select("bucket", "n", "anchors", "groups", "low", "ids").groupBy("bucket").applyInArrow(join, _BLOCK)
+
+
 class FingerprintIndex:
-    """The index: its last run, and what the batches so far have shown.
+    """The index under a folder: its live runs, and what the batches so far have shown.
 
     Batches must come in ascending doc_id order, as a window is judged against smaller ids.
+    `buckets` stays as it is made; take about one for 500,000 entries, which are about as many as
+    25 bytes of text each.
     """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         self.spark = spark
-        self.buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.run: DataFrame | None = None
-        self.highest: int | None = None
-        self.flags: DataFrame | None = None
+        self.path = path or shared_dir(spark) + "-index"
+        self.buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.version, self.highest = 0, None
+        #: (folder, entries) of each live run; folders of flags.
+        self.runs: list[tuple[str, int]] = []
+        self.flagged: list[str] = []
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> FingerprintIndex:
+        """The index that an earlier session left at path: the newest manifest that is whole."""
+        fs = spark._jvm.org.apache.hadoop.fs
+        root = fs.Path(path)
+        system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in system.listStatus(root)]
+        whole = [int(n.split("-")[1]) for n in names if n.startswith("manifest-") and system.exists(fs.Path(f"{path}/{n}/_SUCCESS"))]
+        rows = spark.read.parquet(f"{path}/manifest-{max(whole)}").collect()  # a row for each run and each batch's flags
+        meta = next(r for r in rows if r.kind == "index")
+        self = cls(spark, path, meta.n)
+        self.version, self.highest = max(whole), meta.highest
+        self.runs = [(r.folder, r.n) for r in rows if r.kind == "run"]
+        self.flagged = [r.folder for r in sorted(rows, key=lambda r: r.n) if r.kind == "flags"]
+        return self
+
+    def _commit(self) -> None:
+        self.version += 1
+        rows = [("index", "", self.buckets, self.highest)] + [("run", f, n, None) for f, n in self.runs] + [("flags", f, i, None) for i, f in enumerate(self.flagged)]
+        self.spark.createDataFrame(rows, "kind string, folder string, n bigint, highest bigint").coalesce(1).write.parquet(f"{self.path}/manifest-{self.version}")
+
+    def _table(self, folder: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+
+    @property
+    def flags(self) -> DataFrame:
+        """(kind, doc_id, entry) of all batches."""
+        out = self.spark.createDataFrame([], "kind int, doc_id bigint, entry bigint")
+        for folder in self.flagged:
+            out = out.unionByName(self._table(folder, "kind int, doc_id bigint, entry bigint").where(F.col("kind") != RUN))
+        return out
 
     def add(self, batch: DataFrame, keep_run: bool = True) -> DataFrame:
-        """Merge-joins a batch(doc_id, text); returns its flags (kind, doc_id, entry)."""
+        """Merge-joins a batch(doc_id, text); returns its flags (kind, doc_id, entry).
+
+        The batch's own run and flags are one table, as they come from one pass.
+        """
         low, high = batch.agg(F.min("doc_id"), F.max("doc_id")).first()
         if low is not None and self.highest is not None and low <= self.highest:
             raise ValueError(f"doc_id {low} does not follow {self.highest}, the highest of the batches before")
-        out = stored(_merge(_blocks(batch, self.buckets), self.run, keep_run), "run")
+        folder = f"batch-{self.version + 1}"
+        merged = _merge(_blocks(batch, self.buckets), [self._table(f, _BLOCK).where("bucket is not null") for f, _ in self.runs], self.buckets)
+        if not keep_run:
+            merged = merged.where(F.col("kind") != RUN)
+        merged.write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
         self.highest = high if low is not None else self.highest
-        self.run = out.where(F.col("kind") == RUN).drop("kind", "doc_id", "entry") if keep_run else None
-        flags = out.where(F.col("kind") != RUN).select("kind", "doc_id", "entry")
-        self.flags = flags if self.flags is None else self.flags.unionByName(flags)
-        return flags
+        self.flagged.append(folder)
+        if keep_run:
+            entries = self._table(folder, f"kind int, {_BLOCK}").where(F.col("kind") == RUN).agg(F.sum("n")).first()[0] or 0
+            self.runs.append((folder, entries))
+            self._compacted()
+        self._commit()
+        return self._table(folder, "kind int, doc_id bigint, entry bigint").where(F.col("kind") != RUN)
+
+    def _compacted(self) -> None:
+        """Merges FAN runs of one tier, a power of FAN, until no tier has so many."""
+        tier = lambda n: max(n, 1).bit_length() // 2
+        while True:
+            full = [t for t in {tier(n) for _, n in self.runs} if sum(tier(n) == t for _, n in self.runs) >= FAN]
+            if not full:
+                return
+            old = [r for r in self.runs if tier(r[1]) == min(full)]
+            folder = f"run-{self.version + 1}-{min(full)}"
+            _compact([self._table(f, _BLOCK).where("bucket is not null") for f, _ in old]).write.option("compression", "zstd").parquet(f"{self.path}/{folder}")
+            entries = self._table(folder, _BLOCK).agg(F.sum("n")).first()[0] or 0
+            self.runs = [r for r in self.runs if r not in old] + [(folder, entries)]
 
 
 def _compared(rows: DataFrame) -> DataFrame:
@@ -261,7 +387,8 @@ def substring_dedup(docs: DataFrame, batches: int = 2, keep_text: bool = False)
     docs = docs.drop("n_words", "n_removed", "kept_sha256")  # a column of such a name is replaced
     splits = docs.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] if batches > 1 else []
     edges = sorted(set(splits or []))
-    index = FingerprintIndex(docs.sparkSession)
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    index = FingerprintIndex(docs.sparkSession, buckets=max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // 12_500_000))
     for i in range(len(edges) + 1):
         batch = docs.select("doc_id", "text")
         if i:

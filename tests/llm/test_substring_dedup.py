@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from plumbline.llm.substring_dedup import FingerprintIndex, substring_dedup
+from plumbline.llm.substring_dedup import FingerprintIndex, removed_words, substring_dedup
 
 
 def brute(rows):
@@ -65,3 +65,26 @@ def test_empty_table_and_order(spark):
     index.add(spark.createDataFrame([(5, "x " * 20)], "doc_id bigint, text string"))
     with pytest.raises(ValueError):
         index.add(spark.createDataFrame([(5, "x " * 20)], "doc_id bigint, text string"))
+
+
+def test_runs_are_compacted_and_reopened(spark, tmp_path):
+    rows = list(enumerate(corpus(5)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    edges = [0, 20, 40, 60, 80, 100, 120, 10_000]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        index = FingerprintIndex.open(spark, f"{tmp_path}/i") if a else FingerprintIndex(spark, f"{tmp_path}/i", buckets=3)
+        index.add(df.where((df.doc_id >= a) & (df.doc_id < b)))
+        assert index.buckets == 3
+    assert len(index.runs) < 7 and any(f.startswith("run-") for f, _ in index.runs)
+    got = removed_words(df, FingerprintIndex.open(spark, f"{tmp_path}/i").flags).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
+
+
+def test_hot_anchor_and_copies(spark):
+    rng = random.Random(6)
+    phrase = [f"p{i}" for i in range(12)]  # no whole window: every document has groups of its own around it
+    rows = [(i, " ".join([f"a{rng.randrange(9)}", *phrase, f"b{rng.randrange(40)}", *(f"c{rng.randrange(6)}" for _ in range(8))])) for i in range(400)]
+    rows += [(i, "the very same words in all of these documents and some more of them here") for i in range(400, 700)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    got = substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
