@@ -3,6 +3,19 @@
 _WORDS = r"w AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents)"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_LEDGER = rf"""
+WITH {_WORDS},
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, ws FROM w WHERE len(ws) >= 8),
+k AS (SELECT doc_id, i FROM (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS s FROM g) QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM k, (SELECT unnest(range(8)) AS j) GROUP BY doc_id),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM w),
+m AS (SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(ls) AS n_lines,
+ length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaim, length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits, len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_stutter
+ FROM w JOIN l ON l.doc_id = w.doc_id LEFT JOIN rep ON rep.doc_id = w.doc_id),
+b AS (SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT + 4 * (100 * n_symbols > 10 * n_words)::BIGINT + 8 * (100 * n_dup_lines > 50 * n_lines)::BIGINT + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT
+ + 32 * (100 * n_upper > 50 * word_chars)::BIGINT + 64 * (100 * n_exclaim > 20 * n_words)::BIGINT + 128 * (100 * n_digits > 50 * word_chars)::BIGINT + 256 * (100 * n_stutter > 30 * n_words)::BIGINT AS failed FROM m)
+"""
+
 ORACLES = {
     "op3_embedding_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0),
@@ -27,18 +40,9 @@ u AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS x FROM w)
 kept AS (SELECT u.doc_id, string_agg(x, ' ' ORDER BY u.i) AS s FROM u ANTI JOIN gone ON u.doc_id = gone.doc_id AND u.i = gone.i GROUP BY u.doc_id),
 m AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT w.doc_id, len(ws) AS n_words, coalesce(m.n, 0) AS n_removed, sha256(coalesce(kept.s, '')) AS kept_sha256 FROM w LEFT JOIN m ON m.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id""",
-    "op8_quality_rules": rf"""
-WITH {_WORDS},
-g AS (SELECT doc_id, unnest(range(1, len(ws) - 6)) AS i, ws FROM w WHERE len(ws) >= 8),
-k AS (SELECT doc_id, i FROM (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS s FROM g) QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
-rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM k, (SELECT unnest(range(8)) AS j) GROUP BY doc_id),
-l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM w),
-m AS (SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(ls) AS n_lines,
- length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaim, length(regexp_replace(t, '[^0-9]', '', 'g')) AS n_digits, len(list_filter(range(2, len(ws) + 1), lambda i: ws[i] = ws[i - 1])) AS n_stutter
- FROM w JOIN l ON l.doc_id = w.doc_id LEFT JOIN rep ON rep.doc_id = w.doc_id),
-b AS (SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT + 4 * (100 * n_symbols > 10 * n_words)::BIGINT + 8 * (100 * n_dup_lines > 50 * n_lines)::BIGINT + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT
- + 32 * (100 * n_upper > 50 * word_chars)::BIGINT + 64 * (100 * n_exclaim > 20 * n_words)::BIGINT + 128 * (100 * n_digits > 50 * word_chars)::BIGINT + 256 * (100 * n_stutter > 30 * n_words)::BIGINT AS failed FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM b""",
+    "op8_quality_rules": _LEDGER + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM b""",
+    "quality_ablations": _LEDGER + """, r AS (SELECT unnest(['few_words', 'repeated_words', 'symbols', 'repeated_lines', 'word_length', 'capitals', 'exclamations', 'digits', 'stutter']) AS rule, unnest(range(9)) AS bit)
+SELECT rule, count(*) FILTER ((failed >> bit) & 1 = 1) AS n_failed, count(*) FILTER (failed = 1 << bit) AS n_only FROM r, b GROUP BY rule""",
     "op10_jaccard_join": rf"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),

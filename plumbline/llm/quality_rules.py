@@ -124,6 +124,12 @@ def ledger(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_i
     return out.mapInArrow(run, schema)
 
 
+def stored_ledger(docs: DataFrame, path: str, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ledger of docs, written to path as Parquet: policies and ablations then start from the file."""
+    ledger(docs, text, carry).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
 def apply_policy(led: DataFrame, version: str = CURRENT) -> DataFrame:
     """Adds `base_failed` and `kept` under a policy; only bits of the ledger are read."""
     mask = POLICIES[version] | BASE

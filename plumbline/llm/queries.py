@@ -10,8 +10,9 @@ from .importance import importance_resample
 from .jaccard_join import jaccard_join
 from .mixing import mix_sources
 from .oracles import ORACLES as ORACLES
-from .quality_rules import quality_rules
+from .quality_rules import ablations, quality_rules, stored_ledger
 from .sentencepieces import sp_decode, sp_encode
+from .storage import shared_dir
 from .substring_dedup import substring_dedup
 from .token_counts import token_counts
 from .toxicity import toxicity
@@ -27,6 +28,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy rejects, from a stored ledger."""
+    return ablations(stored_ledger(_table(spark, sf_dir, "documents"), shared_dir(spark) + "-ledger"))
+
+
 def op1_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draws 85% of the documents to look like those labelled as good."""
     target = _table(spark, sf_dir, "labels").where("quality = 1")
@@ -88,4 +94,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "quality_ablations": quality_ablations,
 }
