@@ -135,17 +135,17 @@ def mix_copies(sizes: DataFrame, targets: DataFrame, seed: int = 11) -> DataFram
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 11) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies) of each row of docs(doc_id, text, source).
+    """(doc_id, source, size, source_size, target, taken, copies, number) of each row of docs(doc_id, text, source).
 
     taken is size times copies; a source's taken words differ from its target by less than the
     size of one document.  Null texts have size 0, null sources are a source, the last one.
-    A source or table without words is not taken from.  Rows that repeat a doc_id are told apart
-    by a number of their own, given by size; other columns of docs are ignored.
+    A source or table without words is not taken from.  Rows that repeat a doc_id, source and size
+    are told apart by their number, from 1; other columns of docs are ignored.
     """
     sizes = word_sizes(docs)
     many = sizes.groupBy("doc_id", "source", "size").agg(F.count("*").alias("c"))
     rows = many.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("c").cast("int"))))
     key = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("source", F.lit("\u0000null")), F.col("size").cast("string"), F.col("copy").cast("string"))
-    rows = stored(rows.select(key.alias("key"), "doc_id", "source", "size"), "sizes")
+    rows = stored(rows.select(key.alias("key"), "doc_id", "source", "size", F.col("copy").alias("number")), "sizes")
     copies = mix_copies(rows.select("key", "source", "size"), stored(source_targets(rows, weights, share, most), "targets"), seed)
-    return rows.select("key", "doc_id").join(copies, "key").select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+    return rows.select("key", "doc_id", "number").join(copies, "key").select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "number")

@@ -2,8 +2,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from plumbline.llm.mixing import mix_sources
 from test_jaccard_join import brute as near_brute
 from test_quality_rules import brute as quality_brute
 
@@ -38,7 +40,9 @@ def test_stages_against_brute_force(spark, folder):
         n, chars, symbols, dup, repeat = quality_brute(t)
         base = n < 20 or 100 * repeat > 30 * n
         assert not (base and i in kept)
-        assert base or i in kept or 100 * symbols > 10 * n or "!" in t
+        shout = 100 * (t or "").count("!") > 20 * n or 100 * sum("A" <= c <= "Z" for c in t or "") > 50 * chars
+        stutter = 100 * sum(a == b for a, b in zip((t or "").split(), (t or "").split()[1:])) > 30 * n
+        assert (i in kept) == (not (base or 100 * symbols > 10 * n or 2 * n > chars or chars > 15 * n or shout or stutter))
     one = stages["n-gram Jaccard join"](spark, good, folder)
     want = {i for i, _, c in near_brute([x for x in was if x[0] in kept], 5, 80, 100) if i == c}
     assert {r.doc_id for r in one.collect()} == want and one.columns == docs.columns
@@ -56,10 +60,30 @@ def test_stages_against_brute_force(spark, folder):
     mixed = stages["mixing sources"](spark, cut, folder)
     count = Counter(r.doc_id for r in mixed.collect())
     assert set(count) <= set(texts) and max(count.values()) <= 2 and mixed.columns == docs.columns
+    size = {r.doc_id: (r.source, len(r.text.split())) for r in cut.collect()}
+    out, target = Counter(), {r.source: r.target for r in mix_sources(cut).select("source", "target").distinct().collect()}
+    for i, n in count.items():
+        out[size[i][0]] += n * size[i][1]
+    assert all(abs(out[s] - target[s]) <= max(n for _, n in size.values()) for s in target)
     ids = stages["SentencePiece encoding"](spark, mixed, folder).collect()
     assert Counter(r.doc_id for r in ids) == count and all(r.n_tokens == len(r.ids) > 0 for r in ids)
 
 
+def test_mixing_keeps_the_mix_of_repeated_rows(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    more = docs.unionByName(docs).unionByName(docs.withColumn("text", F.concat("text", F.lit(" more words here"))))
+    out = stages()["mixing sources"](spark, more, folder)
+    words = lambda df: {r.source: r.w for r in df.groupBy("source").agg(F.sum(F.size(F.filter(F.split("text", r"\s+"), lambda x: x != ""))).alias("w")).collect()}
+    got, largest = words(out), 210
+    target = {r.source: r.target for r in mix_sources(more).select("source", "target").distinct().collect()}
+    assert set(got) == set(target) and all(abs(got[s] - target[s]) <= largest for s in target)
+    assert out.groupBy("doc_id", "source", "text").count().agg(F.max("count")).first()[0] <= 4
+
+
+def stages():
+    return dict(corpus_pipeline.STAGES)
+
+
 def test_run_is_repeatable(spark, folder):
     a, b = (sorted((r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, folder).collect()) for _ in range(2))
     assert a == b and a
