@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graphs import checkpointed
+from .joins import small
+
 
 def votes(df: DataFrame, cell: list[str], weight: Column, confidence: Column, kind: str) -> DataFrame:
     """(cell, kind, weight, views, score): summed weight, rows and weighted confidence per cell and class."""
@@ -18,13 +23,16 @@ def supported(df: DataFrame, cell: list[str], weight: Column, frame: str, least_
 
 
 def dominant_class(df: DataFrame, key: str, kind: str, weight: Column, share: float = 0.4) -> DataFrame:
-    """(key, top, second, dominant): `combined` if the second class has `share` of the first."""
+    """(key, top, second, dominant): `combined` if the second class has `share` of the first.
+
+    A key without any class is water, as the rules have it.
+    """
     total = df.groupBy(key, kind).agg(F.sum(weight).alias("w"))
     ranked = total.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("w"), kind))).where("r <= 2")
     out = ranked.groupBy(key).agg(*[F.max(F.when(F.col("r") == i, F.col(c))).alias(f"{c[0]}{i}") for i in (1, 2) for c in (kind, "w")])
     k = kind[0]
     combined = F.coalesce(F.col("w2") >= share * F.col("w1"), F.lit(False))
-    return out.select(key, F.col(f"{k}1").alias("top"), F.col(f"{k}2").alias("second"), F.when(combined, "combined").otherwise(F.col(f"{k}1")).alias("dominant"))
+    return out.select(key, F.col(f"{k}1").alias("top"), F.col(f"{k}2").alias("second"), F.when(combined, "combined").otherwise(F.coalesce(f"{k}1", F.lit("water"))).alias("dominant"))
 
 
 def weighted_mode(df: DataFrame, key: str, value: str, weight: Column, order: str) -> DataFrame:
@@ -33,6 +41,63 @@ def weighted_mode(df: DataFrame, key: str, value: str, weight: Column, order: st
     return total.groupBy(key).agg(F.max_by(value, F.struct("w", -F.col("o"))).alias("mode"))
 
 
+def consensus(detections: DataFrame, region: str, damage_class: str, attributes: list[str]) -> DataFrame:
+    """(region, class, attributes, confidence, frames, evidence) of each region and class.
+
+    detections(region, class, weight, confidence, frame, evidence, place and attributes).  An attribute
+    is the value with the largest sum of weight times confidence, the first by place among equals;
+    nulls do not vote.  Frames are distinct and sorted, evidence is the first four by place.
+    """
+    by = [region, damage_class]
+    out = detections.groupBy(*by).agg(
+        F.avg("confidence").alias("confidence"),
+        F.array_sort(F.collect_set("frame")).alias("frames"),
+        F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.coalesce("evidence", F.lit("")) != "", F.struct("place", "evidence")))), 1, 4), lambda e: e["evidence"]).alias("evidence"),
+    )
+    for a in attributes:
+        tally = detections.where(F.col(a).isNotNull()).groupBy(*by, a).agg(F.sum(F.col("weight") * F.col("confidence")).alias("w"), F.min("place").alias("p"))
+        out = out.join(tally.groupBy(*by).agg(F.max_by(a, F.struct("w", -F.col("p"))).alias(a)), by, "left")
+    return out.select(*by, *attributes, "confidence", "frames", "evidence")
+
+
+def combined_consensus(votes: DataFrame, tops: DataFrame, region: str, damage_class: str, attributes: list[str]) -> DataFrame:
+    """The consensus of each region's first class, filled from its second where tops(region, top, second) name one.
+
+    Confidence is the mean of both, frames their union, evidence the first four of both.
+    """
+    one, two = (tops.select(region, F.col(c).alias(damage_class)).join(votes, [region, damage_class], "left").select(region, F.struct(*attributes, "confidence", "frames", "evidence").alias(n)) for c, n in (("top", "a"), ("second", "b")))
+    x = one.join(two, region)
+    pick = [F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in attributes]
+    both = F.col("b.confidence").isNotNull()
+    frames = F.array_sort(F.array_union("a.frames", F.coalesce("b.frames", F.array().cast("array<int>"))))
+    said = F.slice(F.concat("a.evidence", F.coalesce("b.evidence", F.array().cast("array<string>"))), 1, 4)
+    return x.select(region, *pick, F.when(both, (F.col("a.confidence") + F.col("b.confidence")) / 2).otherwise(F.col("a.confidence")).alias("confidence"), frames.alias("frames"), said.alias("evidence"))
+
+
+def refined_up(normals: DataFrame, key: str, n: list[str], hint: list[float], degrees: float = 25.0, least: int = 100) -> DataFrame:
+    """(key, up): the mean of the normals within a cone about the hint, folded onto its side; the hint itself with fewer than `least`."""
+    size = F.sqrt(sum((F.col(c) * F.col(c) for c in n), F.lit(0.0)))
+    unit = [F.col(c) / F.greatest(size, F.lit(1e-9)) for c in n]
+    along = sum((u * h for u, h in zip(unit, hint, strict=True)), F.lit(0.0))
+    inside = F.abs(along) > math.cos(math.radians(degrees))
+    means = [F.avg(F.when(inside, F.signum(along) * u)).alias(f"m{i}") for i, u in enumerate(unit)]
+    x = normals.groupBy(key).agg(F.count_if(inside).alias("seen"), *means)
+    length = F.sqrt(sum((F.col(f"m{i}") * F.col(f"m{i}") for i in range(3)), F.lit(0.0)))
+    return x.select(key, F.when(F.col("seen") >= least, F.array(*[F.col(f"m{i}") / length for i in range(3)])).otherwise(F.array(*[F.lit(float(h)) for h in hint])).alias("up"))
+
+
+def incidence_weight(rays: DataFrame, key: str, cosine: Column, least: float = 0.26) -> DataFrame:
+    """(key, weight): the mean |cosine| between rays and a surface's normal; 0 for grazing views."""
+    mean = F.avg(F.abs(cosine))
+    return rays.groupBy(key).agg(F.when(mean < least, 0.0).otherwise(mean).alias("weight"))
+
+
+def height_statistics(samples: DataFrame, key: str, height: str) -> DataFrame:
+    """(key, low, mean, high, std): of the sampled heights, the deviation that of a population."""
+    h = F.col(height)
+    return samples.where(h.isNotNull()).groupBy(key).agg(F.min(h).alias("low"), F.avg(h).alias("mean"), F.max(h).alias("high"), F.stddev_pop(h).alias("std"))
+
+
 def noisy_or(df: DataFrame, key: str, value: Column, confidence: Column) -> DataFrame:
     """(key, n, value, confidence): mean weighted by confidence, at least 0.05, and one minus all doubts."""
     w = F.greatest(confidence, F.lit(0.05))
@@ -41,15 +106,28 @@ def noisy_or(df: DataFrame, key: str, value: Column, confidence: Column) -> Data
 
 
 def robust_location(df: DataFrame, key: str, value: str, band: float, rounds: int = 3) -> DataFrame:
-    """(key, location, n, rms): a median refined on what is within three scaled deviations, then the rms in the band."""
-    x = df.select(key, F.col(value).alias("v"))
+    """(key, location, n, rms): a median refined on what lies near it, then the rms of all values in the band.
+
+    Each round measures all values from the centre so far and takes the median of those within three
+    scaled median deviations, at least 0.01 and at most the band; where none lie so near the centre
+    stays.  A round's centres are a row per key in the checkpoint folder, so a plan reads its input
+    once for each median.  A null key is no key.
+    """
+    x = df.select(key, F.col(value).alias("v")).where(F.col(key).isNotNull() & F.col("v").isNotNull())
+    centre = checkpointed(x.groupBy(key).agg(F.median("v").alias("c")))
+    away = F.abs(F.col("v") - F.col("c"))
     for _ in range(rounds):
-        x = x.join(x.groupBy(key).agg(F.median("v").alias("m")), key).withColumn("d", F.abs(F.col("v") - F.col("m")))
-        x = x.join(x.groupBy(key).agg(F.median("d").alias("mad")), key)
-        x = x.where(F.col("d") <= F.greatest(3 * 1.4826 * F.col("mad"), F.lit(1e-9))).select(key, "v")
-    centre = x.groupBy(key).agg(F.median("v").alias("location"))
-    near = df.select(key, F.col(value).alias("v")).join(centre, key).where(F.abs(F.col("v") - F.col("location")) <= band)
-    return near.groupBy(key).agg(F.first("location").alias("location"), F.count("*").alias("n"), F.sqrt(F.avg(F.pow(F.col("v") - F.col("location"), 2))).alias("rms"))
+        mad = checkpointed(_by_key(x, centre, key).groupBy(key, "c").agg(F.median(away).alias("mad")))
+        cutoff = F.least(F.lit(band), F.greatest(F.lit(0.01), 3.0 * 1.4826 * F.col("mad")))
+        kept = _by_key(x, mad, key).groupBy(key, "c").agg(F.median(F.when(away <= cutoff, F.col("v"))).alias("next"))
+        centre = checkpointed(kept.select(key, F.coalesce("next", "c").alias("c")))
+    near = _by_key(x, centre, key).where(away <= band)
+    return near.groupBy(key, F.col("c").alias("location")).agg(F.count("*").alias("n"), F.sqrt(F.avg(F.pow(F.col("v") - F.col("c"), 2))).alias("rms"))
+
+
+def _by_key(x: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """x with a table of one row per key, broadcast if they are few."""
+    return x.join(small(table), key)
 
 
 def conformal_scale(df: DataFrame, error: Column, width: Column, coverage: float) -> DataFrame:

@@ -8,14 +8,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: A label that more nodes than this carry is broadcast rather than shuffled to.
+HOT = 1000
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, in the session's checkpoint folder."""
+    """df with its lineage cut, in the session's checkpoint folder.
+
+    Without spark.checkpoint.dir a temporary folder takes its place, but only where driver and
+    executors are one process; on a cluster that is an error.
+    """
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not base and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(base or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
 
 
+def _with_root(hooked: DataFrame, labels: DataFrame) -> DataFrame:
+    """hooked(id, old, label) with the label's own label as root.
+
+    Labels that many nodes carry are few, so their rows are broadcast; the rest is shuffled, and no
+    task gets all members of a large component.
+    """
+    up = labels.select(F.col("id").alias("label"), F.col("label").alias("root"))
+    hot = hooked.groupBy("label").count().where(F.col("count") > HOT).select("label")
+    hot = checkpointed(up.join(hot, "label", "left_semi"))
+    n = hot.count()
+    if not n or n > 100_000:
+        return hooked.join(up, "label", "left")
+    x = hooked.join(F.broadcast(hot), "label", "left")
+    cold = x.where("root is null").drop("root").join(up, "label", "left")
+    return x.where("root is not null").unionByName(cold.select(*x.columns))
+
+
 def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(id, label) of nodes(id) under edges(a, b); label is the smallest id reachable.
 
@@ -27,9 +55,8 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 100) -> DataFra
     for _ in range(rounds):
         around = both.join(labels, both.b == labels.id).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("low"))
         hooked = labels.join(around, "id", "left").select("id", F.col("label").alias("old"), F.least("label", "low").alias("label"))
-        up = labels.select(F.col("id").alias("label"), F.col("label").alias("root"))
-        new = hooked.join(up, "label", "left").select("id", "old", F.least("label", "root").alias("label"))
-        new = checkpointed(new)
+        hooked = checkpointed(hooked)
+        new = checkpointed(_with_root(hooked, labels).select("id", "old", F.least("label", "root").alias("label")))
         labels = new.select("id", "label")
         if new.where("label <> old").isEmpty():
             return labels

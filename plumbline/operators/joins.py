@@ -53,6 +53,30 @@ def best_match(left: DataFrame, id_: str, right: DataFrame, on: Column, rank: li
     return x.withColumn("__r", F.row_number().over(Window.partitionBy(id_).orderBy(*rank))).where("__r = 1").select(id_, *keep)
 
 
+def best_within(left: DataFrame, id_: str, at: Column, right: DataFrame, other: Column, width: float, rank: list[Column], keep: list[str]) -> DataFrame:
+    """The row of right that ranks first for each row of left among those whose `other` is within `width` of `at`.
+
+    Both values are cut into bands of that width; the left looks into three of them, so the join is
+    an equi-join on bands.
+    """
+    a = left.withColumn("__at", at).withColumn("__band", F.explode(F.array(*[F.floor(at / width) + i for i in (-1, 0, 1)])))
+    b = right.withColumn("__other", other).withColumn("__band", F.floor(other / width))
+    x = a.join(b, "__band").where(F.abs(F.col("__at") - F.col("__other")) <= width)
+    return x.withColumn("__r", F.row_number().over(Window.partitionBy(id_).orderBy(*rank))).where("__r = 1").select(id_, *keep)
+
+
+def nearest_place(points: DataFrame, id_: str, places: DataFrame, surface: str, xyz: list[str], centre: list[str], tolerance: float) -> DataFrame:
+    """(id, surface, distance): the nearest place strictly within the tolerance, the first of equals, by an equi-join on cubes."""
+    cube = lambda cols: [F.floor(F.col(c) / tolerance).alias(f"c{k}") for k, c in enumerate(cols)]
+    a = places.select(surface, *centre, *cube(centre))
+    for k in range(len(xyz)):
+        a = a.withColumn("__s", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))).withColumn(f"c{k}", F.col(f"c{k}") + F.col("__s")).drop("__s")
+    d = F.sqrt(sum(((F.col(p) - F.col(q)) * (F.col(p) - F.col(q)) for p, q in zip(xyz, centre, strict=True)), F.lit(0.0)))
+    x = points.select(id_, *xyz, *cube(xyz)).join(a, [f"c{k}" for k in range(len(xyz))]).select(id_, surface, d.alias("distance")).where(F.col("distance") < tolerance)
+    best = x.groupBy(id_).agg(F.min(F.struct("distance", surface)).alias("m"))
+    return best.select(id_, F.col(f"m.{surface}").alias(surface), F.col("m.distance").alias("distance"))
+
+
 def opposing(df: DataFrame, id_: str, group: str, offset: str, span: tuple[str, str], low: float, high: float, overlap: float) -> DataFrame:
     """(id, other, separation): for each face the nearest face of its group that is low to high apart and overlaps it."""
     a = df.select(group, F.col(id_).alias("i"), F.col(offset).alias("oi"), F.col(span[0]).alias("li"), F.col(span[1]).alias("hi"))

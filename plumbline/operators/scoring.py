@@ -43,3 +43,62 @@ def head_to_head(df: DataFrame, ours: Column, theirs: Column, tie: float) -> Dat
     """One row: wins, ties and losses by absolute error, within `tie` of each other a tie."""
     d = F.abs(ours) - F.abs(theirs)
     return df.agg(F.count_if(d < -tie).alias("wins"), F.count_if(F.abs(d) <= tie).alias("ties"), F.count_if(d > tie).alias("losses"))
+
+
+# Fixed values: (gate, kind, label, absolute limit, share of the truth, target share of passes); the limit is the larger of both.
+GATES = (
+    ("wall_length", "wall_length", "Wall length error <= max(1%, 2cm)", 0.02, 0.01, 0.90),
+    ("wall_length_stretch", "wall_length", "Wall length error <= 0.5%  [stretch]", 0.0, 0.005, 0.90),
+    ("ceiling_height", "ceiling_height", "Ceiling height error <= 1.5cm", 0.015, 0.0, 1.00),
+    ("floor_area", "floor_area", "Floor area error <= 2%", 0.0, 0.02, 1.00),
+    ("opening_width", "opening_width", "Door/window width error <= 2cm", 0.02, 0.0, 0.85),
+    ("damage_area", "damage_area", "Affected-area quantity within +/-10%", 0.0, 0.10, 1.00),
+)
+
+
+def gate_table(comparisons: DataFrame, gates: tuple[tuple, ...] = GATES) -> DataFrame:
+    """(gate, label, passing, total, fraction, target, passed) of each gate that comparisons(kind, truth, predicted) meet."""
+    table = comparisons.sparkSession.createDataFrame([tuple(g) for g in gates], "gate string, kind string, label string, flat double, share double, target double")
+    x = comparisons.join(F.broadcast(table), "kind")  # a row per gate
+    limit = F.greatest(F.col("flat"), F.col("share") * F.when(F.col("flat") > 0, F.col("truth")).otherwise(F.greatest(F.abs("truth"), F.lit(1e-6))))
+    ok = F.count_if(F.abs(F.col("predicted") - F.col("truth")) <= limit)
+    out = x.groupBy("gate", "label", "target").agg(ok.alias("passing"), F.count("*").alias("total")).withColumn("fraction", F.round(F.col("passing") / F.col("total"), 4))
+    return out.select("gate", "label", "passing", "total", "fraction", "target", (F.col("passing") / F.col("total") >= F.col("target")).alias("passed"))
+
+
+def interval_report(comparisons: DataFrame, coverage: float = 0.9) -> DataFrame:
+    """(kind, n, median, p90 and largest error in mm, observed coverage, calibrated) of comparisons(kind, truth, predicted, half_width)."""
+    e = F.abs(F.col("predicted") - F.col("truth"))
+    mm = lambda c: F.round(c * 1000, 2)
+    inside = F.avg((e <= F.col("half_width")).cast("double"))
+    return comparisons.groupBy("kind").agg(F.count("*").alias("n"), mm(F.median(e)).alias("median_error_mm"), mm(F.percentile(e, 0.9)).alias("p90_error_mm"), mm(F.max(e)).alias("max_error_mm"), F.round(inside, 4).alias("observed"), (F.abs(inside - coverage) <= 0.1).alias("calibrated"))
+
+
+def water_scores(regions: DataFrame, reference: DataFrame) -> DataFrame:
+    """One row (correct, checked, fraction, passed): category and class of each surface's largest water region against the reference.
+
+    regions(surface, damage_class, area, id, water_category, water_class), reference(surface, water_category,
+    water_class) as texts; a blank field is not asked for, a row without any is not checked.
+    """
+    best = largest(regions.where("damage_class in ('water', 'combined')"), "surface", "area", "id")
+    found = best.select("surface", *[F.col(c).cast("string").alias(f"f_{c}") for c in ("water_category", "water_class")])
+    x = reference.join(found, "surface", "left")
+    asked = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    ok = lambda c: ~asked(c) | F.coalesce(F.col(c) == F.col(f"f_{c}"), F.lit(False))
+    both = ("water_category", "water_class")
+    x = x.where(asked(both[0]) | asked(both[1])).agg(F.count_if(ok(both[0]) & ok(both[1])).alias("correct"), F.count("*").alias("checked"))
+    share = F.coalesce(F.try_divide("correct", "checked"), F.lit(0.0))
+    return x.select("correct", "checked", F.round(share, 4).alias("fraction"), (share >= 0.7).alias("passed"))
+
+
+def footprint_error(rooms: DataFrame, reference: float) -> DataFrame:
+    """One row (predicted_m2, rel_error, n_unmeasured, passed): the rooms' area against a known one; unmeasured rooms are counted, not added."""
+    total = F.coalesce(F.sum("area"), F.lit(0.0))
+    error = F.abs(total - reference) / max(reference, 1e-6)
+    return rooms.agg(F.round(total, 3).alias("predicted_m2"), F.round(error, 4).alias("rel_error"), F.count_if(F.col("area").isNull()).alias("n_unmeasured"), (error <= 0.02).alias("passed"))
+
+
+def last_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The last row of each key by order: what an index holds where a key repeats."""
+    w = Window.partitionBy(*keys).orderBy(F.desc(order))
+    return df.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r")

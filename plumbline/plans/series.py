@@ -150,12 +150,13 @@ ORACLES = {
     "keyframe_fold": f"WITH RECURSIVE {SQL['obs']}, n AS (SELECT *, row_number() OVER (PARTITION BY track ORDER BY t, id) AS k FROM obs), f AS (SELECT track, k, id, value AS anchor, k AS at, true AS keep FROM n WHERE k = 1 UNION ALL SELECT n.track, n.k, n.id, CASE WHEN abs(n.value - f.anchor) > 30 OR n.k - f.at >= 5 THEN n.value ELSE f.anchor END, CASE WHEN abs(n.value - f.anchor) > 30 OR n.k - f.at >= 5 THEN n.k ELSE f.at END, abs(n.value - f.anchor) > 30 OR n.k - f.at >= 5 FROM f JOIN n ON n.track = f.track AND n.k = f.k + 1) SELECT track, id FROM f WHERE keep",
     "keyframe_topk": f"{_O}, b AS (SELECT id, value, round_even(value / 20, 0)::BIGINT AS cell, trunc((t - 1704067200) / 86400)::BIGINT AS turn FROM obs), w AS (SELECT *, count(*) OVER (PARTITION BY cell, turn) AS n, row_number() OVER (PARTITION BY cell, turn ORDER BY id) AS r FROM b) SELECT id, cell, turn, value FROM w WHERE r = n // 2 + 1 ORDER BY value DESC, id LIMIT 40",
     "sharpest_neighbour": f"{_O} SELECT track, id, arg_max(id, value * 1e7 - id) OVER (PARTITION BY track ORDER BY id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS sharpest FROM obs",
-    "robust_location": f"""{_O}, a0 AS (SELECT kind, value AS v FROM obs),
-        a1 AS (SELECT kind, v FROM (SELECT kind, v, d, median(d) OVER (PARTITION BY kind) AS mad FROM (SELECT kind, v, abs(v - median(v) OVER (PARTITION BY kind)) AS d FROM a0)) WHERE d <= greatest(3 * 1.4826 * mad, 1e-9)),
-        a2 AS (SELECT kind, v FROM (SELECT kind, v, d, median(d) OVER (PARTITION BY kind) AS mad FROM (SELECT kind, v, abs(v - median(v) OVER (PARTITION BY kind)) AS d FROM a1)) WHERE d <= greatest(3 * 1.4826 * mad, 1e-9)),
-        a3 AS (SELECT kind, v FROM (SELECT kind, v, d, median(d) OVER (PARTITION BY kind) AS mad FROM (SELECT kind, v, abs(v - median(v) OVER (PARTITION BY kind)) AS d FROM a2)) WHERE d <= greatest(3 * 1.4826 * mad, 1e-9)),
-        c AS (SELECT kind, median(v) AS location FROM a3 GROUP BY kind)
-        SELECT c.kind, round(any_value(location), 6) AS location, count(*) AS n, round(sqrt(avg((value - location) ** 2)), 6) AS rms FROM obs JOIN c ON obs.kind = c.kind WHERE abs(value - location) <= 15 GROUP BY c.kind""",
+    "robust_location": f"{_O}, c0 AS (SELECT kind, median(value) AS c FROM obs GROUP BY kind), "
+    + ", ".join(
+        f"""m{i} AS (SELECT o.kind, any_value(c) AS c, median(abs(value - c)) AS mad FROM obs o JOIN c{i - 1} USING (kind) GROUP BY o.kind),
+        c{i} AS (SELECT o.kind, coalesce(median(value) FILTER (abs(value - c) <= least(15, greatest(0.01, 3 * 1.4826 * mad))), any_value(c)) AS c FROM obs o JOIN m{i} USING (kind) GROUP BY o.kind)"""
+        for i in (1, 2, 3)
+    )
+    + " SELECT kind, round(any_value(c), 6) AS location, count(*) AS n, round(sqrt(avg((value - c) ** 2)), 6) AS rms FROM obs JOIN c3 USING (kind) WHERE abs(value - c) <= 15 GROUP BY kind",
     "noisy_or_fusion": f"{_O}, c AS (SELECT track, t - 1704067200 AS x, least(value / 1000, 0.9::DOUBLE) AS c FROM obs) SELECT track, count(*) AS n, round(sum(greatest(c, 0.05::DOUBLE) * x) / sum(greatest(c, 0.05::DOUBLE)), 6) AS value, round(1 - exp(sum(ln(1 - c))), 6) AS confidence FROM c GROUP BY track",
     "conformal_scale": f"{_O}, x AS (SELECT abs(value - 20) AS e, (5 + id % 7)::DOUBLE AS w FROM obs), s AS (SELECT quantile_cont(e / w, 0.9) AS scale FROM x) SELECT round(any_value(scale), 6) AS scale, round(avg((e <= w)::INT), 6) AS before, round(avg((e <= w * scale)::INT), 6) AS after FROM x, s",
     "json_alias_scan": f"{_O} SELECT id, coalesce(json_extract(props, '$.score')::DOUBLE, json_extract(props, '$.confidence')::DOUBLE, json_extract(props, '$.k')::DOUBLE) AS k, json_extract(props, '$.missing') IS NULL AS absent FROM obs",

@@ -55,17 +55,17 @@ def grid_open(s, d):
 
 def _plan(s, d):
     p = points(s, d)
-    return grids.histogram(p, [], F.floor(F.col("x") / 0.05) + 40, F.floor(F.col("y") / 0.05) + 40).where("cu >= 0 and cv >= 0 and cv < 1000").select("cu", "cv")
+    return grids.histogram(p, [], F.floor(F.col("x") / 0.05), F.floor(F.col("y") / 0.05)).where("cu is not null and cv is not null").select("cu", "cv")
 
 
 def grid_components(s, d):
-    return grids.label_cells(_plan(s, d), 1000, diagonal=True)
+    return grids.label_cells(_plan(s, d), 1_000_000_000, diagonal=True)
 
 
 def grid_grow(s, d):
     """Labels grown two cells into the dilated plan."""
     cells = _plan(s, d)
-    return grids.grow(grids.label_cells(cells, 1000, diagonal=True), grids.dilate(cells, [], 2), 2)
+    return grids.grow(grids.label_cells(cells, 1_000_000_000, diagonal=True), grids.dilate(cells, [], 2), 2)
 
 
 def vote_grid(s, d):
@@ -148,8 +148,7 @@ def nearest_surface(s, d):
     """Each point with the nearest of ten centroids within 0.3."""
     p = points(s, d)
     c = p.groupBy("label").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.avg("z").alias("mz")).withColumnRenamed("label", "surface")
-    dist = F.sqrt(F.pow(F.col("x") - F.col("mx"), 2) + F.pow(F.col("y") - F.col("my"), 2) + F.pow(F.col("z") - F.col("mz"), 2))
-    return joins.nearest_surface(p.select("id", "x", "y", "z"), "id", c, dist, "surface", 0.3).select("id", "surface", *r6("distance"))
+    return joins.nearest_place(p, "id", c, "surface", ["x", "y", "z"], ["mx", "my", "mz"], 0.3).select("id", "surface", *r6("distance"))
 
 
 def best_wall_match(s, d):
@@ -157,7 +156,7 @@ def best_wall_match(s, d):
     p = table(s, d, "part").select("p_partkey", F.col("p_retailprice").alias("price"))
     w = table(s, d, "supplier").select("s_suppkey", "s_acctbal")
     gap = F.abs(F.col("s_acctbal") - (F.col("price") - 900) * 10)
-    return joins.best_match(p, "p_partkey", w, gap <= 200, [gap, F.col("s_suppkey")], ["s_suppkey"])
+    return joins.best_within(p, "p_partkey", (F.col("price") - 900) * 10, w, F.col("s_acctbal"), 200.0, [gap, F.col("s_suppkey")], ["s_suppkey"])
 
 
 def opposing_pairs(s, d):
@@ -166,11 +165,8 @@ def opposing_pairs(s, d):
 
 
 def ray_block_filter(s, d):
-    """Labels of whose points at least a third have a blocker within 0.05 in x and y; every seventh id blocks."""
-    p = points(s, d)
-    b = p.where("id % 7 = 0").select(F.col("label").alias("bl"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    on = (F.col("label") != F.col("bl")) & (F.abs(F.col("x") - F.col("bx")) < 0.05) & (F.abs(F.col("y") - F.col("by")) < 0.05)
-    return joins.blocked(p, "label", b, on, "id", 0.33, 20).select("label", "n", *r6("blocked"))
+    """The older name of ray_block_all, from when only some points blocked."""
+    return ray_block_all(s, d)
 
 
 def ray_block_all(s, d):
@@ -231,7 +227,7 @@ def polygon_area(s, d):
 
 _CELLS = f"{_V}, cells AS (SELECT DISTINCT surface, floor(u / 0.25)::BIGINT AS cu, floor(v / 0.25)::BIGINT AS cv FROM votes WHERE cls = 'R' AND weight > 0.97), o AS (SELECT unnest([-1, 0, 1]) AS i), oo AS (SELECT a.i AS du, b.i AS dv FROM o a, o b), di AS (SELECT DISTINCT surface, cu + du AS cu, cv + dv AS cv FROM cells, oo)"
 _ER = "(SELECT surface, cu + du AS cu, cv + dv AS cv FROM {t}, oo GROUP BY ALL HAVING count(*) = 9)"
-_PLAN = f"WITH RECURSIVE {SQL['pts']}, plan AS (SELECT DISTINCT floor(x / 0.05)::BIGINT + 40 AS cu, floor(y / 0.05)::BIGINT + 40 AS cv FROM pts WHERE floor(x / 0.05) + 40 >= 0 AND floor(y / 0.05) + 40 >= 0 AND floor(y / 0.05) + 40 < 1000), reach AS (SELECT cu * 1000 + cv AS root, cu, cv FROM plan UNION SELECT r.root, p.cu, p.cv FROM reach r JOIN plan p ON abs(p.cu - r.cu) <= 1 AND abs(p.cv - r.cv) <= 1), lab AS (SELECT cu, cv, min(root) AS label FROM reach GROUP BY cu, cv)"
+_PLAN = f"WITH RECURSIVE {SQL['pts']}, plan AS (SELECT DISTINCT floor(x / 0.05)::BIGINT AS cu, floor(y / 0.05)::BIGINT AS cv FROM pts WHERE x IS NOT NULL AND y IS NOT NULL), reach AS (SELECT cu * 1000000000 + cv AS root, cu, cv FROM plan UNION SELECT r.root, p.cu, p.cv FROM reach r JOIN plan p ON abs(p.cu - r.cu) <= 1 AND abs(p.cv - r.cv) <= 1), lab AS (SELECT cu, cv, min(root) AS label FROM reach GROUP BY cu, cv)"
 _NP = "pr AS (SELECT a.id AS i, b.id AS j, sqrt((a.x-b.x)**2 + (a.y-b.y)**2 + (a.z-b.z)**2) AS distance, (a.nx*b.nx + a.ny*b.ny + a.nz*b.nz) / sqrt(a.nx**2 + a.ny**2 + a.nz**2) / sqrt(b.nx**2 + b.ny**2 + b.nz**2) AS c FROM pts a JOIN pts b ON a.id < b.id)"
 
 QUERIES = {
@@ -240,6 +236,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "ray_block_all": f"{_P}, h AS (SELECT a.label, a.id, EXISTS (SELECT 1 FROM pts b WHERE b.label <> a.label AND abs(a.x - b.x) < 0.05 AND abs(a.y - b.y) < 0.05) AS hit FROM pts a) SELECT label, count(*) AS n, round(avg(hit::INT), 6) AS blocked FROM h GROUP BY label HAVING count(*) >= 20 AND avg(hit::INT) >= 0.33",
     "grid_histogram_clip": f"{_V} SELECT surface, least(greatest(trunc((u - 1) / 0.5)::BIGINT, 0), 7) AS cu, least(greatest(trunc(v / 0.6)::BIGINT, 0), 3) AS cv, count(*) AS n FROM votes GROUP BY ALL",
     "grid_histogram_floor": f"{_V}, c AS (SELECT surface, floor((u - 1) / 0.5)::BIGINT AS cu, floor(v / 0.6)::BIGINT AS cv FROM votes) SELECT surface, cu, cv, count(*) AS n FROM c WHERE cu BETWEEN 0 AND 7 AND cv BETWEEN 0 AND 3 GROUP BY ALL",
     "grid_hits_near": f"{_V}, c AS (SELECT surface, floor(u / 0.5)::BIGINT AS cu, floor(v / 0.6)::BIGINT AS cv, abs(weight - 0.95) AS d FROM votes) SELECT surface, cu, cv, count(*) FILTER (d < 0.021) AS hits, count(*) FILTER (d >= 0.021 AND d < 0.041) AS near FROM c GROUP BY ALL HAVING count(*) FILTER (d < 0.041) > 0",
@@ -254,7 +251,7 @@ ORACLES = {
     "region_support_frames": f"{_V} SELECT surface, floor(u / 0.5)::BIGINT AS cu, count(DISTINCT frame) AS views, round(sum(weight), 6) AS weight FROM votes GROUP BY ALL HAVING count(DISTINCT frame) >= 60 AND sum(weight) >= 50",
     "dominant_class": f"{_V}, t AS (SELECT surface, cls, sum(CASE WHEN cls = 'N' THEN weight * 0.6::DOUBLE ELSE weight END) AS w FROM votes GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY surface ORDER BY w DESC, cls) AS k FROM t), p AS (SELECT surface, max(cls) FILTER (k = 1) AS top, max(cls) FILTER (k = 2) AS second, max(w) FILTER (k = 1) AS w1, max(w) FILTER (k = 2) AS w2 FROM r GROUP BY surface) SELECT surface, top, second, CASE WHEN coalesce(w2 >= 0.4::DOUBLE * w1, false) THEN 'combined' ELSE top END AS dominant FROM p",
     "weighted_mode": f"{_V}, t AS (SELECT surface, floor(u)::BIGINT AS kind, sum(round(weight * 100)::BIGINT) AS w, min(frame) AS o FROM votes WHERE u > 1 GROUP BY ALL) SELECT surface, kind AS mode FROM (SELECT *, row_number() OVER (PARTITION BY surface ORDER BY w DESC, o) AS k FROM t) WHERE k = 1",
-    "histogram_peaks": "WITH h AS (SELECT floor(o_totalprice / 5000)::BIGINT AS bin, count(*) AS n FROM orders GROUP BY 1) SELECT a.bin, a.n FROM h a LEFT JOIN h l ON l.bin = a.bin - 1 LEFT JOIN h r ON r.bin = a.bin + 1 WHERE a.n >= coalesce(l.n, 0) AND a.n > coalesce(r.n, 0) AND a.n >= greatest(5, ceil((SELECT sum(n) FROM h) * 0.005))",
+    "histogram_peaks": "WITH h AS (SELECT floor(o_totalprice / 5000)::BIGINT AS bin, count(*) AS n FROM orders GROUP BY 1) SELECT a.bin, a.n FROM h a LEFT JOIN h l ON l.bin = a.bin - 1 LEFT JOIN h r ON r.bin = a.bin + 1 LEFT JOIN (SELECT min(bin) AS lo, max(bin) AS hi FROM h) e ON true WHERE a.n >= CASE WHEN a.bin = lo THEN -1 ELSE coalesce(l.n, 0) END AND a.n >= CASE WHEN a.bin = hi THEN -1 ELSE coalesce(r.n, 0) END AND (a.n > CASE WHEN a.bin = lo THEN -1 ELSE coalesce(l.n, 0) END OR a.n > CASE WHEN a.bin = hi THEN -1 ELSE coalesce(r.n, 0) END) AND a.n >= greatest(5, ceil((SELECT sum(n) FROM h) * 0.005))",
     "quantile_trend": "WITH e AS (SELECT list_distinct([quantile_cont(l_extendedprice, 0 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 1 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 2 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 3 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 4 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 5 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 6 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 7 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 8 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 9 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 10 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 11 / 12.0::DOUBLE), quantile_cont(l_extendedprice, 1.0)]) AS e FROM lineitem), z AS (SELECT l_extendedprice AS x, l_quantity AS y, len(list_filter(e, lambda v: v <= l_extendedprice)) AS bin, len(e) AS k FROM lineitem, e) SELECT bin, round(median(x), 6) AS x, round(median(y), 6) AS y, count(*) AS n FROM z WHERE bin < k GROUP BY bin HAVING count(*) >= 200",
     "linear_trend": "SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept FROM lineitem GROUP BY 1",
     "circular_mean": f"{_P}, m AS (SELECT label, avg(cos(4 * atan2(ny, nx))) AS c, avg(sin(4 * atan2(ny, nx))) AS s FROM pts GROUP BY label) SELECT label, round(atan2(s, c) / 4, 6) AS yaw, round(sqrt(c * c + s * s), 6) AS manhattan FROM m",
@@ -266,7 +263,6 @@ ORACLES = {
     "nearest_surface": f"{_P}, c AS (SELECT label AS surface, avg(x) AS mx, avg(y) AS my, avg(z) AS mz FROM pts GROUP BY label), n AS (SELECT id, surface, sqrt((x-mx)**2 + (y-my)**2 + (z-mz)**2) AS distance FROM pts, c), k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, surface) AS k FROM n WHERE distance < 0.3) SELECT id, surface, round(distance, 6) AS distance FROM k WHERE k = 1",
     "best_wall_match": "SELECT p_partkey, s_suppkey FROM (SELECT p_partkey, s_suppkey, row_number() OVER (PARTITION BY p_partkey ORDER BY abs(s_acctbal - (p_retailprice - 900) * 10), s_suppkey) AS k FROM part, supplier WHERE abs(s_acctbal - (p_retailprice - 900) * 10) <= 200) WHERE k = 1",
     "opposing_pairs": "WITH p AS (SELECT p_partkey AS i, p_brand AS g, p_size::DOUBLE AS o, (p_partkey % 10) * 0.5::DOUBLE AS lo, (p_partkey % 10) * 0.5::DOUBLE + 1 + p_partkey % 3 AS hi FROM part), x AS (SELECT a.i, b.i AS j, abs(a.o - b.o) AS s FROM p a JOIN p b ON a.g = b.g AND a.i <> b.i WHERE abs(a.o - b.o) BETWEEN 1 AND 3 AND least(a.hi, b.hi) - greatest(a.lo, b.lo) >= greatest(0.25, 0.25 * least(a.hi - a.lo, b.hi - b.lo))) SELECT i AS p_partkey, j AS other, s AS separation FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY s, j) AS k FROM x) WHERE k = 1",
-    "ray_block_filter": f"{_P}, h AS (SELECT a.label, a.id, EXISTS (SELECT 1 FROM pts b WHERE b.id % 7 = 0 AND b.label <> a.label AND abs(a.x - b.x) < 0.05 AND abs(a.y - b.y) < 0.05) AS hit FROM pts a) SELECT label, count(*) AS n, round(avg(hit::INT), 6) AS blocked FROM h GROUP BY label HAVING count(*) >= 20 AND avg(hit::INT) >= 0.33",
     "interval_overlap_pairs": "WITH o AS (SELECT o_custkey, o_orderkey AS k, o_totalprice AS a, o_totalprice * 1.3::DOUBLE AS b FROM orders), x AS (SELECT p.k AS o_orderkey1, q.k AS o_orderkey2, greatest(0, least(p.b, q.b) - greatest(p.a, q.a)) / (greatest(p.b, q.b) - least(p.a, q.a)) AS iou FROM o p JOIN o q ON p.o_custkey = q.o_custkey AND p.k < q.k) SELECT o_orderkey1, o_orderkey2, round(iou, 6) AS iou FROM x WHERE iou >= 0.15",
     "hint_antijoin": "WITH o AS (SELECT *, o_totalprice AS a, o_totalprice * 1.3::DOUBLE AS b FROM orders) SELECT o_orderkey FROM o p WHERE o_orderstatus = 'O' AND NOT EXISTS (SELECT 1 FROM o q WHERE q.o_orderstatus = 'F' AND q.o_custkey = p.o_custkey AND greatest(0, least(p.b, q.b) - greatest(p.a, q.a)) / (greatest(p.b, q.b) - least(p.a, q.a)) >= 0.15)",
     "voxel_downsample": f"{_P} SELECT floor(x / 0.2)::BIGINT AS cx, floor(y / 0.2)::BIGINT AS cy, floor(z / 0.2)::BIGINT AS cz, count(*) AS n, round(avg(x), 6) AS x, round(avg(y), 6) AS y, round(avg(z), 6) AS z FROM pts GROUP BY 1, 2, 3",
@@ -274,4 +270,4 @@ ORACLES = {
     "normal_classes": f"{_P} SELECT id, ['north','northeast','east','southeast','south','southwest','west','northwest'][(floor(((degrees(atan2(nx, ny)) + 360) % 360 + 22.5) / 45)::BIGINT % 8 + 1)::INT] AS compass, CASE WHEN nx < -1e-9 OR (abs(nx) <= 1e-9 AND ny < 0) THEN -1.0 ELSE 1.0 END::DOUBLE AS sign, round(abs(degrees(atan2(ny, nx)) - round_even(degrees(atan2(ny, nx)) / 90, 0) * 90), 6) AS deviation FROM pts",
     "polygon_area": f"{_P} SELECT label, round((max(x) - min(x)) * (max(y) - min(y)), 6) AS area, avg(x) BETWEEN min(x) AND max(x) AND avg(y) BETWEEN min(y) AND max(y) AS inside FROM pts GROUP BY label",
 }
-ORACLES["ray_block_all"] = ORACLES["ray_block_filter"].replace("b.id % 7 = 0 AND ", "")
+ORACLES["ray_block_filter"] = ORACLES["ray_block_all"]

@@ -39,7 +39,7 @@ def _named_csv(spark: SparkSession, path: str) -> DataFrame:
     fields = lambda x: F.transform(F.split(x, ","), lambda v: F.regexp_replace(v, r'^[\s"]+|[\s"]+$', ""))
     rows = whole.select("file", fields(F.col("lines")[0]).alias("names"), F.posexplode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line", "text"))
     rows = rows.where(F.trim("text") != "").withColumn("values", fields(F.col("text")))
-    lower = F.transform("names", F.lower)
+    lower = F.transform("names", lambda v: F.lower(v))
     row = F.map_from_arrays(lower, F.transform(lower, lambda _, i: F.try_element_at(F.col("values"), (i + 1).cast("int"))))
     return rows.select("file", "line", row.alias("row"))
 
@@ -175,7 +175,7 @@ def read_trajectory(spark: SparkSession, path: str) -> DataFrame:
 def read_imu(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, ts, ax, ay, az) from the first four columns of CSV files; blank lines are left out."""
     whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
-    x = whole.select("file", "line", F.transform(F.split("text", ","), F.trim).alias("f")).where((F.col("line") > 0) & (F.col("f")[0] != ""))
+    x = whole.select("file", "line", F.transform(F.split("text", ","), lambda v: F.trim(v)).alias("f")).where((F.col("line") > 0) & (F.col("f")[0] != ""))
     return x.select("file", "line", *[F.col("f")[i].cast("double").alias(c) for i, c in enumerate(("ts", "ax", "ay", "az"))])
 
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def visit_stream(events: DataFrame, gap: float, delay: str = "1 day") -> DataFrame:
@@ -21,12 +22,29 @@ def visit_stream(events: DataFrame, gap: float, delay: str = "1 day") -> DataFra
     return out.select(F.col("user_id").alias("track"), F.round(F.unix_micros("a") / 1e6, 6).alias("first_t"), F.round(F.unix_micros("b") / 1e6, 6).alias("last_t"), "n", F.round("total", 6).alias("total"))
 
 
+def write_visits(events: DataFrame, gap: float, path: str, checkpoint: str, delay: str = "1 day", **trigger: object) -> StreamingQuery:
+    """Starts a query that appends each visit to the Parquet table at path once the watermark has closed it.
+
+    Closed visits leave the state, and observations that come after their visit was closed are dropped.
+    A restart with the same checkpoint goes on where the last run stopped.
+    """
+    out = visit_stream(events, gap, delay).writeStream.outputMode("append").format("parquet")
+    return out.option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def visit_counts(spark: SparkSession, path: str, gap: float) -> DataFrame:
-    """The visits of all files at path, read as a stream that ends; the result is a table of the shared folder."""
+    """The visits of all files at path, read as a stream that ends; the result is a table of the shared folder.
+
+    As the stream ends, visits that no watermark has closed count too: every trigger writes all visits
+    so far, and nothing is late.  For a stream that goes on take `write_visits`.
+    """
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stream-")
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = base or tempfile.mkdtemp(prefix="stream-")
         base = f"{base.rstrip('/')}/visits-{uuid.uuid4().hex}"
         schema = spark.read.parquet(path).schema
         folder, _, name = path.rpartition("/")
