@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,3 +41,12 @@ def dropped(*tables: DataFrame | None) -> None:
             spark = t.sparkSession
             place = spark._jvm.org.apache.hadoop.fs.Path(t.stored_at)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def released(spark: SparkSession) -> None:
+    """Lets the driver forget plans that nothing refers to any more: Spark then deletes their shuffle files.
+
+    Without it they stay on the executors' disks until the driver happens to collect its garbage.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
