@@ -12,7 +12,7 @@ from plumbline.llm.jaccard_join import BROADCAST_IDS, jaccard_join
 from plumbline.llm.mixing import mix_sources, word_sizes
 from plumbline.llm.quality_rules import quality_rules
 from plumbline.llm.sentencepieces import sp_encode
-from plumbline.llm.storage import stored
+from plumbline.llm.storage import released, stored
 from plumbline.llm.substring_dedup import substring_dedup
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -59,7 +59,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     again = stored(taken.groupBy("doc_id", "source").count().where("count > 1").drop("count"), "again")
     some = taken.where("copies > 0")
     if again.isEmpty():
-        rows = _matched(docs, some, "doc_id", "source")
+        some = some.select("doc_id", "source", "copies")
+        rows = _matched(docs, F.broadcast(some) if some.count() <= BROADCAST_IDS else some, "doc_id", "source")
     else:
         again = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
         same = F.col("d.doc_id").eqNullSafe(F.col("a.doc_id")) & F.col("d.source").eqNullSafe(F.col("a.source"))
@@ -103,4 +104,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.split()[0].lower())
+        released(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
