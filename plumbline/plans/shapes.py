@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from ..functions import frames, geometry, measures, poses, records
-from ..operators import posegraph
+from ..operators import frame_contract, posegraph, rooms, scoring
 from ..sources.tables import SQL, regions, table
 from .series import r6
 
@@ -204,6 +204,64 @@ def region_texts(s, d):
     return r.select("id", records.region_text(F.col("surface_key"), area, F.col("damage_class"), F.col("combined_classes"), F.col("water_category"), F.col("subtype"), v0, v1).alias("text"))
 
 
+def _comparisons(s, d):
+    """(kind, truth, predicted, half_width): measures of regions against themselves, a few centimetres off."""
+    r = regions(s, d)
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("wall_length", "ceiling_height", "floor_area", "opening_width", "damage_area")]), (F.pmod("id", F.lit(5)) + 1).cast("int"))
+    return r.select(kind.alias("kind"), (F.col("area") + 0.5).alias("truth"), (F.col("area") + 0.5 + F.pmod("id", F.lit(7)) / 128.0).alias("predicted"), (F.pmod("id", F.lit(11)) / 100.0).alias("half_width"))
+
+
+def gate_table(s, d):
+    """How many measures pass each gate, as the scorer states them."""
+    return scoring.gate_table(_comparisons(s, d)).drop("label")
+
+
+def interval_report(s, d):
+    """Errors in millimetres and interval coverage of each kind of measure."""
+    return scoring.interval_report(_comparisons(s, d))
+
+
+def water_scores(s, d):
+    """Category and class of each surface's largest water region against a reference of their own."""
+    r = regions(s, d)
+    found = r.select(F.col("surface_key").alias("surface"), "damage_class", "area", "id", "water_category", "water_class")
+    asked = r.groupBy(F.col("surface_key").alias("surface")).agg(F.min("id").alias("k"))
+    pick = lambda n, least: F.when(F.pmod("k", F.lit(n)) >= least, F.pmod("k", F.lit(n)).cast("string")).otherwise("")
+    return scoring.water_scores(found, asked.select("surface", pick(4, 1).alias("water_category"), pick(3, 2).alias("water_class")))
+
+
+def room_neighbours(s, d):
+    """Which line numbers share a part with which, for each supplier, as rooms share walls."""
+    x = table(s, d, "lineitem").select(F.col("l_suppkey").alias("scene"), F.col("l_partkey").alias("wall"), F.col("l_linenumber").alias("room"))
+    return rooms.room_neighbours(x, "scene")
+
+
+def strided_frames(s, d):
+    """Every third event of each user, as frames are thinned."""
+    x = table(s, d, "events").select("user_id", "event_id")
+    return frame_contract.strided(x, "user_id", "event_id", 3)
+
+
+def _frames(s, d):
+    k = F.col("vec_id")
+    eye = F.array(*[F.lit(float(i % 5 == 0)) for i in range(16)])
+    flat = F.array(*[F.lit(float(i in (0, 5, 15))) for i in range(16)])
+    pose = F.when(F.pmod(k, F.lit(17)) == 0, F.lit(None)).when(F.pmod(k, F.lit(19)) == 0, flat).otherwise(eye)
+    approved = F.when(F.pmod(k, F.lit(4)) == 0, True).when(F.pmod(k, F.lit(4)) == 1, False)
+    return table(s, d, "embeddings").select(F.col("label").alias("capture"), k.alias("index"), pose.alias("pose"), (k / 30.0).alias("ts"), approved.alias("approved"), F.when(F.pmod(k, F.lit(8)) == 0, "torn").alias("dense_error"), F.when(F.pmod(k, F.lit(3)) == 0, "blurred").alias("dense_reason"), F.lit(None).cast("string").alias("dense_provenance"), (F.pmod(k, F.lit(5)) > 0).alias("has_raw"))
+
+
+def frame_decisions(s, d):
+    """What each frame is rebuilt from, and why, where dense depth is preferred."""
+    return frame_contract.decide(_frames(s, d)).select("index", "decision", "reason", "source", "fallback")
+
+
+def frame_report(s, d):
+    """Counts of what became of each capture's frames."""
+    x = frame_contract.contract_report(frame_contract.decide(_frames(s, d)))
+    return x.select("capture", "selected_frames", "densified_frames", "qc_approved_dense_frames", "fused_frames", "fused_dense_frames", "fused_raw_frames", "rejected_frames", "fallback_frames", "rejected_frames_total")
+
+
 _E = "SELECT vec_id AS id, label, " + ", ".join(f"embedding[{i + 1}]::DOUBLE AS e{i}" for i in range(14)) + " FROM embeddings"
 _Q = "[1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w), 2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w), 2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)]"
 
@@ -222,7 +280,16 @@ _EV = f"""{_R}, v AS (SELECT id, room_id, area, v0, area / 60 AS rms, id % 700 A
  ['tls_lidar', 'monocular', 'unknown'][(id % 3 + 1)::INT] AS depth, id % 2 = 0 AS calibrated, v0 / 10 AS pose_sigma FROM regions)"""
 _LIST = lambda words: "[" + ", ".join("NULL" if w is None else f"'{w}'" for w in words) + "]"
 
-QUERIES = {f.__name__: f for f in (pose_slerp, pose_graph, image_turns, wall_frames, wall_meetings, wall_order, plane_triples, room_heights, offset_rooms, record_fields, measurement_records, evidence_by_room, scale_checks, plane_candidates, refinement_gate, region_texts)}
+_CMP = f"""{_R}, c AS (SELECT ['wall_length', 'ceiling_height', 'floor_area', 'opening_width', 'damage_area'][(id % 5 + 1)::INT] AS kind, area + 0.5 AS truth, area + 0.5 + (id % 7) / 128.0::DOUBLE AS predicted, (id % 11) / 100.0::DOUBLE AS half_width FROM regions),
+e AS (SELECT *, abs(predicted - truth) AS e FROM c)"""
+_FR = """WITH f AS (SELECT vec_id AS "index", label AS capture, vec_id % 17 = 0 AS lost, vec_id % 19 = 0 AS flat, vec_id % 4 AS k, vec_id % 8 = 0 AS torn, vec_id % 3 = 0 AS blurred, vec_id % 5 > 0 AS raw FROM embeddings),
+w AS (SELECT *, CASE WHEN k = 0 AND torn THEN 'torn' WHEN k = 1 THEN CASE WHEN blurred THEN 'blurred' ELSE 'manifest entry is not qc_approved' END END AS why FROM f),
+d AS (SELECT *, CASE WHEN lost THEN 'pose/timestamp table has no matching frame' WHEN flat THEN 'pose rotation/linear part is singular' WHEN k = 0 AND NOT torn THEN NULL WHEN raw THEN NULL
+ WHEN why IS NOT NULL THEN CASE WHEN k = 0 THEN 'dense frame rejected: ' || why ELSE why END ELSE 'no QC-approved dense depth and no raw LiDAR depth' END AS reason FROM w),
+x AS (SELECT *, CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN k = 0 AND NOT torn THEN 'dense' ELSE 'raw' END AS decision,
+ CASE WHEN NOT lost AND NOT flat AND why IS NOT NULL AND raw THEN CASE WHEN k = 0 THEN 'dense frame rejected (' || why || ')' ELSE why END || '; raw LiDAR used' END AS fallback FROM d)"""
+
+QUERIES = {f.__name__: f for f in (pose_slerp, pose_graph, image_turns, wall_frames, wall_meetings, wall_order, plane_triples, room_heights, offset_rooms, record_fields, measurement_records, evidence_by_room, scale_checks, plane_candidates, refinement_gate, region_texts, gate_table, interval_report, water_scores, room_neighbours, strided_frames, frame_decisions, frame_report)}
 
 ORACLES = {
     "pose_slerp": f"""WITH {_POSE}, th AS (SELECT *, acos(least(1, abs(c))) AS th, CASE WHEN c < 0 THEN -1 ELSE 1 END AS sg FROM p),
@@ -296,4 +363,17 @@ SELECT id, CASE WHEN seen THEN round(h, 6) END AS height, round(CASE WHEN high T
 SELECT id, len(l)::INT AS n, array_to_string(l, '+') AS reasons FROM x""",
     "region_texts": f"""{_R} SELECT id, surface_key || printf(': %.2f m2 ', (id % 40) / 4.0::DOUBLE) || CASE WHEN damage_class = 'combined' THEN combined_classes[1] || '+' || combined_classes[2] || ' combined' WHEN damage_class = 'water' AND water_category > 0 THEN 'Cat ' || water_category || ' water'
  WHEN subtype IS NOT NULL THEN damage_class || ' (' || subtype || ')' ELSE damage_class END || ', ' || CASE WHEN id % 3 = 0 THEN printf('lower %.2f m affected', (id % 9) / 4.0::DOUBLE) ELSE printf('between %.2f and %.2f m', (id % 3) / 4.0::DOUBLE, (id % 9) / 4.0::DOUBLE) END AS text FROM regions""",
+    "gate_table": f"""{_CMP}, g(gate, kind, flat, share, target) AS (VALUES ('wall_length', 'wall_length', 0.02::DOUBLE, 0.01::DOUBLE, 0.9::DOUBLE), ('wall_length_stretch', 'wall_length', 0, 0.005, 0.9), ('ceiling_height', 'ceiling_height', 0.015, 0, 1), ('floor_area', 'floor_area', 0, 0.02, 1), ('opening_width', 'opening_width', 0.02, 0, 0.85), ('damage_area', 'damage_area', 0, 0.1, 1)),
+p AS (SELECT gate, target, count(*) FILTER (e <= greatest(flat, share * truth)) AS passing, count(*) AS total FROM e JOIN g ON g.kind = e.kind GROUP BY gate, target)
+SELECT gate, passing, total, round(passing / total::DOUBLE, 4) AS fraction, target, passing / total::DOUBLE >= target AS passed FROM p""",
+    "interval_report": f"""{_CMP} SELECT kind, count(*) AS n, round(median(e) * 1000, 2) AS median_error_mm, round(quantile_cont(e, 0.9) * 1000, 2) AS p90_error_mm, round(max(e) * 1000, 2) AS max_error_mm, round(avg((e <= half_width)::INT), 4) AS observed, abs(avg((e <= half_width)::INT) - 0.9) <= 0.1 AS calibrated FROM e GROUP BY kind""",
+    "water_scores": f"""{_R}, b AS (SELECT surface_key, water_category AS c, water_class AS l, row_number() OVER (PARTITION BY surface_key ORDER BY area DESC, id) AS k FROM regions WHERE damage_class IN ('water', 'combined')),
+a AS (SELECT surface_key, min(id) % 4 AS c, min(id) % 3 AS l FROM regions GROUP BY surface_key),
+x AS (SELECT (a.c < 1 OR coalesce(b.c = a.c, false)) AND (a.l < 2 OR coalesce(b.l = a.l, false)) AS ok FROM a LEFT JOIN b ON b.surface_key = a.surface_key AND b.k = 1 WHERE a.c >= 1 OR a.l >= 2)
+SELECT count(*) FILTER (ok) AS correct, count(*) AS checked, round(avg(ok::INT), 4) AS fraction, avg(ok::INT) >= 0.7 AS passed FROM x""",
+    "room_neighbours": "SELECT DISTINCT a.l_suppkey AS scene, a.l_linenumber AS room, b.l_linenumber AS other FROM lineitem a JOIN lineitem b ON a.l_suppkey = b.l_suppkey AND a.l_partkey = b.l_partkey WHERE a.l_linenumber <> b.l_linenumber",
+    "strided_frames": "SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS k FROM events) WHERE k % 3 = 0",
+    "frame_decisions": f"""{_FR} SELECT "index", decision, reason, CASE WHEN lost THEN 'unknown' WHEN flat THEN 'pose' WHEN decision = 'dense' OR (decision = 'rejected' AND why IS NOT NULL) THEN 'metric3d_v2_scale_shift_lidar_residual' ELSE 'raw_lidar' END AS source, fallback FROM x""",
+    "frame_report": f"""{_FR} SELECT capture, count(*) AS selected_frames, count(*) FILTER (k < 2) AS densified_frames, count(*) FILTER (k = 0) AS qc_approved_dense_frames, count(*) FILTER (decision <> 'rejected') AS fused_frames, count(*) FILTER (decision = 'dense') AS fused_dense_frames,
+ count(*) FILTER (decision = 'raw') AS fused_raw_frames, count(*) FILTER (decision = 'rejected') AS rejected_frames, count(*) FILTER (fallback IS NOT NULL) AS fallback_frames, count(*) FILTER (decision = 'rejected') + count(*) FILTER (k = 1) AS rejected_frames_total FROM x GROUP BY capture""",
 }
