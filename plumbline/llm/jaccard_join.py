@@ -238,7 +238,7 @@ def _blocks(docs: DataFrame, k: int, num: int, den: int, buckets: int) -> DataFr
                 key, own = key[keep], own[keep]
                 held.append((key, batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[own], spare[keep]))
                 count += len(key)
-                if count > 4_000_000:
+                if count > 1_500_000:
                     yield from flush(held)
                     held, count = [], 0
         yield from flush(held)
