@@ -185,7 +185,7 @@ def scale_checks(s, d):
 def plane_candidates(s, d):
     """Horizontal plane candidates judged by support, residual and quality."""
     r = regions(s, d)
-    p = measures.plane_fit(F.col("v1"), F.pmod("id", F.lit(300)), F.col("area") / 50, F.col("v0"), F.col("area") / 100, 100, F.lit(400))
+    p = measures.plane_fit(F.col("v1"), F.pmod("id", F.lit(300)), F.col("area") / 50, F.col("v0"), F.floor(F.col("area") * 1000) / 1e5, 100, F.lit(400))
     return r.select("id", p.alias("p")).select("id", F.round("p.height", 6).alias("height"), F.round("p.confidence", 6).alias("confidence"), "p.status", F.round("p.support", 6).alias("support"), F.round("p.adaptive_limit", 6).alias("adaptive_limit"), F.array_join("p.reasons", "+").alias("reasons"))
 
 
@@ -352,7 +352,7 @@ SELECT id, round(area, 7) AS value, round(tol, 6) AS tolerance, round(confidence
 y AS (SELECT *, coalesce(o > 0 AND k > 0, false) AND kind <> 'door' AS ok FROM x)
 SELECT id, kind, CASE WHEN kind = 'door' THEN 'advisory' WHEN ok THEN 'validated' ELSE 'unmeasured' END AS status, CASE WHEN ok THEN round(k / o, 5) END AS factor, CASE WHEN ok THEN round(greatest(coalesce(tl, 0.01 * k), 0.001), 6) END AS tolerance,
  CASE WHEN kind = 'door' THEN 0.2 WHEN ok THEN round(greatest(0.9, least(1, greatest(0, 1 - abs(o * (k / o) - k) / greatest(coalesce(tl, 0.01 * k), 0.001)))), 6) ELSE 0 END AS confidence FROM y""",
-    "plane_candidates": f"""{_R}, x AS (SELECT id, v1 AS h, id % 300 AS n, area / 50 AS rms, v0 AS q, area / 100 AS sg FROM regions),
+    "plane_candidates": f"""{_R}, x AS (SELECT id, v1 AS h, id % 300 AS n, area / 50 AS rms, v0 AS q, floor(area * 1000) / 1e5 AS sg FROM regions),
 y AS (SELECT *, least(greatest(greatest(0.04, 2.5 * sg + 0.01), 0.04), 0.12) AS lim, least(1, greatest(0, 0.45::DOUBLE * least(1, n / 100.0::DOUBLE) + 0.35::DOUBLE * exp(-rms / 0.04) + 0.2::DOUBLE * least(1, greatest(0, q)))) AS base FROM x),
 z AS (SELECT *, rms <= 0.04 AND n >= 100 AND q >= 0.35 AS high, n >= 100 AS seen FROM y)
 SELECT id, CASE WHEN seen THEN round(h, 6) END AS height, round(CASE WHEN high THEN base WHEN seen THEN CASE WHEN rms <= lim AND q >= 0.35 THEN 0.65 ELSE 0.35 END * base ELSE 0 END, 6) AS confidence, CASE WHEN high THEN 'high_confidence' WHEN seen THEN 'low_confidence' ELSE 'rejected' END AS status,
