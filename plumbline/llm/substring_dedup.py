@@ -119,7 +119,7 @@ def _blocks(docs: DataFrame, buckets: int) -> DataFrame:
                 if len(anchor):
                     parts.append((anchor, group, batch.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False)[of]))
                     held += len(anchor)
-    X:
+                if held > 1_000_000:
                     yield from flush(parts)
                     parts, held = [], 0
         yield from flush(parts)
