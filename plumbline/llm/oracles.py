@@ -16,6 +16,18 @@ b AS (SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_word
  + 32 * (100 * n_upper > 50 * word_chars)::BIGINT + 64 * (100 * n_exclaim > 20 * n_words)::BIGINT + 128 * (100 * n_digits > 50 * word_chars)::BIGINT + 256 * (100 * n_stutter > 30 * n_words)::BIGINT AS failed FROM m)
 """
 
+#: CRC-32 (reflected, polynomial EDB88320) of a list of bytes, by a table of 256 remainders.
+_CRC = "crc AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS rem)"
+
+
+def _crc32(octets: str) -> str:
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, rem[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"
+
+
+_OCTETS = "list_transform(range(strlen(t)), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)"
+_DIGITS = "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"
+_TERMS = r"list_transform(regexp_extract_all({t}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
+
 ORACLES = {
     "op3_embedding_dedup": """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0),
@@ -54,4 +66,37 @@ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS root, doc_id AS id FROM documents UNION SELECT r.root, e.b FROM r JOIN e ON e.a = r.id),
 c AS (SELECT id, min(root) AS c FROM r GROUP BY id)
 SELECT n.doc_id, n.n AS n_shingles, c.c AS component_id FROM n JOIN c ON c.id = n.doc_id""",
+    "op11_sharding": f"""
+WITH {_CRC},
+x AS (SELECT doc_id, coalesce('s' || source, 'n') AS source, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+d AS (SELECT doc_id, source, strlen(t) + 16 AS size, {_crc32(_OCTETS)} AS text_crc32, ('0x' || substr(md5(concat_ws('/', '11', doc_id)), 1, 15))::BIGINT AS h, ('0x' || substr(md5('12/' || source), 1, 15))::BIGINT AS u FROM x, crc),
+r AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) - 1 + u / 1152921504606846976::DOUBLE) / count(*) OVER (PARTITION BY source) AS fraction FROM d),
+p AS (SELECT *, row_number() OVER (ORDER BY fraction, source, h, doc_id, text_crc32, size) - 1 AS place, count(*) OVER () AS n FROM r),
+s AS (SELECT *, place * 40 // n AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INT AS shard, place - (shard * n + 39) // 40 AS slot, NULL::INT AS grown_shard FROM s""",
+    "op12_lexical_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(t="coalesce(text, '')")} AS ts FROM documents),
+m AS (SELECT *, len(ts) AS n, count(*) OVER () AS nn, sum(len(ts)) OVER ()::BIGINT AS ll FROM d WHERE len(ts) > 0),
+f AS (SELECT r, doc_id, t, 100 - 50 + (50 * n * nn) // ll AS m, nn, count(*) AS tf FROM (SELECT *, unnest(ts) AS t FROM m) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM f GROUP BY t),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS.format(t="coalesce(text, '')")}) AS t FROM benchmark),
+s AS (SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score FROM q JOIN w ON w.t = q.t JOIN f ON f.t = q.t GROUP BY item_id, r, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score FROM s WHERE score > 0 QUALIFY rank <= 50""",
+    "op13_tandem_runs": f"""
+WITH {_WORDS}, {_CRC},
+h AS (SELECT doc_id, ws, len(ws) AS n, {_crc32(_DIGITS)} AS h FROM w, crc),
+a AS (SELECT *, h // 10 AS g, h // 10 % greatest(n, 1) AS a FROM h),
+p AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: ws[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) ELSE ws END AS ws FROM a),
+u AS (SELECT doc_id, unnest(range(n)) AS i, unnest(ws) AS x FROM p),
+g AS (SELECT doc_id, i, array_to_string(ws[i + 1:i + 6], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(n - 5)) AS i FROM p WHERE n >= 12)),
+c AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+k AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp FROM c),
+e AS (SELECT doc_id, min(i) AS s, max(i) + 6 + q AS e, q FROM k GROUP BY doc_id, q, grp HAVING max(i) + 6 + q - min(i) >= greatest(12, 2 * q)),
+r AS (SELECT doc_id, s, e, min(q) AS q FROM e GROUP BY doc_id, s, e),
+z AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM r GROUP BY doc_id),
+b AS (SELECT doc_id, s, e - s AS l, q FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY e - s DESC, s, q) = 1),
+v AS (SELECT DISTINCT doc_id, unnest(range(s + q, e)) AS i FROM r),
+t AS (SELECT u.doc_id, string_agg(x, ' ' ORDER BY u.i) AS t FROM u ANTI JOIN v ON u.doc_id = v.doc_id AND u.i = v.i GROUP BY u.doc_id)
+SELECT p.doc_id, n AS n_words, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period, 1000 * l // q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t.t, '')) AS collapsed_sha256
+FROM p LEFT JOIN z ON z.doc_id = p.doc_id LEFT JOIN b ON b.doc_id = p.doc_id LEFT JOIN t ON t.doc_id = p.doc_id""",
 }

@@ -10,10 +10,13 @@ from .importance import importance_resample
 from .jaccard_join import jaccard_join
 from .mixing import mix_sources
 from .oracles import ORACLES as ORACLES
+from .lexical_search import BlockMaxIndex
 from .quality_rules import ablations, quality_rules, stored_ledger
 from .sentencepieces import sp_decode, sp_encode
+from .sharding import interleaved
 from .storage import shared_dir
 from .substring_dedup import substring_dedup
+from .tandem_runs import planted, run_digests, tandem_runs
 from .token_counts import token_counts
 from .toxicity import toxicity
 from .warc import warc_round_trip
@@ -83,6 +86,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleaved(_table(spark, sf_dir, "documents"), shards=40)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = BlockMaxIndex.build(_table(spark, sf_dir, "documents"))
+    return index.search(_table(spark, sf_dir, "benchmark"), "item_id", k=50)
+
+
+def op13_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(tandem_runs(_table(spark, sf_dir, "documents"), rewrite=planted))
+
+
 QUERIES = {
     "op1_importance": op1_importance,
     "op2_mixing": op2_mixing,
@@ -94,5 +110,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_sharding": op11_sharding,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_tandem_runs": op13_tandem_runs,
     "quality_ablations": quality_ablations,
 }

@@ -154,3 +154,13 @@ def covered(starts: np.ndarray, width: int | np.ndarray, n: int) -> np.ndarray:
     """Which of n positions lie in a window that begins at one of the starts."""
     step = np.bincount(starts, minlength=n + 1) - np.bincount(starts + width, minlength=n + 1)
     return np.cumsum(step[:n]) > 0
+
+
+#: Letters and digits of ASCII, and every byte of other characters.
+TERM = np.zeros(256, bool)
+TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+
+
+def terms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document of every run of letters, digits and characters beyond ASCII, in order."""
+    return _runs(lambda x: TERM[x], data, offs)

@@ -11,7 +11,7 @@ DATA = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         c.execute(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     df = QUERIES[name](spark, DATA)
     cols = sorted(df.columns)
@@ -23,4 +23,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))
