@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,18 +14,40 @@ HOT = 1000
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, in the session's checkpoint folder.
+    """df with its lineage cut, in the session's checkpoint folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder.
 
     Without spark.checkpoint.dir a temporary folder takes its place, but only where driver and
     executors are one process; on a cluster that is an error.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        base = spark.conf.get("spark.checkpoint.dir", None)
         if not base and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(base or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    return sc.getCheckpointDir()
+
+
+def written(df: DataFrame, old: DataFrame | None = None) -> DataFrame:
+    """df as a table in the shared folder, for loops: unlike a checkpoint it keeps nothing of the plan, whose constraints multiply in self-joins.
+
+    `old`, an earlier result of this function, is deleted once the new table is there.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if old is not None:
+        place = spark._jvm.org.apache.hadoop.fs.Path(old.written_to)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
 def _with_root(hooked: DataFrame, labels: DataFrame) -> DataFrame:
