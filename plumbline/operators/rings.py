@@ -52,7 +52,7 @@ def wall_stops(walls: DataFrame, scene: str, tolerance: float = 0.08, side: floa
     length = F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     finite = " and ".join(f"{c} is not null and not isnan({c}) and abs({c}) < double('infinity')" for c in ("x0", "y0", "x1", "y1"))
     w = walls.where(finite).select(scene, "wall", "x0", "y0", "x1", "y1").withColumn("length", length).where("length > 1e-6")
-    w = w.withColumn("dx", (F.col("x1") - F.col("x0")) / F.col("length")).withColumn("dy", (F.col("y1") - F.col("y0")) / F.col("length"))
+    w = w.withColumn("dx", F.try_divide(F.col("x1") - F.col("x0"), F.col("length"))).withColumn("dy", F.try_divide(F.col("y1") - F.col("y0"), F.col("length")))
     at = _squares(w, scene, side, tolerance)
     pairs = at.join(at.withColumnRenamed("wall", "other"), [scene, "cu", "cv"]).where("wall <> other").select(scene, "wall", "other").distinct()
     b = w.select(scene, F.col("wall").alias("other"), *[F.col(c).alias(f"o{c}") for c in ("x0", "y0", "x1", "y1", "dx", "dy", "length")])
