@@ -24,8 +24,8 @@ def test_two_views_make_a_region(spark):
     assert len(got) == 1
     r = got[0]
     assert (r.id, r.damage_class, r.combined, r.subtype, r.frames, r.evidence, r.methods) == ("east#1", "water", None, "stain", [0, 1], ["saw 1", "saw 2"], "sam")
-    # 16 x 8 pixels a 16th of a metre apart from u = 1 and a height of 1.2: eight columns, five rows of cells
-    assert (r.u0, r.u1, r.v0, r.v1) == (1.0, 2.0, 1.125, 1.75) and r.area == pytest.approx(40 * 0.125**2)
+    # 16 x 8 pixels a 16th of a metre apart from u = 1 and a height of 1.2: eight columns, four rows of cells
+    assert (r.u0, r.u1, r.v0, r.v1) == (1.0, 2.0, 1.25, 1.75) and r.area == pytest.approx(32 * 0.125**2)
 
 
 def test_points_of_no_surface_are_left_out(spark):
