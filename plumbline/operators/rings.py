@@ -151,11 +151,11 @@ _STEPS = ((1, 0), (0, 1), (-1, 0), (0, -1))
 
 
 def outline_rings(cells: DataFrame, by: list[str]) -> DataFrame:
-    """(by, ring, n, area, points): the closed outlines of each group's cells(by, cu, cv), n cell sides long.
+    """(by, ring, n, area, points, corners): the closed outlines of each group's cells(by, cu, cv), n cell sides long.
 
     The group's cells are to the left, so an outer outline has a positive area, a hole a negative one, and a group's areas
     add up to its number of cells.  Cells that touch at a corner only are not joined there.  points are the
-    middles of the sides, in cell middles: what marching squares at half give.
+    middles of the sides, in cell middles: what marching squares at half give; corners are where they start.
     """
     cells = checkpointed(cells.select(*by, F.col("cu").cast("long").alias("cu"), F.col("cv").cast("long").alias("cv")).distinct())
     side = F.explode(F.array(*[F.struct(F.lit(d).alias("d"), *[F.lit(v).cast("long").alias(k) for k, v in zip(("x", "y", "u", "v"), (*corner, *beside), strict=True)]) for d, corner, beside in _SIDES]))
@@ -174,8 +174,9 @@ def outline_rings(cells: DataFrame, by: list[str]) -> DataFrame:
     x = x.withColumn("mx", F.col("x") - 0.5 + at(0) / 2).withColumn("my", F.col("y") - 0.5 + at(1) / 2)
     area = F.sum(F.col("x") * at(1) - F.col("y") * at(0)) / 2
     points = F.transform(F.array_sort(F.collect_list(F.struct("place", F.col("mx").alias("x"), F.col("my").alias("y")))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    rings = x.groupBy("ring").agg(F.count("*").alias("n"), area.alias("area"), points.alias("points"))
-    return rings.select(*[F.col(f"ring.{b}").alias(b) for b in by], F.struct("ring.x", "ring.y", "ring.d").alias("ring"), "n", "area", "points")
+    corners = F.transform(F.array_sort(F.collect_list(F.struct("place", "x", "y"))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
+    rings = x.groupBy("ring").agg(F.count("*").alias("n"), area.alias("area"), points.alias("points"), corners.alias("corners"))
+    return rings.select(*[F.col(f"ring.{b}").alias(b) for b in by], F.struct("ring.x", "ring.y", "ring.d").alias("ring"), "n", "area", "points", "corners")
 
 
 def _thinned(p: np.ndarray, tolerance: float) -> np.ndarray:

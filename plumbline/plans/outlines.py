@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import rings
+from ..operators import rings, segments
 from ..sources.tables import table
 from .series import r6
 from .space import _PLAN, _plan
@@ -52,6 +52,39 @@ def rectified_polygons(s, d):
     return x.select("vec_id", F.size("p").alias("corners"), F.round(signed_area(F.col("p")), 6).alias("area"), F.round(F.col("p")[0]["x"], 6).alias("x"), F.round(F.col("p")[0]["y"], 6).alias("y"))
 
 
+def _floor_cells(s, d):
+    """(scene, cu, cv, occupied, free): cells of a quarter of a metre that floor was seen in, some of them with walls."""
+    x = table(s, d, "embeddings").select(F.expr("vec_id div 40").alias("scene"), F.floor(_e(4) * 80).alias("cu"), F.floor(_e(5) * 80).alias("cv"), F.pmod("vec_id", F.lit(8)).alias("occupied"), F.pmod("vec_id", F.lit(5)).alias("free"))
+    return x.groupBy("scene", "cu", "cv").agg(F.sum("occupied").alias("occupied"), F.sum("free").alias("free"))
+
+
+def room_segments(s, d):
+    """The rooms of each scene, with how many walls bound them and how many rooms share one."""
+    x, _ = segments.segmented_rooms(_floor_cells(s, d), plan_walls(s, d), "scene", 0.25)
+    return x.select("scene", "room", "name", "source", F.round(F.col("area") + 1e-9, 6).alias("area"), *r6("cx", "cy"), F.coalesce(F.size("walls"), F.lit(0)).alias("walls"), F.coalesce(F.size("neighbours"), F.lit(0)).alias("neighbours"))
+
+
+def room_scenes(s, d):
+    """Which scenes have rooms, or why not, where half of the walls are missing."""
+    walls = plan_walls(s, d).where("wall % 8 < 3 or scene % 3 > 0")
+    _, scenes = segments.segmented_rooms(_floor_cells(s, d), walls, "scene", 0.25)
+    return scenes
+
+
+def rasterised_walls(s, d):
+    """Cells of the walls of each scene on a grid of half metres."""
+    w = plan_walls(s, d)
+    size = w.select("scene").distinct().select("scene", F.lit(-8.0).alias("u0"), F.lit(-8.0).alias("v0"), F.lit(32).alias("columns"), F.lit(32).alias("rows"))
+    return segments.rasterised_walls(w, "scene", 0.5, size)
+
+
+def probed_walls(s, d):
+    """The rooms, here squares of two metres, that lie beside each wall."""
+    w = plan_walls(s, d)
+    labels = w.select("scene").distinct().select("scene", F.explode(F.sequence(F.lit(-40), F.lit(39))).alias("cu")).select("scene", "cu", F.explode(F.sequence(F.lit(-40), F.lit(39))).alias("cv")).select("scene", F.col("cu").cast("long").alias("cu"), F.col("cv").cast("long").alias("cv"), (F.floor(F.col("cu") / 4) * 100 + F.floor(F.col("cv") / 4)).alias("room"))
+    return segments.probed_walls(w, labels, "scene", 0.5)
+
+
 _WALLS = """e AS (SELECT vec_id // 40 AS scene, vec_id AS wall, vec_id % 8 AS k, floor(embedding[1]::DOUBLE * 80) / 4 AS x0, floor(embedding[2]::DOUBLE * 80) / 4 AS y0, 4 + floor(abs(embedding[3]::DOUBLE) * 80) / 4 AS l FROM embeddings),
 walls AS (SELECT scene, wall, x0, y0, x0 + l * CASE WHEN k = 7 OR k % 2 = 0 THEN 1.0::DOUBLE ELSE 0 END AS x1, y0 + l * CASE WHEN k = 7 THEN 0.75::DOUBLE WHEN k % 2 = 0 THEN 0 ELSE 1 END AS y1 FROM e)"""
 
@@ -84,21 +117,44 @@ wk{k} AS (SELECT p AS sp, q AS sq, p, q, r, 0 AS n FROM nx{k} UNION ALL SELECT s
 rg{k} AS MATERIALIZED (SELECT sp AS p, sq AS q, min((p, q)) AS ring FROM wk{k} GROUP BY sp, sq)"""
 
 
-ORACLES = {
-    "wall_stops": f"WITH {_STOPS} SELECT scene, wall, count(*) AS n, round(sum(t), 6) AS t FROM stops GROUP BY ALL",
-    "wall_faces": f"""WITH RECURSIVE {_GRAPH}, {_cycles(0)},
+_FACES = f"""WITH RECURSIVE {_GRAPH}, {_cycles(0)},
 sd AS (SELECT least(p, q) AS a, greatest(p, q) AS b FROM rg0 GROUP BY ALL HAVING count(DISTINCT ring) > 1),
 ed1 AS MATERIALIZED (SELECT ed0.* FROM ed0 SEMI JOIN sd ON ed0.a = sd.a AND ed0.b = sd.b), {_cycles(1)},
 sg AS MATERIALIZED (SELECT p1.scene, ring, p, q, p1.x AS x0, p1.y AS y0, q1.x AS x1, q1.y AS y1, p1.x * q1.y - q1.x * p1.y AS c FROM rg1 JOIN nd p1 ON p1.id = p JOIN nd q1 ON q1.id = q),
-ri AS (SELECT scene, ring, sum(c) / 2 AS area, sum((x0 + x1) * c) / 6 AS mx, sum((y0 + y1) * c) / 6 AS my, count(*) AS corners, min(p) AS first FROM sg GROUP BY scene, ring),
+ri AS MATERIALIZED (SELECT scene, ring, sum(c) / 2 AS area, sum((x0 + x1) * c) / 6 AS mx, sum((y0 + y1) * c) / 6 AS my, count(*) AS corners, min(p) AS first FROM sg GROUP BY scene, ring),
 ho AS (SELECT o.scene, o.ring, o.area, o.mx, o.my, i.ring AS shell, i.area AS around FROM ri o JOIN nd f ON f.id = o.first JOIN ri i ON i.scene = o.scene AND i.area > 1e-9 WHERE o.area < -1e-9
  AND NOT EXISTS (SELECT 1 FROM sg WHERE sg.ring = i.ring AND sg.p = o.first)
  AND (SELECT count(*) FROM sg WHERE sg.ring = i.ring AND (y0 > f.y) <> (y1 > f.y) AND f.x < (x1 - x0) * (f.y - y0) / (y1 - y0) + x0) % 2 = 1
  QUALIFY row_number() OVER (PARTITION BY o.ring ORDER BY i.area, i.ring) = 1),
 hs AS (SELECT shell, sum(area) AS ha, sum(mx) AS hx, sum(my) AS hy, count(*) AS holes FROM ho GROUP BY shell),
-fc AS (SELECT scene, ring, area + coalesce(ha, 0) AS area, (mx + coalesce(hx, 0)) / (area + coalesce(ha, 0)) AS cx, (my + coalesce(hy, 0)) / (area + coalesce(ha, 0)) AS cy, corners, coalesce(holes, 0) AS holes FROM ri LEFT JOIN hs ON hs.shell = ri.ring WHERE ri.area > 1e-9 AND ri.area + coalesce(ha, 0) > 1e-9),
-fr AS (SELECT *, CASE WHEN area < 1.4 THEN 'below-min-area' END AS reason FROM fc)
-SELECT scene, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY scene, reason ORDER BY round(cx, 8), round(cy, 8), round(area, 8))::INT - 1 END AS face, round(area + 1e-9, 6) AS area, round(cx, 6) AS cx, round(cy, 6) AS cy, corners::INT AS corners, holes::INT AS holes, reason FROM fr""",
+fc AS (SELECT scene, ring, area + coalesce(ha, 0) AS area, (mx + coalesce(hx, 0)) / (area + coalesce(ha, 0)) AS cx, (my + coalesce(hy, 0)) / (area + coalesce(ha, 0)) AS cy, corners, coalesce(holes, 0) AS holes FROM ri LEFT JOIN hs ON hs.shell = ri.ring WHERE ri.area > 1e-9 AND ri.area + coalesce(ha, 0) > 1e-9)"""
+
+_ROOMS = """cl AS (SELECT vec_id // 40 AS scene, floor(embedding[5]::DOUBLE * 80)::BIGINT AS cu, floor(embedding[6]::DOUBLE * 80)::BIGINT AS cv, sum(vec_id % 8) AS occupied, sum(vec_id % 5) AS free FROM embeddings GROUP BY ALL),
+fr AS (SELECT scene, (cu + 0.5) * 0.25::DOUBLE AS x, (cv + 0.5) * 0.25::DOUBLE AS y FROM cl WHERE free >= 3 AND occupied < 6),
+sn AS MATERIALIZED (SELECT fc.*, row_number() OVER (PARTITION BY fc.scene ORDER BY round(cx, 8), round(cy, 8), round(area, 8)) - 1 AS room FROM fc WHERE area >= 1.4 AND EXISTS (SELECT 1 FROM fr WHERE fr.scene = fc.scene AND (SELECT count(*) FROM sg WHERE sg.ring = fc.ring AND (y0 > fr.y) <> (y1 > fr.y) AND fr.x < (x1 - x0) * (fr.y - y0) / (y1 - y0) + x0) % 2 = 1))"""
+
+ORACLES = {
+    "wall_stops": f"WITH {_STOPS} SELECT scene, wall, count(*) AS n, round(sum(t), 6) AS t FROM stops GROUP BY ALL",
+    "wall_faces": f"""{_FACES},
+fa AS (SELECT *, CASE WHEN area < 1.4 THEN 'below-min-area' END AS reason FROM fc)
+SELECT scene, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY scene, reason ORDER BY round(cx, 8), round(cy, 8), round(area, 8))::INT - 1 END AS face, round(area + 1e-9, 6) AS area, round(cx, 6) AS cx, round(cy, 6) AS cy, corners::INT AS corners, holes::INT AS holes, reason FROM fa""",
+    "room_segments": f"""{_FACES}, {_ROOMS},
+ov AS (SELECT sn.scene, sn.room, w.wall, w.len, sum(greatest(0, least(w.len, greatest((sg.x0 - w.x0) * dx + (sg.y0 - w.y0) * dy, (sg.x1 - w.x0) * dx + (sg.y1 - w.y0) * dy)) - greatest(0, least((sg.x0 - w.x0) * dx + (sg.y0 - w.y0) * dy, (sg.x1 - w.x0) * dx + (sg.y1 - w.y0) * dy)))) AS shared
+ FROM sn JOIN sg ON sg.ring = sn.ring JOIN w ON w.scene = sn.scene AND abs((sg.x0 - w.x0) * dy - (sg.y0 - w.y0) * dx) <= 1e-6 AND abs((sg.x1 - w.x0) * dy - (sg.y1 - w.y0) * dx) <= 1e-6 GROUP BY ALL),
+mb AS (SELECT scene, room, wall FROM ov WHERE shared >= least(0.15, 0.35 * len)),
+ne AS (SELECT a.scene, a.room, count(DISTINCT b.room) AS n FROM mb a JOIN mb b ON a.scene = b.scene AND a.wall = b.wall AND a.room <> b.room GROUP BY ALL),
+nw AS (SELECT scene, room, count(DISTINCT wall) AS n FROM mb GROUP BY ALL)
+SELECT sn.scene, sn.room::INT AS room, 'room_' || (sn.room + 1) AS name, 'wall-face' AS source, round(area + 1e-9, 6) AS area, round(cx, 6) AS cx, round(cy, 6) AS cy, coalesce(nw.n, 0)::INT AS walls, coalesce(ne.n, 0)::INT AS neighbours FROM sn LEFT JOIN nw ON nw.scene = sn.scene AND nw.room = sn.room LEFT JOIN ne ON ne.scene = sn.scene AND ne.room = sn.room""",
+    "room_scenes": f"""{_FACES.replace("FROM walls),", "FROM walls WHERE wall % 8 < 3 OR scene % 3 > 0),")}, {_ROOMS},
+z AS (SELECT s.scene, (SELECT count(*) FROM fc WHERE fc.scene = s.scene AND area >= 1.4) AS faces, (SELECT count(*) FROM sn WHERE sn.scene = s.scene) AS n, (SELECT count(*) FROM fr WHERE fr.scene = s.scene) AS cells FROM (SELECT DISTINCT scene FROM cl) s)
+SELECT scene, n, n = 0 AS fallback, CASE WHEN n = 0 THEN concat_ws('; ', CASE WHEN faces = 0 THEN 'no-bounded-wall-faces' ELSE 'candidate-faces-have-no-observed-floor' END, CASE WHEN cells = 0 THEN 'no-observed-free-cells' ELSE 'no-usable-observed-floor-components' END) END AS reason FROM z""",
+    "rasterised_walls": f"""WITH {_WALLS}, p AS (SELECT *, greatest(floor(sqrt((x1 - x0)**2 + (y1 - y0)**2) / 0.5)::BIGINT * 2, 2) AS n FROM walls),
+c AS (SELECT DISTINCT scene, floor((x0 + k / (n - 1)::DOUBLE * (x1 - x0) + 8) / 0.5)::BIGINT AS cu, floor((y0 + k / (n - 1)::DOUBLE * (y1 - y0) + 8) / 0.5)::BIGINT AS cv FROM (SELECT *, unnest(range(n)) AS k FROM p)),
+d AS (SELECT DISTINCT scene, cu + a AS cu, cv + b AS cv FROM c, (SELECT unnest([-1, 0, 1]) AS a), (SELECT unnest([-1, 0, 1]) AS b) WHERE cu BETWEEN 0 AND 31 AND cv BETWEEN 0 AND 31) SELECT * FROM d WHERE cu BETWEEN 0 AND 31 AND cv BETWEEN 0 AND 31""",
+    "probed_walls": f"""WITH {_WALLS}, p AS (SELECT *, sqrt((x1 - x0)**2 + (y1 - y0)**2) AS len, greatest(floor(sqrt((x1 - x0)**2 + (y1 - y0)**2) / 0.5)::BIGINT, 2) AS n FROM walls),
+q AS (SELECT scene, wall, n, 0.05::DOUBLE + 0.9::DOUBLE * k / (n - 1)::DOUBLE AS s, side * 0.12::DOUBLE AS o, x0, y0, x1, y1, len FROM (SELECT *, unnest(range(n)) AS k FROM p), (SELECT unnest([1.0::DOUBLE, -1.0]) AS side)),
+c AS (SELECT scene, wall, n, floor((x0 + s * (x1 - x0) + (y0 - y1) / len * o) / 0.5)::BIGINT AS cu, floor((y0 + s * (y1 - y0) + (x1 - x0) / len * o) / 0.5)::BIGINT AS cv FROM q)
+SELECT scene, wall, (floor(cu / 4.0) * 100 + floor(cv / 4.0))::BIGINT AS room, count(*) AS hits FROM c WHERE cu BETWEEN -40 AND 39 AND cv BETWEEN -40 AND 39 GROUP BY scene, wall, room, n HAVING count(*) >= greatest(3, 0.15 * n)""",
     "outline_rings": f"""{_PLAN}, sides AS (SELECT * FROM (VALUES (0, 0, 0, 0, -1, 1, 0), (1, 1, 0, 1, 0, 0, 1), (2, 1, 1, 0, 1, -1, 0), (3, 0, 1, -1, 0, 0, -1)) t(d, ox, oy, nu, nv, sx, sy)),
 ck AS MATERIALIZED (SELECT l.label, cu + ox AS x, cv + oy AS y, d, sx, sy FROM lab l, sides WHERE NOT EXISTS (SELECT 1 FROM lab m WHERE m.label = l.label AND m.cu = l.cu + nu AND m.cv = l.cv + nv)),
 nx AS MATERIALIZED (SELECT a.*, b.d AS nd FROM ck a JOIN ck b ON b.label = a.label AND b.x = a.x + a.sx AND b.y = a.y + a.sy QUALIFY row_number() OVER (PARTITION BY a.label, a.x, a.y, a.d ORDER BY (b.d - a.d + 6) % 4 DESC) = 1),
@@ -123,4 +179,4 @@ o AS (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny, first_value(x) OVER
 SELECT vec_id, count(*)::INT AS corners, round(sum(x * coalesce(ny, fy) - coalesce(nx, fx) * y) / 2, 6) AS area, round(any_value(fx), 6) AS x, round(any_value(fy), 6) AS y FROM o GROUP BY vec_id""",
 }
 
-QUERIES = {f.__name__: f for f in (wall_stops, wall_faces, outline_rings, rectified_polygons)}
+QUERIES = {f.__name__: f for f in (wall_stops, wall_faces, room_segments, room_scenes, rasterised_walls, probed_walls, outline_rings, rectified_polygons)}
