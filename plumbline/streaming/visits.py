@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.graphs import shared_folder
+
 
 def visit_stream(events: DataFrame, gap: float, delay: str = "1 day") -> DataFrame:
     """Visits of a stream events(user_id, ts, value): a row per track and session, when it is closed.
@@ -41,11 +42,7 @@ def visit_counts(spark: SparkSession, path: str, gap: float) -> DataFrame:
     zone = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base and not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = base or tempfile.mkdtemp(prefix="stream-")
-        base = f"{base.rstrip('/')}/visits-{uuid.uuid4().hex}"
+        base = f"{shared_folder(spark)}/visits-{uuid.uuid4().hex}"
         schema = spark.read.parquet(path).schema
         folder, _, name = path.rpartition("/")
         events = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder) if not _is_dir(spark, path) else spark.readStream.schema(schema).parquet(path)
