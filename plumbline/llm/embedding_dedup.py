@@ -306,8 +306,10 @@ def embedding_dedup(df: DataFrame, threshold: float = 0.95, seed: int = 7, miss:
     threshold is found with a chance of 1 - miss, as measured for each row on its windows, a
     nearer one with more, and none below it is linked.  Equal vectors are one class, compared once and counted in full.  Unusable vectors
     (see `vectors`) and rows with a null vec_id link with nothing; vectors of different lengths
-    never link.  Other columns are ignored.
+    never link.  Vectors of other numbers than float are compared as double.  Other columns are ignored.
     """
+    if dict(df.dtypes)["embedding"] not in ("array<float>", "array<double>"):
+        df = df.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     kind = "float64" if "double" in dict(df.dtypes)["embedding"] else "float32"
     all_rows = df.select("vec_id")
     # equal bytes, equal vectors: of a class only the smallest id takes part

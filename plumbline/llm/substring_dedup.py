@@ -337,14 +337,16 @@ def _listed(values: np.ndarray, doc: np.ndarray, lists: pa.Array) -> np.ndarray:
 
 def removed_words(docs: DataFrame, flags: DataFrame, keep_text: bool = False) -> DataFrame:
     """docs with n_words, n_removed and the kept words' SHA-256, or the kept text, from all flags."""
-    lists = [F.collect_list(F.when(F.col("kind") == kind, F.col("entry"))).alias(name) for kind, name in ((FULL, "__full"), (CHECK, "__check"))]
+    # names that no column of docs has
+    full, check, repeats = (next(n for k in range(len(docs.columns) + 1) if (n := f"__{word}{k}") not in docs.columns) for word in ("full", "check", "again"))
+    lists = [F.collect_list(F.when(F.col("kind") == kind, F.col("entry"))).alias(name) for kind, name in ((FULL, full), (CHECK, check))]
     marked = docs.join(flags.groupBy("doc_id").agg(*lists), "doc_id", "left")
-    wins = stored(_compared(marked.where(F.size("__check") > 0).select("doc_id", "text", "__check")).distinct(), "windows")
+    wins = stored(_compared(marked.where(F.size(check) > 0).select("doc_id", "text", check)).distinct(), "windows")
     first = wins.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"))
-    again = wins.join(first, ["w1", "w2"]).where("doc_id > first").groupBy("doc_id").agg(F.collect_list("w1").alias("__again"))
-    rows = marked.drop("__check").join(again, "doc_id", "left")
+    again = wins.join(first, ["w1", "w2"]).where("doc_id > first").groupBy("doc_id").agg(F.collect_list("w1").alias(repeats))
+    rows = marked.drop(check).join(again, "doc_id", "left")
     carry = [f for f in docs.schema.fields if f.name != "text"]
-    rows = rows.select(*[f.name for f in carry], "text", "__full", "__again")
+    rows = rows.select(*[f.name for f in carry], "text", full, repeats)
     added = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("text" if keep_text else "kept_sha256", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

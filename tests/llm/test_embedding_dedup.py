@@ -58,3 +58,10 @@ def test_hot_cluster(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(x.astype(np.float32).tolist())], "vec_id bigint, embedding array<float>").repartition(4)
     of = {r.vec_id: r.component_id for r in embedding_dedup(df).collect()}
     assert np.mean([of[i] == of[i + 1] for i in range(0, 600, 2)]) >= 0.995
+
+
+def test_vectors_of_other_numbers(spark):
+    for kind in ("array<decimal(6,2)>", "array<int>"):
+        df = spark.sql(f"select id as vec_id, cast(e as {kind}) as embedding from values (1, array(1, 0)), (2, array(1, 0)), (3, array(0, 1)), (4, array(2, 0)), (5, cast(null as array<int>)) t(id, e)")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup(df).collect()}
+        assert got == {1: (2, 1), 2: (2, 1), 3: (0, 3), 4: (2, 1), 5: (0, 5)}

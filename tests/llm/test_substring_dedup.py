@@ -88,3 +88,10 @@ def test_hot_anchor_and_copies(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
     got = substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept_sha256")
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
+
+
+def test_columns_named_as_the_working_ones(spark):
+    rows = [(i, "the very same words in all of these documents and some more of them here", 1, "a", 2) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, __check0 int, __full0 string, __again0 int")
+    got = {r.doc_id: (r.n_removed, r["__check0"], r["__full0"], r["__again0"]) for r in substring_dedup(df).collect()}
+    assert got == {0: (0, 1, "a", 2), 1: (15, 1, "a", 2), 2: (15, 1, "a", 2)}
