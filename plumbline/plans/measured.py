@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import scene_measures
+from ..operators.graphs import checkpointed
 from .rooms import _BOXES, _boxes
 
 
@@ -34,12 +35,12 @@ def measured_walls(s, d):
 
 def measured_rooms(s, d):
     """The areas of every room inside, to the centre lines and to the outside of its walls."""
-    r = _records(s, d)
+    r = checkpointed(_records(s, d))
     b = _boxes(s, d)
     status = F.when(F.pmod("id", F.lit(11)) == 0, "rejected")
     source = F.when(F.pmod("id", F.lit(13)) == 0, "Raster outline")
     rooms = b.select("scene", F.col("id").alias("room"), F.when(F.pmod("id", F.lit(17)) > 0, F.col("polygon")).alias("polygon"), status.alias("status"), source.alias("source"), F.when(F.pmod("id", F.lit(19)) == 0, 0.4).alias("confidence"), F.array(*[F.col("id") * 4 + k for k in range(4)]).alias("walls"), _evidence(F.lit(0.005)).alias("e"))
-    x = scene_measures.measured_rooms(rooms, r, scene_measures.measured_walls(r, "scene"), "scene")
+    x = scene_measures.measured_rooms(rooms, r, checkpointed(scene_measures.measured_walls(r, "scene")), "scene")
     named = [c for n in ("interior", "centreline", "outer") for c in (F.round(f"{n}.value", 6).alias(n), F.round(f"{n}.tolerance", 6).alias(f"{n}_tolerance"), F.col(f"{n}.status").alias(f"{n}_status"))]
     return x.select("scene", "room", *named, "boundary_source")
 
