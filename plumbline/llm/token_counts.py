@@ -1,16 +1,18 @@
 """Token counts of a byte-level BPE by a two-tier lookup on the map side.
 
 A text falls into units, a word with the one space before it, whose token counts do not
-depend on their neighbours.  The first tier is a compact hash table of frequent units'
-counts, broadcast to the workers and bounded by the vocabulary, whose tokens it holds; the
-second is a cache in each worker, which asks the tokenizer about a unit once.  No unit is
-ever shuffled.
+depend on their neighbours.  The first tier is a compact hash table of the token counts of
+the documents' frequent units, broadcast to the workers; the second is a cache in each
+worker, which asks the tokenizer about a unit once.  The frequent units are found by one
+sketch a task over all texts, of a fixed number of counters, that is merged in a tree: a
+sketch holds hashes, counts and token counts, so no unit and no text is ever shuffled.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,28 @@ from . import textarrays as ta
 U64 = np.uint64
 #: Mixed into a unit's hash if a space belongs to it.
 _SPACED = U64(0x5851F42D4C957F2D)
+#: Counters of a sketch and entries of the first tier: 20 bytes each.
+COUNTERS = 1 << 15
+#: Sketches that one task, or at the end the driver, merges.
+FAN_IN = 64
+#: Units of more bytes are left to the worker caches.
+UNIT_BYTES = 64
+
+
+@lru_cache(2)
+def tokenizer(path: str):
+    """The tokenizer of a file, read once a process."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    return tok
+
+
+def token_lengths(path: str, texts: list[str]) -> list[int]:
+    return [len(x.ids) for x in tokenizer(path).encode_batch(texts, add_special_tokens=False)]
 
 
 class UnitTable:
@@ -87,17 +111,11 @@ class Counter:
     CACHE = 2_000_000
 
     def __init__(self, path: str, table: UnitTable):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.specials = tuple(t.content.encode() for t in self.tok.get_added_tokens_decoder().values())
-        self.table, self.cache, self.runs = table, {}, {}
+        self.specials = tuple(t.content.encode() for t in tokenizer(path).get_added_tokens_decoder().values())
+        self.path, self.table, self.cache, self.runs = path, table, {}, {}
 
     def lengths(self, texts: list[str]) -> list[int]:
-        return [len(x.ids) for x in self.tok.encode_batch(texts, add_special_tokens=False)]
+        return token_lengths(self.path, texts)
 
     def count(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         n = len(offs) - 1
@@ -150,30 +168,92 @@ class Counter:
         assert len(total) == n
 
 
-def vocabulary_units(path: str) -> list[str]:
-    """The vocabulary's tokens as texts: what its makers found frequent, so no corpus is read for it.
+class Sketch:
+    """The frequent hashes of a stream, by a fixed number of counters.
 
-    Tokens that are no whole characters are left out; the table drops those that are no unit.
+    Where more hashes are counted than there are counters, the count of the first that has to
+    go is taken off all of them.  A hash that makes up more than one part in (counters + 1)
+    of the stream therefore stays, also when sketches of parts are merged.
     """
-    from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    special = set(tok.get_added_tokens_decoder())
-    found = tok.decode_batch([[i] for i in sorted(tok.get_vocab().values()) if i not in special])
-    return [x for x in found if x and "\ufffd" not in x]
+    def __init__(self, counters: int):
+        self.counters, self.keys, self.counts = counters, np.zeros(0, U64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        both, back = np.unique(np.concatenate([self.keys, keys]), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate([self.counts, counts]), minlength=len(both)).astype(np.int64)
+        if len(both) > self.counters:
+            n -= np.partition(n, len(n) - self.counters - 1)[len(n) - self.counters - 1]
+            both, n = both[n > 0], n[n > 0]
+        self.keys, self.counts = both, n
+
+
+def _sketch_of(texts: Iterator[pa.Array], path: str, counters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, counts, token counts) of the frequent units of a task's texts."""
+    found, names = Sketch(counters), {}
+    for array in texts:
+        for _, _, data, offs in ta.chunks(array):
+            starts, ends, doc, hashes, spaced = units(data, offs)
+            odd = np.isin(doc, odd_docs(data, offs, ()))  # their units do not stand alone
+            at = np.flatnonzero((ends - starts <= UNIT_BYTES) & ~odd)
+            keys, first, n = np.unique(hashes[at], return_index=True, return_counts=True)
+            found.add(keys, n)
+            where = at[first[np.isin(keys, found.keys, assume_unique=True)]]
+            raw = data.tobytes()
+            for k, a, b, sp in zip(hashes[where].tolist(), starts[where].tolist(), ends[where].tolist(), spaced[where].tolist(), strict=True):
+                if k not in names:
+                    names[k] = raw[a - sp : b]
+            if len(names) > 2 * counters:
+                names = {k: names[k] for k in found.keys.tolist()}
+    lengths = token_lengths(path, [names[k].decode("utf-8", "replace") for k in found.keys.tolist()])
+    return found.keys, found.counts, np.array(lengths, np.int32)
+
+
+def _merged(parts: Iterator[tuple[bytes, bytes, bytes]], counters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One sketch of many; equal hashes have equal token counts."""
+    found, keys, lengths = Sketch(counters), np.zeros(0, U64), np.zeros(0, np.int32)
+    for k, n, c in parts:
+        k = np.frombuffer(k, U64)
+        found.add(k, np.frombuffer(n, np.int64))
+        keys, first = np.unique(np.concatenate([keys, k]), return_index=True)
+        lengths = np.concatenate([lengths, np.frombuffer(c, np.int32)])[first]
+        stays = np.isin(keys, found.keys, assume_unique=True)
+        keys, lengths = keys[stays], lengths[stays]
+    return found.keys, found.counts, lengths
+
+
+def frequent_units(docs: DataFrame, path: str, text: str = "text", counters: int = COUNTERS) -> UnitTable:
+    """The first tier: token counts of the frequent units of all texts.
+
+    Every text is read; each task keeps `counters` hashes.  Sketches are merged by FAN_IN until
+    at most so many are left, which the driver merges: its part does not grow with the texts.
+    """
+    schema = "keys binary, counts binary, lengths binary"
 
+    def row(sketch: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in sketch], names=["keys", "counts", "lengths"])
 
-def build_table(path: str, frequent: list[str]) -> UnitTable:
-    """The first tier: counts of the frequent units, one word each, with or without a space before it."""
-    from tokenizers import Tokenizer
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield row(_sketch_of((b.column(0) for b in batches), path, counters))
 
-    tok = Tokenizer.from_file(path)
-    tok.no_truncation()
-    tok.no_padding()
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield row(_merged((tuple(c[i].as_py() for c in b.columns) for b in batches for i in range(b.num_rows)), counters))
+
+    texts = docs.select(docs[text].alias("__text"))
+    left, parts = texts.rdd.getNumPartitions(), texts.mapInArrow(sketched, schema)
+    while left > FAN_IN:
+        left = -(-left // FAN_IN)
+        parts = parts.repartition(left).mapInArrow(merged, schema)
+    keys, _, lengths = _merged(((bytes(r.keys), bytes(r.counts), bytes(r.lengths)) for r in parts.toLocalIterator()), counters)
+    return UnitTable(keys, lengths)
+
+
+def build_table(path: str, frequent: list[str]) -> UnitTable:
+    """A first tier of given units, one word each, with or without a space before it."""
     raw = [u.encode() for u in frequent if u.strip(" ")]
     if not raw:
         return UnitTable(np.zeros(0, U64), np.zeros(0, np.int32))
-    counts = [len(x.ids) for x in tok.encode_batch([u.decode() for u in raw], add_special_tokens=False)]
+    counts = token_lengths(path, [u.decode() for u in raw])
     data = np.frombuffer(b"".join(raw), np.uint8)
     offs = np.cumsum([0] + [len(u) for u in raw])
     starts, ends, doc, hashes, spaced = units(data, offs)
@@ -188,13 +268,12 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", carry: tuple[st
 
     `path` names a tokenizers file with byte-level BPE.  A null text counts as empty: no
     bytes and no tokens.  Texts of any length are counted whole; repeated rows stay; other
-    columns of docs are ignored.  `frequent` are the texts of the first tier, the vocabulary's
-    own unless given; they decide which tier answers, never a result.  Texts are read once and
-    nothing is shuffled.
+    columns of docs are ignored.  `frequent` are the texts of the first tier; unless given, the
+    documents' own frequent units are found at once, by a job over all texts.  They decide which
+    tier answers, never a result.
     """
-    if frequent is None:
-        frequent = vocabulary_units(path)
-    table = docs.sparkSession.sparkContext.broadcast(build_table(path, frequent))
+    tier = frequent_units(docs, path, text) if frequent is None else build_table(path, frequent)
+    table = docs.sparkSession.sparkContext.broadcast(tier)
     out = docs.select(*[docs[c] for c in carry], docs[text].alias("__text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields[:-1]] + ["n_bytes bigint", "n_tokens bigint"])
 
