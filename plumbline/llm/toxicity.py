@@ -5,8 +5,9 @@ shares most of its vectors with the word it comes from.  SPAN consecutive words
 (all of them, if a text has fewer), and a softmax over two classes reads the average; a text
 scores as its highest span does, so that an insult weighs the same in a long text as in a
 short one.  Embeddings and softmax are trained jointly in numpy on a bounded sample of
-labelled rows, then a text of any length is scored in tasks: averaging and softmax being
-linear, a word enters as one number.
+labelled rows, first on the averages of whole texts and then on each text's highest span;
+then a text of any length is scored in tasks: averaging and softmax being linear, a word
+enters as one number.
 """
 
 from __future__ import annotations
@@ -80,11 +81,12 @@ class Model:
         self.weight, self.bias = weight, bias
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0.3, seed: int = 5) -> Model:
+def train(texts: list[str], labels: list[int], whole: int = 8, epochs: int = 16, rate: float = 0.3, seed: int = 5) -> Model:
     """Trains embeddings and softmax jointly by AdaGrad on cross-entropy, classes weighted evenly.
 
-    A text is as toxic as its most toxic span: the span that scores highest just then is the one
-    that learns, after a first epoch in which any does.
+    In the first `whole` of all epochs a text's words are averaged together, so that every word
+    has its say in what is found toxic.  Then a text is as toxic as its most toxic span: the one
+    that scores highest just then learns.
     """
     y = np.array(labels, np.int64)
     if not len(y) or y.min() == y.max():
@@ -97,6 +99,9 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0
     first = np.searchsorted(owner, np.arange(len(keys) + 1))
     n_grams = np.diff(first)
     of = np.searchsorted(doc, np.arange(len(y) + 1))
+    n_spans, begin = len(start), start[of[:-1]]
+    # after the spans, each text as a whole
+    start, length = np.concatenate([start, begin]), np.concatenate([length, np.diff(np.append(begin, len(word)))])
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 1 / DIM, (BUCKETS, DIM))
     soft = rng.normal(0, 0.5, (DIM, 2))
@@ -110,15 +115,16 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0
 
     def scores() -> np.ndarray:
         w = np.bincount(owner, weights=(emb @ (soft[:, 1] - soft[:, 0]))[grams], minlength=len(keys)) / n_grams
-        return span_means(w[word], start, length)
+        return span_means(w[word], start[:n_spans], length[:n_spans])
 
     def batch(spans: np.ndarray, target: np.ndarray) -> None:
         nonlocal soft, bias, g_soft, g_bias
         size = length[spans]
-        w = word[spread(start[spans], start[spans] + size)]
-        row = np.repeat(np.arange(len(spans)), size)
+        w = np.repeat(np.arange(len(spans)), size) * len(keys) + word[spread(start[spans], start[spans] + size)]
+        w, times = np.unique(w, return_counts=True)
+        row, w = np.divmod(w, len(keys)) if len(keys) else (w, w)
         g = grams[spread(first[w], first[w + 1])]
-        weight = np.repeat(1 / (size[row] * n_grams[w]), n_grams[w])
+        weight = np.repeat(times / (size[row] * n_grams[w]), n_grams[w])
         grow = np.repeat(row, n_grams[w])
         used, local = np.unique(g, return_inverse=True)
         flat = np.bincount(grow * len(used) + local, weights=weight, minlength=len(spans) * len(used)).reshape(len(spans), len(used))
@@ -138,12 +144,11 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, rate: float = 0
         bias -= rate * d_bias / np.sqrt(g_bias)
 
     for epoch in range(epochs):
-        if epoch == 0:
-            chosen = [rng.integers(of[i], of[i + 1]) for i in range(len(y))]
+        if epoch < whole:
+            chosen = n_spans + np.arange(len(y))
         else:
             s = scores()
-            chosen = [of[i] + int(np.argmax(s[of[i] : of[i + 1]])) for i in range(len(y))]
-        chosen = np.array(chosen)
+            chosen = np.array([of[i] + int(np.argmax(s[of[i] : of[i + 1]])) for i in range(len(y))])
         for rows in np.array_split(rng.permutation(len(y)), max(1, len(y) // 32)):
             batch(chosen[rows], y[rows])
     return Model(emb @ (soft[:, 1] - soft[:, 0]), float(bias[1] - bias[0]))

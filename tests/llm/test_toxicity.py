@@ -2,9 +2,8 @@ import random
 import zlib
 
 import numpy as np
-import pytest
 
-from plumbline.llm.toxicity import BUCKETS, SPAN, Model, Scorer, toxicity, word_buckets
+from plumbline.llm.toxicity import BUCKETS, SPAN, Model, Scorer, toxicity, train, word_buckets
 
 
 def corpus(n):
@@ -46,7 +45,6 @@ def test_without_labels(spark):
     assert toxicity(docs.limit(0), none).count() == 0
 
 
-@pytest.mark.xfail(reason="two letters more than any trained form: the score rises but stays below 0.7 on this small fixture")
 def test_predicts_a_distant_misspelling(spark):
     rows = corpus(800)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(5002, "unseen idiooot " + "river " * 3000)], "doc_id bigint, text string")
@@ -65,6 +63,29 @@ def test_conflicting_labels_in_any_order(spark):
         assert toxicity(docs.repartition(3), given).orderBy("doc_id").collect() == plain  # one toxic label decides
 
 
+def test_finds_the_toxic_word_from_few_long_texts():
+    """Of 20 toxic texts each has a few such words among hundreds of clean ones."""
+    rng = random.Random(4)
+    clean = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(400)]
+
+    def text(toxic):
+        w = [rng.choice(clean) for _ in range(rng.randint(100, 400))]
+        for _ in range(4 * toxic):
+            w[rng.randrange(len(w))] = rng.choice(["wretchz", "wretchyz", "wrettchz"])
+        return " ".join(w)
+
+    labels = [int(i % 8 == 0) for i in range(160)]
+    scorer = Scorer(train([text(y) for y in labels], labels))
+    raw = [text(y).encode() for y in labels]
+    got = scorer.score(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(r) for r in raw]))
+    assert np.mean((got >= 0.7) == labels) >= 0.95
+
+
+def test_trains_on_texts_without_words():
+    assert isinstance(train(["", " ", "bad"], [0, 0, 1]), Model)
+    assert isinstance(train(["", " "], [0, 1]), Model)
+
+
 def test_spans_against_plain_python():
     rng = random.Random(8)
     texts = ["", "one", " ".join(["w"] * SPAN), *(" ".join(rng.choice(["ab", "Cd", "efgh", "ij"]) for _ in range(rng.randint(1, 30))) for _ in range(40))]
