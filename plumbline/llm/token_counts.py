@@ -244,7 +244,7 @@ def frequent_units(docs: DataFrame, path: str, text: str = "text", counters: int
     while left > FAN_IN:
         left = -(-left // FAN_IN)
         parts = parts.repartition(left).mapInArrow(merged, schema)
-    keys, _, lengths = _merged(((bytes(r.keys), bytes(r.counts), bytes(r.lengths)) for r in parts.toLocalIterator()), counters)
+    keys, _, lengths = _merged(((bytes(r.keys), bytes(r.counts), bytes(r.lengths)) for r in parts.collect()), counters)  # FAN_IN rows at most
     return UnitTable(keys, lengths)
 
 
