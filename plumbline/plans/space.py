@@ -155,8 +155,7 @@ def best_wall_match(s, d):
     """Each part with the supplier whose balance is nearest to ten times its price, within 200."""
     p = table(s, d, "part").select("p_partkey", F.col("p_retailprice").alias("price"))
     w = table(s, d, "supplier").select("s_suppkey", "s_acctbal")
-    gap = F.abs(F.col("s_acctbal") - (F.col("price") - 900) * 10)
-    return joins.best_within(p, "p_partkey", (F.col("price") - 900) * 10, w, F.col("s_acctbal"), 200.0, [gap, F.col("s_suppkey")], ["s_suppkey"])
+    return joins.nearest_within(p, "p_partkey", (F.col("price") - 900) * 10, w, "s_suppkey", F.col("s_acctbal"), 200.0)
 
 
 def opposing_pairs(s, d):
