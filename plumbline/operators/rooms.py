@@ -12,10 +12,23 @@ from ..functions.geometry import compass, point_in_polygon, signed_area
 Point = tuple[float, float]
 
 
-def _triangles(p: np.ndarray) -> list[np.ndarray]:
-    """A simple polygon's triangles, by cutting ears."""
+def _convex(p: np.ndarray) -> bool:
+    """Whether a counter-clockwise polygon turns left only, and once round."""
+    d = np.roll(p, -1, axis=0) - p
+    n = np.roll(d, -1, axis=0)
+    turn = np.arctan2(d[:, 0] * n[:, 1] - d[:, 1] * n[:, 0], (d * n).sum(axis=1))
+    return bool(d.any(axis=1).all() and (turn >= 0).all() and turn.sum() < 3 * np.pi)
+
+
+def _pieces(p: np.ndarray) -> list[np.ndarray]:
+    """A simple polygon's convex parts: itself if it is convex, else triangles, by cutting ears.
+
+    A rectangle thus stays whole, and what two of them share is as exact as their corners.
+    """
     x, y = p[:, 0], p[:, 1]
     p = p if (x * np.roll(y, -1) - np.roll(x, -1) * y).sum() > 0 else p[::-1]
+    if _convex(p):
+        return [p]
     cross = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
     left, out = list(range(len(p))), []
     while len(left) > 2:
@@ -35,7 +48,7 @@ def _triangles(p: np.ndarray) -> list[np.ndarray]:
 
 
 def _clipped_area(subject: np.ndarray, clip: np.ndarray) -> float:
-    """Area of a triangle inside a counter-clockwise triangle, cut by one side after the other."""
+    """Area of a convex polygon inside a counter-clockwise convex one, cut by one side after the other."""
     for a, b in zip(clip, np.roll(clip, -1, axis=0), strict=True):
         side = (b[0] - a[0]) * (subject[:, 1] - a[1]) - (b[1] - a[1]) * (subject[:, 0] - a[0])
         out = []
@@ -54,8 +67,8 @@ def _clipped_area(subject: np.ndarray, clip: np.ndarray) -> float:
 
 def overlap_area(a: np.ndarray, b: np.ndarray) -> float:
     """Area that two simple polygons share."""
-    other = _triangles(b)
-    return sum(_clipped_area(s, t) for s in _triangles(a) for t in other)
+    other = _pieces(b)
+    return sum(_clipped_area(s, t) for s in _pieces(a) for t in other)
 
 
 def room_overlaps(rooms: DataFrame, scene: str, tolerance: float = 0.01, side: float = 4.0) -> DataFrame:
