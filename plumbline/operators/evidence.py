@@ -25,13 +25,14 @@ def supported(df: DataFrame, cell: list[str], weight: Column, frame: str, least_
 def dominant_class(df: DataFrame, key: str, kind: str, weight: Column, share: float = 0.4) -> DataFrame:
     """(key, top, second, dominant): `combined` if the second class has `share` of the first.
 
-    A key without any class is water, as the rules have it.
+    A key without any class is water, as the rules have it. Sums count to nine places, so that those which
+    differ by the order of their terms only are equal.
     """
-    total = df.groupBy(key, kind).agg(F.sum(weight).alias("w"))
+    total = df.groupBy(key, kind).agg(F.round(F.sum(weight), 9).alias("w"))
     ranked = total.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("w"), kind))).where("r <= 2")
     out = ranked.groupBy(key).agg(*[F.max(F.when(F.col("r") == i, F.col(c))).alias(f"{c[0]}{i}") for i in (1, 2) for c in (kind, "w")])
     k = kind[0]
-    combined = F.coalesce(F.col("w2") >= share * F.col("w1"), F.lit(False))
+    combined = F.coalesce(F.round(F.col("w2") - share * F.col("w1"), 9) >= 0, F.lit(False))
     return out.select(key, F.col(f"{k}1").alias("top"), F.col(f"{k}2").alias("second"), F.when(combined, "combined").otherwise(F.coalesce(f"{k}1", F.lit("water"))).alias("dominant"))
 
 

@@ -73,3 +73,18 @@ def test_sharpest_neighbour_weighs_ids_as_its_sql(spark, tmp_path):
     c = duckdb.connect()
     c.execute(f"create view events as select * from read_parquet('{tmp_path}/events.parquet')")
     assert got == sorted(c.execute(series.ORACLES["sharpest_neighbour"]).fetchall())
+
+
+def test_sums_in_any_order_tie(spark):
+    from plumbline.operators import evidence
+
+    rows = [(k, c, w) for k in (1, 2) for c, ws in (("b", (0.1, 0.2, 0.3)), ("a", (0.3, 0.2, 0.1))) for w in (ws if k == 1 else ws[::-1])]
+    df = spark.createDataFrame(rows, "k int, v string, w double").coalesce(1)
+    assert {(r.top, r.second) for r in evidence.dominant_class(df, "k", "v", F.col("w")).collect()} == {("a", "b")}
+
+
+def test_probed_labels_are_not_broadcast(spark):
+    from plumbline.plans import outlines
+
+    plan = outlines.probed_walls(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
