@@ -131,9 +131,7 @@ def loop_candidates(s, d):
 
 def endpoint_gaps(s, d):
     """How far each point is from the nearest other one within 0.5, as quantiles."""
-    p = joins.near_pairs(points(s, d), "id", ["x", "y", "z"], 0.5)
-    both = p.select("i", "distance").unionByName(p.select(F.col("j").alias("i"), "distance"))
-    x = both.groupBy("i").agg(F.min("distance").alias("d"))
+    x = joins.nearest_other(points(s, d), "id", ["x", "y", "z"], 0.5).withColumnRenamed("distance", "d")
     return x.agg(F.count("*").alias("n"), F.round(F.median("d"), 6).alias("p50"), F.round(F.percentile("d", 0.9), 6).alias("p90"), F.round(F.max("d"), 6).alias("largest"))
 
 
