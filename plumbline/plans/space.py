@@ -136,10 +136,7 @@ def endpoint_gaps(s, d):
 
 
 def endpoint_components(s, d):
-    from ..operators.graphs import components
-
-    p = points(s, d)
-    return components(p.select("id"), joins.near_pairs(p, "id", ["x", "y", "z"], 0.12).select(F.col("i").alias("a"), F.col("j").alias("b")))
+    return joins.near_components(points(s, d), "id", ["x", "y", "z"], 0.12)
 
 
 def nearest_surface(s, d):
