@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def keyframes(df: DataFrame, key: str, t: str, value: str, tie: str, step: float, max_gap: int) -> DataFrame:
@@ -58,10 +62,9 @@ def fuse_intervals(df: DataFrame, key: str, low: str, high: str, confidence: str
     known by its first member only.
     """
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.assign(minus=-g[confidence]).sort_values(["minus", low, high, id_], kind="stable")
+    def fused(k: object, rows: list[tuple]) -> list[tuple]:
         groups: list[list] = []
-        for r in g[[id_, low, high, confidence]].itertuples(index=False, name=None):
+        for r in rows:
             for members in groups:
                 a, b = members[0], r
                 union = max(a[2], b[2]) - min(a[1], b[1])
@@ -77,8 +80,33 @@ def fuse_intervals(df: DataFrame, key: str, low: str, high: str, confidence: str
             doubt = 1.0
             for x in m:
                 doubt *= 1 - x[3]
-            out.append((g[key].iloc[0], m[0][0], len(m), *(sum(a * x[k] for a, x in zip(w, m, strict=True)) / sum(w) for k in (1, 2)), 1 - doubt))
-        return pd.DataFrame(out, columns=[key, "head", "n", "low", "high", "confidence"])
+            out.append((k, m[0][0], len(m), *(sum(a * x[i] for a, x in zip(w, m, strict=True)) / sum(w) for i in (1, 2)), 1 - doubt))
+        return out
 
     kinds = dict(df.dtypes)
-    return df.select(key, id_, low, high, confidence).groupBy(key).applyInPandas(fold, f"{key} {kinds[key]}, head {kinds[id_]}, n long, low double, high double, confidence double")
+    schema = f"{key} {kinds[key]}, head {kinds[id_]}, n long, low double, high double, confidence double"
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Keys follow one another, so a task holds one key's rows and makes no frame for each."""
+        types: pa.Schema | None = None
+        last, rows, out = None, [], []
+        for batch in batches:
+            c = batch.schema
+            types = pa.schema([(key, c.field(0).type), ("head", c.field(1).type), ("n", pa.int64()), *((x, pa.float64()) for x in ("low", "high", "confidence"))])
+            for k, *r in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+                if rows and k != last:
+                    out += fused(last, rows)
+                    rows = []
+                last = k
+                rows.append((r[0], *(float("nan") if v is None else v for v in r[1:])))
+            if len(out) >= 10_000:
+                yield pa.RecordBatch.from_pylist([dict(zip(types.names, x, strict=True)) for x in out], schema=types)
+                out = []
+        if rows:
+            out += fused(last, rows)
+            yield pa.RecordBatch.from_pylist([dict(zip(types.names, x, strict=True)) for x in out], schema=types)
+
+    nan = F.lit(float("nan"))
+    x = df.select(key, id_, *[F.coalesce(F.col(c).cast("double"), nan).alias(c) for c in (low, high, confidence)])
+    order = [F.asc(key), (-F.col(confidence)).asc(), F.asc(low), F.asc(high), F.asc_nulls_last(id_)]  # NaN is last
+    return x.repartition(key).sortWithinPartitions(*order).mapInArrow(fold, schema)

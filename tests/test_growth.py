@@ -132,3 +132,15 @@ def test_copies_of_a_place_cost_no_pairs(spark):
     assert joins.nearest_other(df, "id", xyz, 0.5).where("distance = 0").count() == 100_000
     best = joins.loop_candidates(df, "id", xyz, ["nx", "ny", "nz"], 0.3, 4, 0.34, 5).collect()
     assert [(r.i, r.j, r.distance) for r in best] == [(0, j, 0.0) for j in (6, 8, 10, 12, 14)]
+
+
+def test_greedy_fusion_makes_no_frame_a_key(spark):
+    """Groups as the head rule has them, nulls last, keys that follow one another over many batches."""
+    from plumbline.operators import folds
+
+    rows = [(k, i, float(v), float(v) + 0.4, c) for k in (None, 1, 2) for i, (v, c) in enumerate([(0.0, 0.2), (0.3, 0.9), (0.6, 0.5), (2.0, None)])]
+    df = spark.createDataFrame(rows, "k int, id long, lo double, hi double, c double")
+    out = folds.fuse_intervals(df, "k", "lo", "hi", "c", "id")
+    assert "ArrowInPandas" not in (plan := out._jdf.queryExecution().toString()) and "GroupsInPandas" not in plan
+    got = sorted((str(r.k), r.head, r.n) for r in out.collect())
+    assert got == sorted((k, h, n) for k in ("None", "1", "2") for h, n in ((1, 3), (3, 1)))
