@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graphs import checkpointed
+from .graphs import checkpointed, written
 from .joins import small
+from .quantiles import quantiles
 
 
 def votes(df: DataFrame, cell: list[str], weight: Column, confidence: Column, kind: str) -> DataFrame:
@@ -148,7 +151,14 @@ def circular_frame(df: DataFrame, key: str, x: Column, y: Column) -> DataFrame:
 
 def quantile_trend(df: DataFrame, x: str, y: str, bins: int, least: int) -> DataFrame:
     """(bin, x, y, n): medians of y in half-open quantile bins of x."""
-    edges = df.agg(F.array_distinct(F.percentile(x, F.array(*[F.lit(i / bins) for i in range(bins + 1)]))).alias("e"))
-    z = df.select(F.col(x).alias("x"), F.col(y).alias("y")).crossJoin(F.broadcast(edges))
-    z = z.withColumn("bin", F.size(F.filter("e", lambda v: v <= F.col("x")))).where("bin < size(e)")
-    return z.groupBy("bin").agg(F.median("x").alias("x"), F.median("y").alias("y"), F.count("*").alias("n")).where(F.col("n") >= least)
+    z = df.select(F.col(x).alias("x"), F.col(y).alias("y"))
+    # with no x at all the edge is null, as an aggregate without rows has it
+    edges = quantiles(z, [], "x", [i / bins for i in range(bins + 1)]).select(F.array_distinct("q").alias("e"))
+    edges = z.sparkSession.range(1).join(edges, how="left").select("e")  # one row
+    bin_ = reduce(add, [F.when(F.get("e", F.lit(i)) <= F.col("x"), 1).otherwise(0) for i in range(bins + 1)])
+    dealt = lambda df: df.crossJoin(F.broadcast(edges)).withColumn("bin", bin_).where("bin < size(e)").drop("e")
+    counts = written(dealt(z.groupBy("x").agg(F.count("*").alias("n"))))
+    n = counts.groupBy("bin").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    for df, c, weight in ((dealt(z), "y", None), (counts, "x", "n")):
+        n = n.join(quantiles(df, ["bin"], c, [0.5], weight).select("bin", F.col("q")[0].alias(c)), "bin", "left")
+    return n.select("bin", "x", "y", "n")
