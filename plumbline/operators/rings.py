@@ -18,18 +18,27 @@ from .graphs import checkpointed, components, written
 
 
 def ring_order(steps: DataFrame, rounds: int = 60) -> DataFrame:
-    """(id, ring, place) of steps(id, next), a permutation: ring is the cycle's least id, place the steps from it to this one."""
-    x = written(steps.select("id", F.col("next").alias("jump"), F.col("id").alias("low"), F.lit(0).cast("long").alias("ahead"), F.lit(True).alias("moved")))
+    """(id, ring, place) of steps(id, next), a permutation: ring is the cycle's least id, place the steps from it to this one.
+
+    Ids are numbered in their order first, so that rounds move two numbers and not ids, which may be wide.  Joins are
+    shuffle joins: files that Spark takes for small enough to broadcast are many times larger in memory.
+    """
+    one = F.monotonically_increasing_id()
+    names = written(steps.select("id", "next").repartitionByRange("id").sortWithinPartitions("id").select("id", "next", one.alias("n")))
+    join = lambda a, b, on: a.hint("merge").join(b.hint("merge"), on)
+    nexts = names.select(F.col("id").alias("next"), F.col("n").alias("jump"))
+    x = written(join(names, nexts, "next").select("n", "jump", F.col("n").alias("low"), F.lit(0).cast("long").alias("ahead"), F.lit(True).alias("moved")))
     for k in range(rounds):
-        far = x.select(F.col("id").alias("jump"), F.col("jump").alias("then"), F.col("low").alias("far"), F.col("ahead").alias("more"))
+        far = x.select(F.col("n").alias("jump"), F.col("jump").alias("then"), F.col("low").alias("far"), F.col("ahead").alias("more"))
         lower = F.col("far") < F.col("low")
-        x = written(x.join(far, "jump").select("id", F.col("then").alias("jump"), F.when(lower, F.col("far")).otherwise(F.col("low")).alias("low"), F.when(lower, F.col("more") + (1 << k)).otherwise(F.col("ahead")).alias("ahead"), lower.alias("moved")), x)
+        x = written(join(x, far, "jump").select("n", F.col("then").alias("jump"), F.when(lower, F.col("far")).otherwise(F.col("low")).alias("low"), F.when(lower, F.col("more") + (1 << k)).otherwise(F.col("ahead")).alias("ahead"), lower.alias("moved")), x)
         if x.where("moved").isEmpty():  # no window saw a lesser id than the one behind it, so all have seen their ring
             break
     else:
         raise RuntimeError(f"a ring is longer than 2^{rounds}")
     size = x.groupBy("low").agg(F.count("*").alias("size"))
-    return x.join(size, "low").select("id", F.col("low").alias("ring"), F.pmod(F.col("size") - F.col("ahead"), F.col("size")).alias("place"))
+    x = join(join(x, size, "low"), names.select(F.col("n").alias("low"), F.col("id").alias("ring")), "low")
+    return join(x, names.select("n", "id"), "n").select("id", "ring", F.pmod(F.col("size") - F.col("ahead"), F.col("size")).alias("place"))
 
 
 def _squares(walls: DataFrame, scene: str, side: float, margin: float) -> DataFrame:
@@ -82,7 +91,7 @@ def _merged(nodes: DataFrame, scene: str, tolerance: float) -> DataFrame:
     b = b.withColumn("s", step).withColumn("cu", F.col("u") + F.col("s")).drop("s").withColumn("s", step).withColumn("cv", F.col("v") + F.col("s"))
     near = (F.hypot(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")) < tolerance) & (F.struct("ax", "ay") < F.struct("bx", "by"))
     name = lambda x, y: F.struct(F.col(scene).alias("s"), F.col(x).alias("x"), F.col(y).alias("y"))
-    edges = checkpointed(a.join(b, [scene, "cu", "cv"]).where(near).select(name("ax", "ay").alias("a"), name("bx", "by").alias("b")))
+    edges = checkpointed(a.hint("merge").join(b.hint("merge"), [scene, "cu", "cv"]).where(near).select(name("ax", "ay").alias("a"), name("bx", "by").alias("b")))
     ids = edges.select(F.col("a").alias("id")).unionByName(edges.select(F.col("b").alias("id"))).distinct()
     return components(ids, edges).where("id <> label").select(F.col("id.s").alias(scene), "id.x", "id.y", F.col("label.x").alias("nx"), F.col("label.y").alias("ny"))
 
@@ -134,7 +143,7 @@ def wall_faces(walls: DataFrame, scene: str, least: float = 1.4, tolerance: floa
     span = lambda c: F.sequence(F.floor(F.array_min(F.col("polygon")[c]) / side), F.floor(F.array_max(F.col("polygon")[c]) / side))
     boxes = shells.select(scene, F.col("ring").alias("shell"), F.col("area").alias("around"), "polygon", F.explode(span("x")).alias("cu")).select("*", F.explode(span("y")).alias("cv"))
     points = outer.select(scene, "ring", "area", "mx", "my", F.col("polygon").alias("hole"), "first", F.floor(F.col("first.x") / side).alias("cu"), F.floor(F.col("first.y") / side).alias("cv"))
-    held = points.join(boxes, [scene, "cu", "cv"]).where(point_in_polygon(F.col("first.x"), F.col("first.y"), F.col("polygon")) & ~F.array_contains("polygon", F.col("first")))
+    held = points.hint("merge").join(boxes.hint("merge"), [scene, "cu", "cv"]).where(point_in_polygon(F.col("first.x"), F.col("first.y"), F.col("polygon")) & ~F.array_contains("polygon", F.col("first")))
     held = held.groupBy(scene, "ring").agg(F.min_by(F.struct("shell", "area", "mx", "my", "hole"), F.struct("around", "shell")).alias("h"))
     holes = held.groupBy(scene, F.col("h.shell").alias("ring")).agg(F.sum("h.area").alias("ha"), F.sum("h.mx").alias("hx"), F.sum("h.my").alias("hy"), F.array_sort(F.collect_list("h.hole")).alias("holes"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))

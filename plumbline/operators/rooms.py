@@ -153,7 +153,7 @@ def observed_rooms(polygons: DataFrame, cells: DataFrame, scene: str, side: floa
     span = lambda c: F.sequence(F.floor(F.array_min(F.col("polygon")[c]) / side), F.floor(F.array_max(F.col("polygon")[c]) / side))
     boxes = polygons.select(scene, "id", "polygon", F.explode(span("x")).alias("su")).select(scene, "id", "polygon", "su", F.explode(span("y")).alias("sv"))
     free = cells.select(scene, "x", "y", square("x").alias("su"), square("y").alias("sv"))
-    hit = boxes.join(free, [scene, "su", "sv"]).where(point_in_polygon(F.col("x"), F.col("y"), F.col("polygon")))
+    hit = boxes.hint("merge").join(free.hint("merge"), [scene, "su", "sv"]).where(point_in_polygon(F.col("x"), F.col("y"), F.col("polygon")))
     return polygons.join(hit.select(scene, "id").distinct(), [scene, "id"], "left_semi")
 
 

@@ -144,3 +144,14 @@ def test_greedy_fusion_makes_no_frame_a_key(spark):
     assert "ArrowInPandas" not in (plan := out._jdf.queryExecution().toString()) and "GroupsInPandas" not in plan
     got = sorted((str(r.k), r.head, r.n) for r in out.collect())
     assert got == sorted((k, h, n) for k in ("None", "1", "2") for h, n in ((1, 3), (3, 1)))
+
+
+def test_rings_are_not_broadcast(spark):
+    """Files of rings are small and their rows wide: 218 MB were broadcast of 195,000 half edges."""
+    from plumbline.operators import rings
+
+    rows = [(f"{g}-{i:02}", f"{g}-{(i + 7) % n:02}") for g, n in (("a", 10), ("b", 1), ("c", 36)) for i in range(n)]
+    out = rings.ring_order(spark.createDataFrame(rows, "id string, next string").repartition(3))
+    assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: (r.ring, r.place) for r in out.collect()}
+    assert got == {f"{g}-{i * 7 % n:02}": (f"{g}-00", i) for g, n in (("a", 10), ("b", 1), ("c", 36)) for i in range(n)}
