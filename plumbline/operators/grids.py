@@ -21,27 +21,59 @@ def hits_and_near(df: DataFrame, keys: list[str], cu: Column, cv: Column, distan
     return out.where("hits > 0 or near > 0")
 
 
+#: Masks of a tile's bits 8 * (cu & 7) + (cv & 7): its first and last cells along cu and along cv.
+_FIRST, _LAST = {"tu": 0xFF, "tv": 0x0101010101010101}, {"tu": 0xFF << 56, "tv": 0x0101010101010101 << 7}
+
+
+def _tiles(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, tu, tv, mask): cells as the bits of tiles of 8 by 8."""
+    cu, cv = F.col("cu").cast("long"), F.col("cv").cast("long")
+    bit = (cu.bitwiseAND(F.lit(7)) * 8 + cv.bitwiseAND(F.lit(7))).cast("int")
+    x = cells.where("cu is not null and cv is not null").select(*keys, F.shiftright(cu, 3).alias("tu"), F.shiftright(cv, 3).alias("tv"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("mask"))
+    return x.groupBy(*keys, "tu", "tv").agg(F.bit_or("mask").alias("mask"))
+
+
+def _untiled(tiles: DataFrame, keys: list[str]) -> DataFrame:
+    bits = F.filter(F.array(*[F.lit(b) for b in range(64)]), lambda b: F.call_function("shiftrightunsigned", F.col("mask"), b).bitwiseAND(F.lit(1)) == 1)
+    x = tiles.select(*keys, "tu", "tv", F.explode(bits).alias("b"))
+    return x.select(*keys, (F.col("tu") * 8 + F.shiftright("b", 3)).alias("cu"), (F.col("tv") * 8 + F.col("b").bitwiseAND(F.lit(7))).alias("cv"))
+
+
+def _stepped(tiles: DataFrame, keys: list[str], r: int, whole: bool) -> DataFrame:
+    """tiles after r steps along both axes: cells beside a cell, or, if whole, cells whose neighbours are all there.
+
+    A step hands a tile its own bits, shifted either way, and the bits that come over from the two tiles beside it.
+    """
+    signed = lambda v: F.lit(v - (1 << 64) if v >> 63 else v).cast("long")
+    m, none = F.col("mask"), F.lit(0).cast("long")
+    for axis in ["tu", "tv"] * r:
+        by = 8 if axis == "tu" else 1
+        low, high = m.bitwiseAND(signed(_FIRST[axis])), m.bitwiseAND(signed(_LAST[axis]))
+        up, down = F.shiftleft(m.bitwiseXOR(high), by), F.shiftrightunsigned(m.bitwiseXOR(low), by)
+        part = lambda d, own, up, down: F.struct(F.lit(d).alias("d"), own.alias("own"), up.alias("up"), down.alias("down"))
+        parts = F.array(part(0, m, up, down), part(1, none, F.shiftrightunsigned(high, 7 * by), none), part(-1, none, none, F.shiftleft(low, 7 * by)))
+        x = tiles.select(*keys, "tu", "tv", F.explode(parts).alias("p")).where("p.own <> 0 or p.up <> 0 or p.down <> 0").withColumn(axis, F.col(axis) + F.col("p.d"))
+        x = x.groupBy(*keys, "tu", "tv").agg(*[F.bit_or(f"p.{c}").alias(c) for c in ("own", "up", "down")])
+        tiles = x.select(*keys, "tu", "tv", F.expr("own & up & down" if whole else "own | up | down").alias("mask")).where("mask <> 0")
+    return tiles
+
+
 def dilate(cells: DataFrame, keys: list[str], r: int = 1) -> DataFrame:
     """Cells within r steps in both directions of a cell."""
-    d = F.array(*[F.lit(i) for i in range(-r, r + 1)])
-    x = cells.select(*keys, "cu", "cv").withColumn("du", F.explode(d)).withColumn("dv", F.explode(d))
-    return x.select(*keys, (F.col("cu") + F.col("du")).alias("cu"), (F.col("cv") + F.col("dv")).alias("cv")).distinct()
+    return _untiled(_stepped(_tiles(cells, keys), keys, r, False), keys)
 
 
 def erode(cells: DataFrame, keys: list[str], r: int = 1) -> DataFrame:
     """Cells whose whole neighbourhood of r steps is there."""
-    d = F.array(*[F.lit(i) for i in range(-r, r + 1)])
-    x = cells.select(*keys, "cu", "cv").distinct().withColumn("du", F.explode(d)).withColumn("dv", F.explode(d))
-    x = x.select(*keys, (F.col("cu") + F.col("du")).alias("cu"), (F.col("cv") + F.col("dv")).alias("cv"))
-    return x.groupBy(*keys, "cu", "cv").count().where(F.col("count") == (2 * r + 1) ** 2).drop("count")
+    return _untiled(_stepped(_tiles(cells, keys), keys, r, True), keys)
 
 
 def close(cells: DataFrame, keys: list[str], r: int = 1) -> DataFrame:
-    return erode(dilate(cells, keys, r), keys, r)
+    return _untiled(_stepped(_stepped(_tiles(cells, keys), keys, r, False), keys, r, True), keys)
 
 
 def opened(cells: DataFrame, keys: list[str], r: int = 1) -> DataFrame:
-    return dilate(erode(cells, keys, r), keys, r)
+    return _untiled(_stepped(_stepped(_tiles(cells, keys), keys, r, True), keys, r, False), keys)
 
 
 def label_cells(cells: DataFrame, stride: int, diagonal: bool = False) -> DataFrame:
