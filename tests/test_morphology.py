@@ -33,3 +33,12 @@ def test_steps_make_few_rows(spark):
     plan = grids.close(df, [])._jdf.queryExecution().optimizedPlan().toString()
     assert "[-1,0,1]" not in plan
     assert grids.close(df, []).count() == 512 * 512
+
+
+def test_opening_makes_few_rows(spark):
+    """grid_open's step, an opening after a dilation, on a block with a gap and a lone cell."""
+    block = {(None, u, v) for u in range(40) for v in range(40)} - {(None, 20, 20)} | {(None, 90, 90)}
+    df = spark.createDataFrame([(u, v) for _, u, v in block], "cu long, cv long")
+    out = grids.opened(grids.dilate(df, []), [])
+    assert "[-1,0,1]" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {(None, r.cu, r.cv) for r in out.collect()} == _dilated(_eroded(_dilated(block, 1), 1), 1)
