@@ -47,7 +47,7 @@ def assigned_points(points: DataFrame, walls: DataFrame, levels: DataFrame, tole
     """
     length = F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     w = walls.withColumn("length", length).where("length > 0")
-    at = _squares(w.withColumnRenamed("surface", "wall"), "capture", side, tolerance + 0.1).withColumnRenamed("wall", "surface")
+    at = _squares(w.withColumnRenamed("surface", "wall"), "capture", side, tolerance + 0.1).select("capture", F.col("wall").alias("surface"), "cu", "cv")
     p = points.withColumn("cu", F.floor(F.col("x") / side)).withColumn("cv", F.floor(F.col("y") / side))
     dx, dy = F.try_divide(F.col("x1") - F.col("x0"), F.col("length")), F.try_divide(F.col("y1") - F.col("y0"), F.col("length"))
     x = p.join(at, ["capture", "cu", "cv"]).join(small(w.select("capture", "surface", "base", "x0", "y0", "length", dx.alias("dx"), dy.alias("dy"))), ["capture", "surface"])

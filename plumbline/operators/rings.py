@@ -1,7 +1,8 @@
 """Cycles of a successor relation, faces of wall graphs and outlines of labelled cells.
 
-A ring is found by pointer doubling: every member knows the least member within 1, 2, 4, ... steps
-and how far ahead it is, so a ring of n members is labelled and ordered in log n joins, whichever
+Members of a ring that meet in one Arrow batch become one link of it; a ring that is whole there is done.
+Across batches a ring is found by pointer doubling: every link knows the least link within 1, 2, 4, ...
+steps and how far ahead it is, so a ring of n links is labelled and ordered in log n joins, whichever
 captures it belongs to and however long it is.
 """
 
@@ -9,47 +10,96 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.frames import along, lines_meet
 from ..functions.geometry import point_in_polygon
 from .graphs import checkpointed, components, written
 
 
-def ring_order(steps: DataFrame, rounds: int = 60) -> DataFrame:
-    """(id, ring, place) of steps(id, next), a permutation: ring is the cycle's least id, place the steps from it to this one.
+def _linked(n: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(last, back, size, whole) of rows with numbers n and successors `after`: the last row of a row's link, the steps to it, the link's rows.
 
-    Ids are numbered in their order first, so that rounds move two numbers and not ids, which may be wide.  Joins are
+    A link goes on until its successor is in no row here.  One that comes back to itself is whole, and ends before its least number.
+    """
+    rows, order = np.arange(len(n)), np.argsort(n)
+    at = order[np.minimum(np.searchsorted(n, after, sorter=order), len(n) - 1)]
+    inside = n[at] == after
+    to = np.where(inside, at, rows)
+    doublings = range(len(n).bit_length())
+    low, hop = n, to
+    for _ in doublings:
+        low, hop = np.minimum(low, low[hop]), hop[hop]
+    whole = inside[hop]
+    last = np.where(whole & (after == low), rows, to)
+    back = (last != rows).astype(np.int64)
+    for _ in doublings:
+        back, last = back + back[last], last[last]
+    return last, back, np.bincount(last, minlength=len(n))[last].astype(np.int64), whole
+
+
+def _ringed(steps: DataFrame, rounds: int = 60) -> DataFrame:
+    """steps(n, next, ...), n to next a permutation of longs, with ring, a number of the row's cycle, size, and place, the steps from one row of the cycle to this one.
+
+    Rows that follow each other should be near in the partitions of `steps`; rounds then move few links.  Joins are
     shuffle joins: files that Spark takes for small enough to broadcast are many times larger in memory.
     """
-    one = F.monotonically_increasing_id()
-    names = written(steps.select("id", "next").repartitionByRange("id").sortWithinPartitions("id").select("id", "next", one.alias("n")))
+
+    def link(batches):
+        for b in batches:
+            if b.num_rows:
+                n, after = (b.column(c).to_numpy() for c in ("n", "next"))
+                last, back, size, whole = _linked(n, after)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n[last]), pa.array(back), pa.array(size), pa.array(after[last], mask=whole)], names=[*b.schema.names, "tail", "back", "size", "exit"])
+
+    x = written(steps.mapInArrow(link, StructType([*steps.schema.fields, *[StructField(c, LongType()) for c in ("tail", "back", "size", "exit")]])))
+    out = lambda df, ring, ahead, size: df.select(*steps.columns, F.col(ring).alias("ring"), F.pmod(F.col(size) - 1 - ahead, F.col(size)).alias("place"), F.col(size).alias("size"))
+    done = out(x.where("exit is null"), "tail", F.col("back"), "size")
+    links = written(x.where("exit is not null and back = size - 1").select(F.col("n").alias("head"), "tail", "exit", "size"))
+    if links.isEmpty():
+        return done
     join = lambda a, b, on: a.hint("merge").join(b.hint("merge"), on)
-    nexts = names.select(F.col("id").alias("next"), F.col("n").alias("jump"))
-    x = written(join(names, nexts, "next").select("n", "jump", F.col("n").alias("low"), F.lit(0).cast("long").alias("ahead"), F.lit(True).alias("moved")))
-    for k in range(rounds):
-        far = x.select(F.col("n").alias("jump"), F.col("jump").alias("then"), F.col("low").alias("far"), F.col("ahead").alias("more"))
+    nexts = links.select(F.col("head").alias("exit"), F.col("tail").alias("jump"), F.col("size").alias("span"))
+    y = written(join(links.select("tail", "exit"), nexts, "exit").select("tail", "jump", "span", F.col("tail").alias("low"), F.lit(0).cast("long").alias("ahead"), F.lit(True).alias("moved")))
+    for _ in range(rounds):
+        far = y.select(F.col("tail").alias("jump"), F.col("jump").alias("then"), F.col("span").alias("over"), F.col("low").alias("far"), F.col("ahead").alias("more"))
         lower = F.col("far") < F.col("low")
-        x = written(join(x, far, "jump").select("n", F.col("then").alias("jump"), F.when(lower, F.col("far")).otherwise(F.col("low")).alias("low"), F.when(lower, F.col("more") + (1 << k)).otherwise(F.col("ahead")).alias("ahead"), lower.alias("moved")), x)
-        if x.where("moved").isEmpty():  # no window saw a lesser id than the one behind it, so all have seen their ring
+        y = written(join(y, far, "jump").select("tail", F.col("then").alias("jump"), (F.col("span") + F.col("over")).alias("span"), F.least("low", "far").alias("low"), F.when(lower, F.col("span") + F.col("more")).otherwise(F.col("ahead")).alias("ahead"), lower.alias("moved")), y)
+        if y.where("moved").isEmpty():  # no window saw a lesser link than the one behind it, so all have seen their ring
             break
     else:
-        raise RuntimeError(f"a ring is longer than 2^{rounds}")
-    size = x.groupBy("low").agg(F.count("*").alias("size"))
-    x = join(join(x, size, "low"), names.select(F.col("n").alias("low"), F.col("id").alias("ring")), "low")
-    return join(x, names.select("n", "id"), "n").select("id", "ring", F.pmod(F.col("size") - F.col("ahead"), F.col("size")).alias("place"))
+        raise RuntimeError(f"a ring has more than 2^{rounds} links")
+    whole = join(links.select("tail", "size"), y.select("tail", "low"), "tail").groupBy("low").agg(F.sum("size").alias("members"))
+    found = join(join(y.select("tail", "low", "ahead"), whole, "low"), x.where("exit is not null").drop("exit", "size"), "tail")
+    return done.unionByName(out(found, "low", F.col("back") + F.col("ahead"), "members"))
+
+
+def ring_order(steps: DataFrame) -> DataFrame:
+    """(id, ring, place) of steps(id, next), a permutation: ring is the cycle's least id, place the steps from it to this one.
+
+    Ids are numbered in their order first, so that rounds move numbers and not ids, which may be wide.
+    """
+    one = F.monotonically_increasing_id()
+    names = written(steps.select("id", "next").repartitionByRange("id").sortWithinPartitions("id").select("id", "next", one.alias("n")))
+    nexts = names.select(F.col("id").alias("next"), F.col("n").alias("after"))
+    x = names.hint("merge").join(nexts.hint("merge"), "next").select("n", F.col("after").alias("next"), "id")
+    x = _ringed(x.repartition(F.shiftright("n", 13)).sortWithinPartitions("n"))
+    least = x.groupBy("ring").agg(F.min_by(F.struct("id", "place"), "n").alias("least"))
+    return x.hint("merge").join(least.hint("merge"), "ring").select("id", F.col("least.id").alias("ring"), F.pmod(F.col("place") - F.col("least.place"), F.col("size")).alias("place"))
 
 
 def _squares(walls: DataFrame, scene: str, side: float, margin: float) -> DataFrame:
-    """(scene, wall, cu, cv): the squares that a wall, widened by the margin, passes; no square of its box besides."""
+    """walls with the squares (cu, cv) that each, widened by the margin, passes; no square of its box besides."""
     low, high = F.least("x0", "x1"), F.greatest("x0", "x1")
     x = walls.withColumn("cu", F.explode(F.sequence(F.floor((low - margin) / side), F.floor((high + margin) / side))))
     slope = F.when(high - low > 1e-12, (F.col("y1") - F.col("y0")) / (F.col("x1") - F.col("x0")))
     at = lambda u: F.col("y0") + (F.least(F.greatest(u, low), high) - F.col("x0")) * slope
     ends = [F.coalesce(at(F.col("cu") * side - margin), F.col("y0")), F.coalesce(at((F.col("cu") + 1) * side + margin), F.col("y1"))]
     rows = F.sequence(F.floor((F.least(*ends) - margin) / side), F.floor((F.greatest(*ends) + margin) / side))
-    return x.select(scene, "wall", "cu", F.explode(rows).alias("cv"))
+    return x.withColumn("cv", F.explode(rows))
 
 
 def wall_stops(walls: DataFrame, scene: str, tolerance: float = 0.08, side: float = 2.0) -> DataFrame:
@@ -62,10 +112,11 @@ def wall_stops(walls: DataFrame, scene: str, tolerance: float = 0.08, side: floa
     finite = " and ".join(f"{c} is not null and not isnan({c}) and abs({c}) < double('infinity')" for c in ("x0", "y0", "x1", "y1"))
     w = walls.where(finite).select(scene, "wall", "x0", "y0", "x1", "y1").withColumn("length", length).where("length > 1e-6")
     w = w.withColumn("dx", F.try_divide(F.col("x1") - F.col("x0"), F.col("length"))).withColumn("dy", F.try_divide(F.col("y1") - F.col("y0"), F.col("length")))
+    shape = ["x0", "y0", "x1", "y1", "dx", "dy", "length"]
     at = _squares(w, scene, side, tolerance)
-    pairs = at.join(at.withColumnRenamed("wall", "other"), [scene, "cu", "cv"]).where("wall <> other").select(scene, "wall", "other").distinct()
-    b = w.select(scene, F.col("wall").alias("other"), *[F.col(c).alias(f"o{c}") for c in ("x0", "y0", "x1", "y1", "dx", "dy", "length")])
-    x = pairs.join(w, [scene, "wall"]).join(b, [scene, "other"])
+    others = at.withColumnsRenamed({"wall": "other"} | {c: f"o{c}" for c in shape})
+    # walls that share several squares give a stop in each of them, and it goes with the rows that are the same
+    x = at.hint("merge").join(others.hint("merge"), [scene, "cu", "cv"]).where("wall <> other")
     v = lambda *n: [F.col(c) for c in n]
     mx, my, t = lines_meet(v("x0", "y0"), v("dx", "dy"), v("ox0", "oy0"), v("odx", "ody"))
     s = along([mx, my], v("ox0", "oy0"), v("odx", "ody"))
@@ -84,11 +135,12 @@ def wall_stops(walls: DataFrame, scene: str, tolerance: float = 0.08, side: floa
 
 def _merged(nodes: DataFrame, scene: str, tolerance: float) -> DataFrame:
     """(scene, x, y, nx, ny) of nodes that move: those nearer to each other than the tolerance, in chains, become the first of them."""
-    step = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
-    cell = lambda c: F.floor(F.col(c) / tolerance)
+    side, reach = 4 * tolerance, 1.001 * tolerance
+    cell = lambda c, by=0.0: F.floor((F.col(c) + by) / side)
     a = nodes.select(scene, F.col("x").alias("ax"), F.col("y").alias("ay"), cell("x").alias("cu"), cell("y").alias("cv"))
-    b = nodes.select(scene, F.col("x").alias("bx"), F.col("y").alias("by"), cell("x").alias("u"), cell("y").alias("v"))
-    b = b.withColumn("s", step).withColumn("cu", F.col("u") + F.col("s")).drop("s").withColumn("s", step).withColumn("cv", F.col("v") + F.col("s"))
+    # the first of two nodes is not to the right of the other, which goes to the cells that it may be in
+    b = nodes.select(scene, F.col("x").alias("bx"), F.col("y").alias("by"), F.explode(F.sequence(cell("x", -reach), cell("x"))).alias("cu"))
+    b = b.withColumn("cv", F.explode(F.sequence(F.floor((F.col("by") - reach) / side), F.floor((F.col("by") + reach) / side))))
     near = (F.hypot(F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")) < tolerance) & (F.struct("ax", "ay") < F.struct("bx", "by"))
     name = lambda x, y: F.struct(F.col(scene).alias("s"), F.col(x).alias("x"), F.col(y).alias("y"))
     edges = checkpointed(a.hint("merge").join(b.hint("merge"), [scene, "cu", "cv"]).where(near).select(name("ax", "ay").alias("a"), name("bx", "by").alias("b")))
@@ -107,16 +159,21 @@ def wall_graph(walls: DataFrame, scene: str, tolerance: float = 0.08) -> DataFra
     return x.withColumn("q", after).where("q is not null and p <> q").select(scene, F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
-def _faced(edges: DataFrame, scene: str) -> DataFrame:
-    """(scene, p, q, ring, place): each edge in both directions, with the cycle to its left."""
-    both = edges.select(scene, F.col("a").alias("p"), F.col("b").alias("q")).unionByName(edges.select(scene, F.col("b").alias("p"), F.col("a").alias("q")))
-    around = Window.partitionBy(scene, "p").orderBy(F.atan2(F.col("q.y") - F.col("p.y"), F.col("q.x") - F.col("p.x")), "q")
+def _faced(edges: DataFrame, scene: str, side: float = 64.0) -> DataFrame:
+    """(scene, p, q, ring, place, size): each of edges(scene, a, b) in both directions, with the cycle to its left.
+
+    Edges are dealt over tasks by squares of `side`, so that most of a cycle is in one task, but no large capture is.
+    """
+    way = lambda p, q, n, twin: F.struct(F.col(p).alias("p"), F.col(q).alias("q"), F.col(n).alias("own"), F.col(twin).alias("twin"))
+    numbered = edges.select(scene, "a", "b", (2 * F.monotonically_increasing_id()).alias("i")).withColumn("j", F.col("i") + 1)
+    both = numbered.select(scene, F.explode(F.array(way("a", "b", "i", "j"), way("b", "a", "j", "i"))).alias("e")).select(scene, "e.*")
+    square = lambda c: F.round(F.col(f"p.{c}") / side).cast("long")  # noqa: E731 - as a double it would be shuffled once more
+    both = both.withColumn("su", square("x")).withColumn("sv", square("y")).repartition(scene, "su", "sv")
+    around = Window.partitionBy(scene, "su", "sv", "p").orderBy(F.atan2(F.col("q.y") - F.col("p.y"), F.col("q.x") - F.col("p.x")), "q")
     whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # arriving at p from q, go on to the next neighbour clockwise
-    turn = F.coalesce(F.lag("q").over(around), F.last("q").over(whole))
-    name = lambda p, q: F.struct(F.col(scene).alias("s"), F.col(p).alias("p"), F.col(q).alias("q"))
-    steps = both.withColumn("r", turn).select(name("q", "p").alias("id"), name("p", "r").alias("next"))
-    return ring_order(steps).select(F.col("id.s").alias(scene), "id.p", "id.q", "ring", "place")
+    turn = F.coalesce(F.lag("own").over(around), F.last("own").over(whole))
+    return _ringed(both.select(F.col("twin").alias("n"), turn.alias("next"), scene, F.col("q").alias("p"), F.col("p").alias("q"))).drop("n", "next")
 
 
 def wall_faces(walls: DataFrame, scene: str, least: float = 1.4, tolerance: float = 0.08) -> DataFrame:
@@ -129,14 +186,19 @@ def wall_faces(walls: DataFrame, scene: str, least: float = 1.4, tolerance: floa
     faces are numbered from 0 by centroid and area; polygon is counter-clockwise, an array of structs (x, y).
     """
     edges = checkpointed(wall_graph(walls, scene, tolerance))
-    halves = checkpointed(_faced(edges, scene))
+    halves = _faced(edges, scene)
     sides = halves.groupBy(scene, F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).agg((F.min("ring") == F.max("ring")).alias("same"))
-    if not sides.where("same").isEmpty():
-        halves = checkpointed(_faced(checkpointed(sides.where("not same").select(scene, "a", "b")), scene))
+    kept = checkpointed(sides.where("not same").select(scene, "a", "b"))
+    if kept.count() < edges.count():
+        halves = _faced(kept, scene)
     cross = F.col("p.x") * F.col("q.y") - F.col("q.x") * F.col("p.y")
     moment = lambda c: F.sum((F.col(f"p.{c}") + F.col(f"q.{c}")) * cross) / 6
     corners = F.transform(F.array_sort(F.collect_list(F.struct("place", "p"))), lambda c: c["p"])
-    rings = checkpointed(halves.groupBy(scene, "ring").agg((F.sum(cross) / 2).alias("area"), moment("x").alias("mx"), moment("y").alias("my"), corners.alias("polygon"), F.min("p").alias("first")))
+    rings = halves.groupBy(scene, "ring").agg((F.sum(cross) / 2).alias("area"), moment("x").alias("mx"), moment("y").alias("my"), corners.alias("corners"), F.min(F.struct("p", "q", "place")).alias("least"))
+    # a ring is known by its least side, and starts there
+    start, n = F.col("least.place").cast("int"), F.size("corners")
+    polygon = F.concat(F.slice("corners", start + 1, n - start), F.slice("corners", F.lit(1), start))
+    rings = checkpointed(rings.select(scene, F.struct("least.p", "least.q").alias("ring"), "area", "mx", "my", polygon.alias("polygon"), F.col("least.p").alias("first")))
     shells, outer = rings.where("area > 1e-9"), rings.where("area < -1e-9")
     # the outer ring of a part of the graph is a hole of the smallest face around its first point
     side = 4.0

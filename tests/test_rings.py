@@ -50,6 +50,53 @@ def test_long_rings_are_ordered(spark):
     assert {r.id: (r.ring, r.place) for r in got} == want
 
 
+def test_rings_over_many_batches(spark):
+    """Rings that lie in many Arrow batches, and rings that are whole in one, at once."""
+    rng = random.Random(4)
+    ids, rings_of = list(range(3000)), []
+    rng.shuffle(ids)
+    while ids:
+        n = rng.choice([1, 2, 3, 40, 700])
+        rings_of.append(ids[:n])
+        ids = ids[n:]
+    steps = [(a, b) for r in rings_of for a, b in zip(r, r[1:] + r[:1])]
+    want = {r[(r.index(min(r)) + i) % len(r)]: (min(r), i) for r in rings_of for i in range(len(r))}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("7", "100", old):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = rings.ring_order(spark.createDataFrame(steps, "id bigint, next bigint").repartition(3)).collect()
+            assert {r.id: (r.ring, r.place) for r in got} == want and len(got) == 3000, size
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_long_rings_take_few_jobs(spark):
+    """A ring of 8192 in order took thirteen rounds of joins, whatever lay together."""
+    steps = spark.range(8192).selectExpr("id", "(id + 1) % 8192 as next")
+    spark.sparkContext.setJobGroup("rings", "rings")
+    try:
+        assert rings.ring_order(steps).where("ring = 0 and place = id").count() == 8192
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("rings")) < 40
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_faces_do_not_depend_on_squares_and_batches(spark):
+    """A plan of 30 by 3 rooms, two metres wide, with a wall end in some, lies in two squares of 64 m and many batches."""
+    rows = [("s", i, i * 2.0, -1.0, i * 2.0, 7.0) for i in range(31)] + [("s", 100 + i, -1.0, i * 2.0, 61.0, i * 2.0) for i in range(4)] + [("s", 200 + i, i * 4.0, 1.0, i * 4.0 + 1.0, 1.0) for i in range(10)]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = []
+    try:
+        for size in ("11", old):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            found.append(sorted((r.face, r.area, r.cx, r.cy, str(r.polygon)) for r in rings.wall_faces(spark.createDataFrame(rows, WALL), "scene").collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert found[0] == found[1] and len(found[0]) == 90
+    assert all(abs(r[1] - 4) < 1e-9 for r in found[0])
+
+
 def walked(cells):
     """Rings of a group's cells as {(start), ...}: area and the number of sides, by walking with the cells to the left."""
     step = [(1, 0), (0, 1), (-1, 0), (0, -1)]
