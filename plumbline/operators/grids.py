@@ -53,27 +53,37 @@ def _stepped(tiles: DataFrame, keys: list[str], r: int, whole: bool) -> DataFram
         part = lambda d, own, up, down: F.struct(F.lit(d).alias("d"), own.alias("own"), up.alias("up"), down.alias("down"))
         parts = F.array(part(0, m, up, down), part(1, none, F.shiftrightunsigned(high, 7 * by), none), part(-1, none, none, F.shiftleft(low, 7 * by)))
         x = tiles.select(*keys, "tu", "tv", F.explode(parts).alias("p")).where("p.own <> 0 or p.up <> 0 or p.down <> 0").withColumn(axis, F.col(axis) + F.col("p.d"))
+        x = x.repartition(*keys, "tu", "tv")  # a task's parts seldom share a tile: merging them before would only hold them all
         x = x.groupBy(*keys, "tu", "tv").agg(*[F.bit_or(f"p.{c}").alias(c) for c in ("own", "up", "down")])
         tiles = x.select(*keys, "tu", "tv", F.expr("own & up & down" if whole else "own | up | down").alias("mask")).where("mask <> 0")
     return tiles
 
 
+def _chained(cells: DataFrame, keys: list[str], *steps: tuple[int, bool]) -> DataFrame:
+    """cells after steps (r, whole), one after another; tiles become cells only at the end."""
+    tiles = _tiles(cells, keys)
+    for r, whole in steps:
+        tiles = _stepped(tiles, keys, r, whole)
+    return _untiled(tiles, keys)
+
+
 def dilate(cells: DataFrame, keys: list[str], r: int = 1) -> DataFrame:
     """Cells within r steps in both directions of a cell."""
-    return _untiled(_stepped(_tiles(cells, keys), keys, r, False), keys)
+    return _chained(cells, keys, (r, False))
 
 
 def erode(cells: DataFrame, keys: list[str], r: int = 1) -> DataFrame:
     """Cells whose whole neighbourhood of r steps is there."""
-    return _untiled(_stepped(_tiles(cells, keys), keys, r, True), keys)
+    return _chained(cells, keys, (r, True))
 
 
 def close(cells: DataFrame, keys: list[str], r: int = 1) -> DataFrame:
-    return _untiled(_stepped(_stepped(_tiles(cells, keys), keys, r, False), keys, r, True), keys)
+    return _chained(cells, keys, (r, False), (r, True))
 
 
-def opened(cells: DataFrame, keys: list[str], r: int = 1) -> DataFrame:
-    return _untiled(_stepped(_stepped(_tiles(cells, keys), keys, r, True), keys, r, False), keys)
+def opened(cells: DataFrame, keys: list[str], r: int = 1, widened: int = 0) -> DataFrame:
+    """The opening by r steps of cells, or of cells dilated by `widened` steps."""
+    return _chained(cells, keys, (widened, False), (r, True), (r, False))
 
 
 def label_cells(cells: DataFrame, stride: int, diagonal: bool = False) -> DataFrame:

@@ -50,7 +50,7 @@ def grid_close(s, d):
 
 
 def grid_open(s, d):
-    return grids.opened(grids.dilate(_cells(s, d), ["surface"]), ["surface"])
+    return grids.opened(_cells(s, d), ["surface"], widened=1)
 
 
 def _plan(s, d):

@@ -42,3 +42,23 @@ def test_opening_makes_few_rows(spark):
     out = grids.opened(grids.dilate(df, []), [])
     assert "[-1,0,1]" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {(None, r.cu, r.cv) for r in out.collect()} == _dilated(_eroded(_dilated(block, 1), 1), 1)
+
+
+def test_opening_widened_cells_matches_sets(spark):
+    rng = np.random.default_rng(6)
+    cells = {(int(k), int(u), int(v)) for k, u, v in zip(rng.integers(0, 3, 300), rng.integers(-13, 13, 300), rng.integers(-13, 13, 300), strict=True)} | {(None, 7, 8)}
+    df = spark.createDataFrame([*cells, *list(cells)[:50], (1, None, 0), (1, 0, None)], "k int, cu long, cv long")
+    for widened, r in ((0, 1), (1, 0), (1, 1), (2, 1), (1, 2)):
+        got = [tuple(x) for x in grids.opened(df, ["k"], r, widened).select("k", "cu", "cv").collect()]
+        assert len(got) == len(set(got)) and set(got) == _dilated(_eroded(_dilated(cells, widened), r), r), (widened, r)
+
+
+def test_grid_open_stays_in_tiles(spark):
+    """Tiles become cells once, at the end; a step's parts are merged behind its shuffle only, one shuffle an axis."""
+    from plumbline.plans import space
+
+    for query, steps in ((space.grid_dilate, 1), (space.grid_close, 2), (space.grid_open, 3)):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        assert plan.optimizedPlan().toString().count("Generate explode(filter(") == 1, query
+        assert plan.executedPlan().toString().count("Exchange hashpartitioning(") == 1 + 2 * steps, query
+        assert plan.optimizedPlan().toString().count("RepartitionByExpression") == 2 * steps, query
