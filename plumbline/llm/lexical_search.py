@@ -34,6 +34,8 @@ U64 = np.uint64
 BLOCK, SEEDS, GROUP = 128 << 10, 4, 500_000
 #: Stands for a null doc_id, which sorts last.
 NULL = np.iinfo(np.int64).max
+#: Spark reads up to 4,096 rows of a row group at once, and a row is a block of some 200 kB: groups are kept small, and looked at every few rows.
+_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "4"}
 
 _INDEX = "block bigint, ids binary, lengths binary, terms binary, df binary, maxima binary, sizes binary, post_terms binary, post_counts binary"
 
@@ -135,7 +137,7 @@ class BlockMaxIndex:
                     yield pa.RecordBatch.from_arrays([pa.array([number]), *[pa.array([c], pa.binary()) for c in cols]], names=["block", "ids", "lengths", "terms", "df", "maxima", "sizes", "post_terms", "post_counts"])
                     number += 1
 
-        rows.mapInArrow(run, _INDEX).write.option("compression", "zstd").parquet(path)
+        rows.mapInArrow(run, _INDEX).write.options(compression="zstd", **_GROUPS).parquet(path)
         return cls(spark, path, n, total)
 
     def _read(self, *columns: str) -> DataFrame:

@@ -80,3 +80,18 @@ def test_empty_tables(spark):
     some = BlockMaxIndex.build(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"))
     assert some.search(queries.where("false")).count() == 0
     assert [tuple(r) for r in some.search(queries).select("item_id", "rank", "doc_id").collect()] == [(1, 1, 1)]
+
+
+def test_index_is_read_in_small_row_groups(spark, tmp_path):
+    """A row is a block, and a row group's rows are read at once: its bytes stay few however many blocks a task writes."""
+    import pyarrow.parquet as pq
+
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.getrandbits(24):06x}" for _ in range(18_000)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    index = BlockMaxIndex.build(docs, str(tmp_path / "index"))
+    groups = [m.row_group(i) for f in (tmp_path / "index").glob("*.parquet") for m in [pq.ParquetFile(f).metadata] for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 60
+    assert max(g.total_byte_size for g in groups) < 16 << 20 < sum(g.total_byte_size for g in groups)
+    item = texts[41][:70]
+    assert index.search(spark.createDataFrame([(1, item)], "item_id bigint, text string")).first().doc_id == 41
