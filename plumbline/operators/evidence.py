@@ -25,18 +25,24 @@ def supported(df: DataFrame, cell: list[str], weight: Column, frame: str, least_
     return df.groupBy(*cell).agg(views.alias("views"), F.sum(weight).alias("weight")).where((F.col("views") >= least_views) & (F.col("weight") >= least_weight))
 
 
-def dominant_class(df: DataFrame, key: str, kind: str, weight: Column, share: float = 0.4) -> DataFrame:
+def _summed(x: Column) -> Column:
+    """The sum of doubles, rounded once: parts on a grid of 2**-20 add exactly, and what is left of them is tiny, so the order of terms decides nothing."""
+    grid = F.rint(x * 2.0**20) / 2.0**20
+    return F.nanvl(F.sum(grid) + F.sum(x - grid), F.sum(x))  # infinite terms have no rest
+
+
+def dominant_class(df: DataFrame, key: str, kind: str, weight: Column, share: float = 0.4, none: str | None = "water") -> DataFrame:
     """(key, top, second, dominant): `combined` if the second class has `share` of the first.
 
-    A key without any class is water, as the rules have it. Sums count to nine places, so that those which
-    differ by the order of their terms only are equal.
+    A key without any class is water, as the rules have it, or `none`. Sums that differ by the order of their terms
+    only are equal; of classes with equal sums the first by name leads, a null class last.
     """
-    total = df.groupBy(key, kind).agg(F.round(F.sum(weight), 9).alias("w"))
-    ranked = total.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("w"), kind))).where("r <= 2")
+    total = df.groupBy(key, kind).agg(_summed(weight.cast("double")).alias("w"))
+    ranked = total.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("w"), F.asc_nulls_last(kind)))).where("r <= 2")
     out = ranked.groupBy(key).agg(*[F.max(F.when(F.col("r") == i, F.col(c))).alias(f"{c[0]}{i}") for i in (1, 2) for c in (kind, "w")])
     k = kind[0]
-    combined = F.coalesce(F.round(F.col("w2") - share * F.col("w1"), 9) >= 0, F.lit(False))
-    return out.select(key, F.col(f"{k}1").alias("top"), F.col(f"{k}2").alias("second"), F.when(combined, "combined").otherwise(F.coalesce(f"{k}1", F.lit("water"))).alias("dominant"))
+    combined = F.coalesce(F.col("w2") >= share * F.col("w1"), F.lit(False))
+    return out.select(key, F.col(f"{k}1").alias("top"), F.col(f"{k}2").alias("second"), F.when(combined, "combined").otherwise(F.coalesce(f"{k}1", F.lit(none))).alias("dominant"))
 
 
 def weighted_mode(df: DataFrame, key: str, value: str, weight: Column, order: str) -> DataFrame:

@@ -85,7 +85,7 @@ def region_support_frames(s, d):
 
 
 def dominant_class(s, d):
-    return evidence.dominant_class(surface_votes(s, d), "surface", "cls", F.when(F.col("cls") == "N", F.col("weight") * 0.6).otherwise(F.col("weight")))
+    return evidence.dominant_class(surface_votes(s, d), "surface", "cls", F.when(F.col("cls") == "N", F.col("weight") * 0.6).otherwise(F.col("weight")), none=None)
 
 
 def weighted_mode(s, d):

@@ -83,6 +83,25 @@ def test_sums_in_any_order_tie(spark):
     assert {(r.top, r.second) for r in evidence.dominant_class(df, "k", "v", F.col("w")).collect()} == {("a", "b")}
 
 
+def test_dominant_class_of_odd_votes_as_its_sql(spark, tmp_path):
+    """Null classes, weights of 1e-10, sums one bit apart, infinite and missing weights, in any order of rows."""
+    import duckdb
+
+    from plumbline.plans import space
+
+    votes = {
+        1: [(None, 0.1)], 2: [("R", 0.1), (None, 0.1)], 3: [(None, 0.0), ("A", 0.9)], 4: [("A", 1 - 1e-10), ("R", 1 - 4e-10)], 5: [("A", 0.9), ("A", 0.8), ("R", 0.7)],
+        6: [("A", float("nan")), ("R", -4.0)], 7: [("A", float("-inf")), ("R", 0.0)], 8: [("A", None), ("R", 0.5)], 9: [("A", None), (None, None)], 10: [("N", 0.0), ("A", 0.4)], None: [("R", 0.2), ("", 0.2)],
+    }
+    rows = [(k, n, 1.0, 0.1, w, c) for k, vs in votes.items() for n, (c, w) in enumerate(vs)]
+    spark.createDataFrame(rows, "l_suppkey bigint, l_orderkey bigint, l_quantity double, l_tax double, l_discount double, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = sorted(map(tuple, space.dominant_class(spark, str(tmp_path)).collect()), key=str)
+    c = duckdb.connect()
+    c.execute(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    assert got == sorted(c.execute(space.ORACLES["dominant_class"]).fetchall(), key=str)
+    assert len(got) == 11
+
+
 def test_probed_labels_are_not_broadcast(spark):
     from plumbline.plans import outlines
 
