@@ -32,6 +32,8 @@ from .storage import shared_dir
 U64 = np.uint64
 #: Bytes of text of a block, blocks that give a query's first threshold, and query terms handled at a time.
 BLOCK, SEEDS, GROUP = 128 << 10, 4, 500_000
+#: Documents times terms up to which a block that is searched holds them as a table.
+TABLE = 1 << 17
 #: Stands for a null doc_id, which sorts last.
 NULL = np.iinfo(np.int64).max
 #: Spark reads up to 4,096 rows of a row group at once, and a row is a block of some 200 kB: groups are kept small, and looked at every few rows.
@@ -260,25 +262,35 @@ class BlockMaxIndex:
 
 
 class Block:
-    """One block's documents and what the queries' terms add to their scores."""
+    """One block's documents and what the queries' terms add to their scores, term by term."""
 
     def __init__(self, batch: pa.RecordBatch, row: int, q: Queries, n: int, total: int):
         self.ids = _ints(batch, "ids", row, np.int64)
         here, at = q.found(_ints(batch, "terms", row, U64))
+        self.places = np.append(at, len(q.terms))  # in order; the last is no term's
         column = np.full(len(batch.column("terms")[row].as_buffer()) // 8, -1, np.int64)
         column[here] = np.arange(len(here))
         column = column[_ints(batch, "post_terms", row)]
         mine = np.flatnonzero(column >= 0)
-        doc = np.repeat(np.arange(len(self.ids)), _ints(batch, "sizes", row))[mine]
+        mine = mine[np.argsort(column[mine], kind="stable")]
+        self.doc = np.repeat(np.arange(len(self.ids)), _ints(batch, "sizes", row))[mine]
         count = _ints(batch, "post_counts", row)[mine].astype(np.int64)
-        self.added = np.zeros((len(here), len(self.ids)), np.int64)
-        self.added[column[mine], doc] = q.weights[at[column[mine]]] * impact(count, _ints(batch, "lengths", row, np.int64)[doc], n, total)
-        self.place = np.full(len(q.terms), -1, np.int64)
-        self.place[at] = np.arange(len(here))
+        self.added = q.weights[at[column[mine]]] * impact(count, _ints(batch, "lengths", row, np.int64)[self.doc], n, total)
+        self.cuts = np.append(0, np.cumsum(np.bincount(column[mine], minlength=len(here))))
+        self.table = np.zeros((len(here), len(self.ids)) if len(here) * len(self.ids) <= TABLE else (0, 0), np.int64)  # faster where it is small
+        if self.table.size:
+            self.table[column[mine], self.doc] = self.added
 
     def scores(self, terms: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         """The documents with a score of at least `least`, and their scores."""
-        rows = self.place[terms]
-        scores = self.added[rows[rows >= 0]].sum(axis=0)
+        rows = np.searchsorted(self.places, terms)
+        rows = rows[self.places[rows] == terms]
+        if self.table.size:
+            scores = self.table[rows].sum(axis=0)
+        else:
+            size = self.cuts[rows + 1] - self.cuts[rows]
+            at = np.repeat(self.cuts[rows + 1] - np.cumsum(size), size) + np.arange(size.sum())
+            scores = np.zeros(len(self.ids), np.int64)
+            np.add.at(scores, self.doc[at], self.added[at])
         ok = np.flatnonzero(scores >= least)
         return self.ids[ok], scores[ok]

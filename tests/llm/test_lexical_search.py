@@ -95,3 +95,18 @@ def test_index_is_read_in_small_row_groups(spark, tmp_path):
     assert max(g.total_byte_size for g in groups) < 16 << 20 < sum(g.total_byte_size for g in groups)
     item = texts[41][:70]
     assert index.search(spark.createDataFrame([(1, item)], "item_id bigint, text string")).first().doc_id == 41
+
+
+def test_block_of_short_documents_holds_postings_only(spark):
+    """Many short documents and many terms asked for: what is held grows with the words, not with documents times terms."""
+    rng = random.Random(9)
+    docs = [(i, " ".join(rng.choices([f"w{j}" for j in range(600)], k=3))) for i in range(4000)]
+    index = BlockMaxIndex.build(spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1))
+    batch = index._read("*").toArrow().combine_chunks().to_batches()[0]
+    q = lexical_search.Queries([lexical_search._ints(batch, "terms", 0, lexical_search.U64)])
+    q.weigh(lexical_search._ints(batch, "df", 0), index.n)
+    block = lexical_search.Block(batch, 0, q, index.n, index.total)
+    assert batch.num_rows == 1 and len(block.ids) == 4000 and len(q.terms) == 600
+    assert sum(x.nbytes for x in vars(block).values()) < 1 << 20
+    ids, scores = block.scores(q.places, 1)
+    assert sorted((i, s) for _, _, i, s in brute(docs, [(1, " ".join(f"w{j}" for j in range(600)))], 4000)) == sorted(zip(ids.tolist(), scores.tolist(), strict=True))
